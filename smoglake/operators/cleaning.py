@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import AIR_QUALITY, SensorConfig  # noqa: F401  (re-exported)
+from .keys import content_id
 
 
 def drop_duplicates(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
@@ -107,18 +108,26 @@ def add_time_features(df: DataFrame, ts_col: str = "event_timestamp") -> DataFra
     return df.withColumns(time_feature_columns(F.col(ts_col)))
 
 
-def project_and_rename(df: DataFrame, cfg: SensorConfig = AIR_QUALITY) -> DataFrame:
-    """Steps 1-2 of C3: full-row distinct first (Q3), then drop and rename."""
-    return rename_columns(drop_columns(drop_duplicates(df), cfg.dropped_columns), cfg.renames)
+def project_and_rename(df: DataFrame, cfg: SensorConfig = AIR_QUALITY, id_col: str | None = None) -> DataFrame:
+    """Steps 1-2 of C3: full-row distinct first (Q3), then drop and rename.
+
+    With ``id_col``, each distinct raw row also gets a content id (unique
+    because rows are distinct at that point); it survives the projection and
+    identifies rows that become equal once columns are dropped.
+    """
+    distinct = drop_duplicates(df)
+    if id_col:
+        distinct = distinct.withColumn(id_col, content_id(df.columns))
+    return rename_columns(drop_columns(distinct, cfg.dropped_columns), cfg.renames)
 
 
-def clean_and_transform(df: DataFrame, cfg: SensorConfig = AIR_QUALITY) -> DataFrame:
+def clean_and_transform(df: DataFrame, cfg: SensorConfig = AIR_QUALITY, id_col: str | None = None) -> DataFrame:
     """Distinct -> drop -> rename -> sentinel to null -> impute -> timestamp -> features.
 
     Order matters: the distinct runs on all raw columns before the projection,
     and the means are taken over deduplicated, non-missing values.
     """
-    renamed = project_and_rename(df, cfg)
+    renamed = project_and_rename(df, cfg, id_col)
     nulled = sentinel_to_null(renamed, cfg.sensor_columns, cfg.sentinel)
     imputed = impute_mean(nulled, cfg.sensor_columns)
     return add_time_features(parse_event_time(imputed, cfg), cfg.event_time)

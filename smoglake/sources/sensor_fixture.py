@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def raw_sensor(events: DataFrame) -> DataFrame:
+def raw_sensor(events: DataFrame, keep_event_id: bool = False) -> DataFrame:
     e = events.select("event_id", "ts", "user_id", "value")
     e = e.unionByName(e.filter(F.col("event_id") % 10 == 0))
     eid, v = F.col("event_id"), F.col("value")
     s = F.lit(-200.0)
     no_time = eid % 97 == 0
     return e.select(
+        *([eid] if keep_event_id else []),
         F.when(~no_time, F.date_format("ts", "dd/MM/yyyy")).alias("Date"),
         F.when(~no_time, F.date_format("ts", "HH.mm.ss")).alias("Time"),
         F.when(eid % 7 == 0, s).otherwise(v).alias("COGT"),

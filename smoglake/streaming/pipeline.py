@@ -1,0 +1,189 @@
+"""Structured Streaming stages (C2, C9: T1-T10, S4-S5, S8, K2-K5).
+
+The transforms (:func:`clean`, :func:`long_form`, :func:`running_average`)
+are plain DataFrame functions that work on batch and streaming frames alike,
+so a batch run over the same files is the oracle of the stream.
+
+Sinks: the reference keeps both results in driver-memory tables. Here the
+append stream goes to a parquet file sink (distributed, exactly-once via its
+metadata log) and the complete-mode average is rewritten per micro-batch as a
+small table through ``foreachBatch``; memory sinks stay available for demos.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
+
+from ..config import AIR_QUALITY, SensorConfig
+from ..operators.cleaning import event_time, rename_columns
+from ..operators.quality import listwise_filter
+from ..operators.reshape import to_long
+from ..sources.json_codec import decode_json
+
+PROCESSING_TIME = "3 seconds"
+
+
+# ------------------------------------------------------------- transforms --
+
+def clean(df: DataFrame, cfg: SensorConfig = AIR_QUALITY) -> DataFrame:
+    """Drop auxiliary sensors, add the timestamp (date/time strings are
+    kept), drop rows with any missing pollutant (F1), rename (P9).
+
+    No distinct and no imputation on the stream (quirk Q2).
+    """
+    out = df.drop(*cfg.dropped_columns)
+    if cfg.timestamp_col is None:
+        out = out.withColumn(cfg.event_time, event_time(F.col(cfg.date_col), F.col(cfg.time_col),
+                                                       cfg.timestamp_format))
+    out = listwise_filter(out, cfg.raw_measures, cfg.sentinel) if cfg.sentinel is not None else out
+    return rename_columns(out, cfg.stream_renames)
+
+
+def long_form(cleaned: DataFrame, cfg: SensorConfig = AIR_QUALITY) -> DataFrame:
+    """(event_timestamp, pollutant, reading) with the stream labels."""
+    return to_long(cleaned, [cfg.event_time], {m.label: m.stream for m in cfg.measures},
+                   "pollutant", "reading")
+
+
+def running_average(long: DataFrame) -> DataFrame:
+    """A8 + T6: mean reading per pollutant since the start (state: sum and
+    count per key, a handful of keys, never expires)."""
+    return long.groupBy("pollutant").agg(F.avg("reading").alias("avg_reading"))
+
+
+def earliest(table: DataFrame, n: int = 10, ts_col: str = "event_timestamp") -> DataFrame:
+    """The ``n`` earliest rows, ties broken on every column (nulls first,
+    as Spark's ascending order puts them)."""
+    rest = [F.col(f"`{c}`").asc_nulls_first() for c in table.columns if c != ts_col]
+    return table.orderBy(F.col(ts_col).asc_nulls_first(), *rest).limit(n)
+
+
+# ---------------------------------------------------------------- sources --
+
+def batch_schema(spark: SparkSession, path: str, fmt: str = "parquet") -> StructType:
+    """Pin the stream schema from a batch read of the same directory."""
+    return spark.read.format(fmt).load(path).schema
+
+
+def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
+                max_files_per_trigger: int | None = 1, path_glob: str | None = None) -> DataFrame:
+    """File source over a directory (a single-file path is not accepted by
+    Spark; select files with ``path_glob``). ``max_files_per_trigger`` is the
+    reference's rate limit (T3)."""
+    reader = spark.readStream.schema(schema).format(fmt)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if path_glob:
+        reader = reader.option("pathGlobFilter", path_glob)
+    return reader.load(path)
+
+
+def payload_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = 1) -> DataFrame:
+    """Text files of JSON payloads as a stream with a ``value`` column (the
+    file-based stand-in for a topic)."""
+    return file_stream(spark, path, StructType([StructField("value", StringType())]), "text",
+                       max_files_per_trigger)
+
+
+# ------------------------------------------------------------------ sinks --
+
+def _trigger(writer, available_now: bool, processing_time: str | None):
+    if available_now:
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=processing_time or PROCESSING_TIME)
+
+
+def start_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
+                available_now: bool = False, processing_time: str | None = None,
+                name: str | None = None) -> StreamingQuery:
+    """K2: append to a file table with a checkpoint (exactly-once)."""
+    w = (df.writeStream.outputMode("append").format(fmt)
+         .option("path", path).option("checkpointLocation", checkpoint))
+    if name:
+        w = w.queryName(name)
+    return _trigger(w, available_now, processing_time).start()
+
+
+def start_overwrite_table(df: DataFrame, path: str, checkpoint: str, available_now: bool = False,
+                          processing_time: str | None = None) -> StreamingQuery:
+    """K5 at scale: complete-mode result rewritten as a table each micro-batch."""
+    def write(batch: DataFrame, _epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+    w = (df.writeStream.outputMode("complete").foreachBatch(write)
+         .option("checkpointLocation", checkpoint))
+    return _trigger(w, available_now, processing_time).start()
+
+
+def start_memory(df: DataFrame, name: str, mode: str = "append", available_now: bool = False,
+                 processing_time: str | None = None, checkpoint: str | None = None) -> StreamingQuery:
+    """K4 / K5: named in-memory result table (driver-resident: demos only)."""
+    w = df.writeStream.queryName(name).format("memory").outputMode(mode)
+    if checkpoint:
+        w = w.option("checkpointLocation", checkpoint)
+    return _trigger(w, available_now, processing_time).start()
+
+
+def start_console(df: DataFrame, available_now: bool = False,
+                  processing_time: str | None = None) -> StreamingQuery:
+    """K3: debug echo of a stream."""
+    return _trigger(df.writeStream.outputMode("append").format("console"),
+                    available_now, processing_time).start()
+
+
+# ------------------------------------------------------------ composites --
+
+def ingest(payloads: DataFrame, schema: StructType, out_path: str, checkpoint: str,
+           available_now: bool = False, console: bool = False,
+           processing_time: str | None = None) -> list[StreamingQuery]:
+    """T1 + T2 + T7: payload stream -> decoded rows -> parquet (+ console).
+
+    ``payloads`` is any streaming frame with a ``value`` column: a topic
+    (:func:`smoglake.sources.kafka.kafka_source`) or :func:`payload_stream`.
+    """
+    rows = decode_json(payloads, schema)
+    qs = [start_files(rows, out_path, checkpoint, available_now=available_now,
+                      processing_time=processing_time)]
+    if console:
+        qs.append(start_console(rows, available_now, processing_time))
+    return qs
+
+
+def run_until_done(queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
+    """Block until every query ends (availableNow) and surface failures."""
+    for q in queries:
+        q.awaitTermination(timeout_s)
+        if q.exception() is not None:
+            raise RuntimeError(f"stream {q.name or q.id} failed: {q.exception()}")
+
+
+def analytics(spark: SparkSession, raw_dir: str, cleaned_out: str, avg_out: str, checkpoint_root: str,
+              cfg: SensorConfig = AIR_QUALITY, available_now: bool = False,
+              max_files_per_trigger: int | None = 1,
+              processing_time: str | None = None) -> list[StreamingQuery]:
+    """Raw file stream -> cleaned rows (append) and running averages (complete)."""
+    src = file_stream(spark, raw_dir, batch_schema(spark, raw_dir), "parquet", max_files_per_trigger)
+    cleaned = clean(src, cfg)
+    q1 = start_files(cleaned, cleaned_out, f"{checkpoint_root}/cleaned", available_now=available_now,
+                     processing_time=processing_time)
+    q2 = start_overwrite_table(running_average(long_form(cleaned, cfg)), avg_out,
+                               f"{checkpoint_root}/avg", available_now, processing_time)
+    return [q1, q2]
+
+
+def snapshots(spark: SparkSession, cleaned_path: str, avg_path: str, rounds: int = 10,
+              wait: Callable[[], None] | None = None, n: int = 10):
+    """Repeated snapshots of both result tables while the streams run.
+
+    Yields (earliest n cleaned rows, averages ordered by pollutant) per round;
+    ``wait`` is called between rounds (e.g. ``time.sleep(3)``).
+    """
+    for i in range(rounds):
+        cleaned = spark.read.parquet(cleaned_path)
+        yield earliest(cleaned, n), spark.read.parquet(avg_path).orderBy("pollutant")
+        if wait and i + 1 < rounds:
+            wait()
