@@ -187,10 +187,16 @@ def _graph(spark, sf_dir, legacy: bool = False) -> graph.Graph:
     return graph.build(processed(spark, sf_dir, "record_id"), cfg, "record_id")
 
 
+def _stored_processed(spark, sf_dir, id_col: str | None = "record_id") -> DataFrame:
+    """C3 output written once to the shared folder, then scanned (S3)."""
+    path = scratch_path(spark, "processed")
+    write_overwrite(processed(spark, sf_dir, id_col), path)
+    return spark.read.parquet(path)
+
+
 def _stored_graph(spark, sf_dir, legacy: bool = False) -> graph.Graph:
-    root = scratch_path(spark, "graph")
-    graph.write_graph(_graph(spark, sf_dir, legacy), root)
-    return graph.read_graph(spark, root)
+    cfg = SensorConfig(legacy_weekday_labels=legacy)
+    return graph.store_graph(_stored_processed(spark, sf_dir), scratch_path(spark, "graph"), cfg)
 
 
 def graph_time_nodes(spark, sf_dir):

@@ -47,3 +47,10 @@ def weekday_lookup_rows(legacy: bool = False) -> list[tuple[int, str]]:
     """The literal (code, name) rows of the weekday lookup table."""
     names = LEGACY_WEEKDAY_NAMES if legacy else WEEKDAY_NAMES
     return [(i + 1, n) for i, n in enumerate(names)]
+
+
+def literal_table(spark, columns: Sequence[str], rows: Sequence[tuple]):
+    """A small constant table built JVM-side (``inline`` of a literal
+    array, planned as a local relation), with no Python-side RDD."""
+    structs = [F.struct(*[F.lit(v).alias(c) for c, v in zip(columns, row)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

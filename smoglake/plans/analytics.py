@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.labels import hour_label, weekday_lookup_rows
+from ..functions.labels import hour_label, literal_table, weekday_lookup_rows
 
 
 def daily_profile(docs: DataFrame, spark: SparkSession | None = None,
@@ -24,7 +24,7 @@ def daily_profile(docs: DataFrame, spark: SparkSession | None = None,
     spark = spark or docs.sparkSession
     agg = docs.groupBy(F.col(day_field).alias("Day")).agg(
         *[F.avg(F.col(f"pollutants.{m}")).alias(f"avg_{m}") for m in measures])
-    lookup = spark.createDataFrame(weekday_lookup_rows(), "Day int, day_name string")
+    lookup = literal_table(spark, ["Day", "day_name"], weekday_lookup_rows())
     return (agg.join(F.broadcast(lookup), on="Day", how="left")
                .orderBy(F.col("Day").asc_nulls_first()))
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import AIR_QUALITY, SensorConfig
-from ..functions.labels import hour_label, month_name, weekday_name, weekday_order
+from ..functions.labels import hour_label, literal_table, month_name, weekday_name, weekday_order
 from ..operators.keys import with_row_ids
 from ..operators.quality import key_check
 from ..operators.reshape import collect_unwind_normalize, min_max_normalize, to_long
@@ -124,7 +124,7 @@ def pollution_types(spark: SparkSession, reads: DataFrame, cfg: SensorConfig = A
     The unit table has one row per configured measure (a proven bound) and is
     broadcast; names without a unit keep a null unit.
     """
-    units = spark.createDataFrame(list(cfg.units.items()), "name string, unit string")
+    units = literal_table(spark, ["name", "unit"], list(cfg.units.items()))
     names = reads.select(F.col("pollutant").alias("name")).distinct()
     return names.join(F.broadcast(units), "name", "left")
 
@@ -140,7 +140,11 @@ def build(processed: DataFrame, cfg: SensorConfig = AIR_QUALITY, id_col: str | N
 
 
 def write_graph(g: Graph, root: str) -> None:
-    """Write every node and edge table (overwrite: re-loads are idempotent, Q5)."""
+    """Write every node and edge table (overwrite: re-loads are idempotent, Q5).
+
+    Each table is its own job; for a graph built from an unmaterialised plan
+    prefer :func:`store_graph`, which reads the processed rows once.
+    """
     for label, df in g.nodes.items():
         df.write.mode("overwrite").parquet(f"{root}/nodes/{label}")
     for etype, df in g.edges.items():
@@ -148,6 +152,35 @@ def write_graph(g: Graph, root: str) -> None:
     g.readings.write.mode("overwrite").parquet(f"{root}/readings")
 
 
+def store_graph(processed: DataFrame, root: str, cfg: SensorConfig = AIR_QUALITY,
+                id_col: str | None = "record_id", export_all: bool = False) -> Graph:
+    """C7 for large inputs: two passes over ``processed``, everything else small.
+
+    1. the readings fact (the only table that grows with the data);
+    2. the distinct calendar, written once (it bounds every time node/edge).
+    Node and edge tables are then views over the stored calendar (and the
+    type table over the stored readings' pollutant column); with
+    ``export_all`` they are written as tables too (full graph sink).
+    ``processed`` should itself be a stored table (the reference reads the
+    processed parquet), so neither pass recomputes the cleaning shuffle.
+    """
+    spark = processed.sparkSession
+    readings(processed, cfg, id_col).write.mode("overwrite").parquet(f"{root}/readings")
+    calendar(processed, cfg).write.mode("overwrite").parquet(f"{root}/calendar")
+    cal = spark.read.parquet(f"{root}/calendar")
+    reads = spark.read.parquet(f"{root}/readings")
+    nodes = time_nodes(cal, cfg.legacy_weekday_labels)
+    nodes["PollutionType"] = pollution_types(spark, reads, cfg)
+    g = Graph(nodes=nodes, edges=time_edges(cal), readings=reads)
+    if not export_all:
+        return g
+    for label, df in g.nodes.items():
+        df.write.mode("overwrite").parquet(f"{root}/nodes/{label}")
+    for etype, df in g.edges.items():
+        df.write.mode("overwrite").parquet(f"{root}/edges/{etype}")
+    return read_graph(spark, root)
+
+
 def read_graph(spark: SparkSession, root: str) -> Graph:
     """The stored graph tables."""
     return Graph(
