@@ -79,3 +79,17 @@ def test_lineitem_config_runs(spark):
     out = C.clean_and_transform(li, cfg)
     assert set(cfg.sensor_columns) <= set(out.columns) and "event_timestamp" in out.columns
     assert out.filter(F.col("day_of_week").isNull()).count() == 0
+
+
+def test_partitioned_overwrite_twice_equals_once(spark, tmp_dir):
+    from smoglake import catalog
+    from smoglake.sources.tables import write_overwrite
+    p = catalog.processed(spark, "/root/testdata/sf0.001").filter("year is not null")
+    path = f"{tmp_dir}/processed"
+    write_overwrite(p, path, partition_by=["year", "month"])
+    once = sorted(spark.read.parquet(path).collect(), key=str)
+    write_overwrite(p, path, partition_by=["year", "month"])
+    again = spark.read.parquet(path)
+    assert sorted(again.collect(), key=str) == once
+    plan = again.filter("month = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan

@@ -78,3 +78,20 @@ def test_merge_on_create_twice_keeps_first(spark):
     ordered = spark.createDataFrame([(2, "late", 5), (2, "early", 1)], "k int, name string, seq int")
     got = merge_on_create(existing, ordered, ["k"], order_col="seq")
     assert {r.k: r.name for r in got.collect()} == {1: "first", 2: "early"}
+
+
+def test_each_normalised_profile_spans_zero_to_one(spark):
+    p = catalog.processed(spark, SF)
+    for prof in (graph.hourly_profile_fact(p), graph.weekday_profile_fact(p)):
+        spans = prof.groupBy("Pollutant").agg(F.min("NormalizedValue").alias("lo"),
+                                              F.max("NormalizedValue").alias("hi")).collect()
+        assert len(spans) == 5 and all(r.lo == 0.0 and r.hi == 1.0 for r in spans)
+
+
+def test_export_all_writes_every_table(spark, tmp_dir):
+    import os
+    stored = catalog.processed(spark, SF, "record_id")
+    g = graph.store_graph(stored, tmp_dir, export_all=True)
+    assert sorted(os.listdir(f"{tmp_dir}/nodes")) == sorted(graph.NODE_KEYS)
+    assert sorted(os.listdir(f"{tmp_dir}/edges")) == sorted(graph.EDGE_TYPES)
+    assert g.readings.count() == 5 * stored.filter("event_timestamp is not null").count()

@@ -71,3 +71,37 @@ def test_snapshots(spark, tmp_dir):
     S.run_until_done(qs)
     snaps = list(S.snapshots(spark, f"{tmp_dir}/c", f"{tmp_dir}/a", rounds=2))
     assert len(snaps) == 2 and snaps[0][0].count() == 10 and snaps[0][1].count() == 5
+
+
+def test_restart_from_checkpoint_is_exactly_once(spark, tmp_dir):
+    """A stopped stream resumes from its checkpoint: files seen once, none twice."""
+    raw = catalog.raw(spark, SF)
+    src, out, ck, avg = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ck", f"{tmp_dir}/avg"
+    first, second = raw.randomSplit([0.5, 0.5], seed=7)
+    first.repartition(2).write.parquet(f"{src}/a")
+    schema = raw.schema
+
+    def run():
+        stream = S.clean(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+                         .option("recursiveFileLookup", "true").parquet(src))
+        q1 = S.start_files(stream, out, f"{ck}/c", available_now=True)
+        q2 = S.start_overwrite_table(S.running_average(S.long_form(stream)), avg, f"{ck}/a", available_now=True)
+        S.run_until_done([q1, q2])
+
+    run()
+    second.repartition(3).write.parquet(f"{src}/b")
+    run()  # same checkpoints: only the new files are processed
+    want = catalog.round_doubles(S.clean(raw))
+    assert _rows(catalog.round_doubles(spark.read.parquet(out))) == _rows(want)
+    want_avg = catalog.round_doubles(S.running_average(S.long_form(S.clean(raw))))
+    assert _rows(catalog.round_doubles(spark.read.parquet(avg))) == _rows(want_avg)
+
+
+def test_ingest_with_console_second_query(spark, tmp_dir):
+    payloads = f"{tmp_dir}/payloads"
+    encode_json(catalog.raw(spark, SF)).write.text(payloads)
+    qs = S.ingest(S.payload_stream(spark, payloads), raw_schema(), f"{tmp_dir}/out", f"{tmp_dir}/ck",
+                  available_now=True, console=True)
+    assert len(qs) == 2
+    S.run_until_done(qs)
+    assert spark.read.parquet(f"{tmp_dir}/out").count() == catalog.raw(spark, SF).count()
