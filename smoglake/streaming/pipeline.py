@@ -187,3 +187,14 @@ def snapshots(spark: SparkSession, cleaned_path: str, avg_path: str, rounds: int
         yield earliest(cleaned, n), spark.read.parquet(avg_path).orderBy("pollutant")
         if wait and i + 1 < rounds:
             wait()
+
+
+def await_any(spark: SparkSession, timeout_s: float | None = None) -> None:
+    """Block until any active query of the session ends (or fails)."""
+    spark.streams.awaitAnyTermination(timeout_s)
+
+
+def stop_all(queries: list[StreamingQuery]) -> None:
+    """Stop the given queries (their checkpoints allow a later restart)."""
+    for q in queries:
+        q.stop()

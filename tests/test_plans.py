@@ -44,3 +44,28 @@ def test_imputation_reuses_the_distinct_shuffle(spark):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in plan and "BroadcastNestedLoopJoin" in plan
+
+
+@pytest.mark.parametrize("name", ["daily_profile", "hourly_top5", "graph_hourly_norm_fact",
+                                  "graph_weekday_norm_fact", "stream_pollutant_avg"])
+def test_profiles_pre_aggregate_before_shuffle(spark, name):
+    """Skew guard: every profile aggregate is split into a map-side partial
+    aggregate, so a key holding a third of all rows ships one row per task."""
+    if name == "stream_pollutant_avg":
+        from smoglake.streaming import pipeline as S
+        df = S.running_average(S.long_form(S.clean(catalog.raw(spark, SF))))
+    else:
+        df = catalog.QUERIES[name](spark, SF)
+    plan = _plan(df)
+    assert "partial_avg" in plan
+    assert plan.index("partial_avg") > plan.index("Exchange hashpartitioning")  # listed below (before) a shuffle
+
+
+def test_presentation_helpers(spark):
+    from smoglake.plans.presentation import is_empty, to_small_pandas
+    prof = catalog.graph_hourly_norm_fact(spark, SF)
+    pdf = to_small_pandas(prof)
+    assert len(pdf) == 120
+    assert to_small_pandas(prof.limit(0)) is None and is_empty(prof.limit(0))
+    with pytest.raises(ValueError):
+        to_small_pandas(catalog.processed_table(spark, SF), max_rows=100)
