@@ -59,3 +59,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root.rstrip("/"), "smoglake", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def scale_conf(input_bytes: int, cores: int = 1, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a given input volume (cluster deployment).
+
+    Shuffle partitions start at about ``input / target`` (never fewer than
+    the cores) so the distinct's reducers stay small enough to avoid spills;
+    AQE then merges small ones and splits skewed ones at run time. Scan
+    splits follow the same target. Broadcasts stay behind Catalyst's size
+    estimate (explicit hints are used only for tables of fixed size).
+    """
+    parts = max(cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
