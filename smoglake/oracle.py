@@ -153,6 +153,31 @@ _RAW_OUT = "SELECT * FROM raw"
 _EXPLICIT_RAW_COLS = ('"Date", "Time", "COGT", "PT08S1CO", "NMHCGT", "C6H6GT", "PT08S2NMHC", "NOxGT", '
                       '"PT08S3NOx", "NO2GT", "PT08S4NO2", "PT08S5O3", "T", "RH", "AH"')
 
+def _lift_rounding(sql: str) -> str:
+    """Rewrite every ``ROUND(x, n)`` as ``ROUND((x) * (1 + pow(2, -40)), n)``,
+    the same tie-robust rounding as ``catalog.round_doubles``."""
+    out, i = [], 0
+    while True:
+        j = sql.find("ROUND(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        out.append(sql[i:j])
+        k, depth, comma = j + 6, 1, -1
+        while depth:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                comma = k
+            k += 1
+        arg = _lift_rounding(sql[j + 6:comma])
+        out.append(f"ROUND(({arg}) * (1 + pow(2, -40)),{sql[comma + 1:k - 1]})")
+        i = k
+
+
 SQL: dict[str, str] = {
     "csv_normalize": _with(_RAW) + " " + _RAW_OUT,
     "json_roundtrip": _with(_RAW) + " " + _RAW_OUT,
@@ -266,4 +291,8 @@ SQL: dict[str, str] = {
         event_timestamp, "year", "month", "day", day_of_week, hour_of_day FROM lproc""",
     "lineitem_weekday_norm": _with(_LINEITEM) + _LINEITEM_LONG + _norm(
         f"{_WEEKDAYS}[day_of_week]", "DayOfWeek", f'list_position({_DISPLAY}, "DayOfWeek")'),
+    "lineitem_hourly_norm": _with(_LINEITEM) + _LINEITEM_LONG + _norm(
+        "printf('%02d:00', hour_of_day)", "HourOfDay", '"HourOfDay"'),
 }
+
+SQL = {k: _lift_rounding(v) for k, v in SQL.items()}
