@@ -100,7 +100,8 @@ def time_edges(cal: DataFrame) -> dict[str, DataFrame]:
 def readings(processed: DataFrame, cfg: SensorConfig = AIR_QUALITY, id_col: str | None = "record_id") -> DataFrame:
     """K9 + R2 + R3 + J4: one reading per timed row and pollutant.
 
-    ``reading_id`` = sha2(row id | pollutant). The row id is ``id_col`` when
+    ``reading_id`` = ``<row id>:<pollutant>`` (unique because the row id is
+    a unique SHA-256; no second hash per reading). The row id is ``id_col`` when
     the processed frame carries one (``clean_and_transform(..., id_col=...)``
     derives it from the deduplicated raw row at no extra shuffle); otherwise
     :func:`with_row_ids` assigns one.
@@ -114,7 +115,7 @@ def readings(processed: DataFrame, cfg: SensorConfig = AIR_QUALITY, id_col: str
                        F.col("hour_of_day").alias("hour"), F.col(id_col).alias("__rid"))
     long = to_long(rows, [*HOUR_KEY, "__rid"], {m.label: m.snake for m in cfg.measures},
                    "pollutant", "value")
-    return long.select(F.sha2(F.concat_ws("|", F.col("__rid"), F.col("pollutant")), 256).alias("reading_id"),
+    return long.select(F.concat_ws(":", F.col("__rid"), F.col("pollutant")).alias("reading_id"),
                        *HOUR_KEY, "pollutant", "value")
 
 
