@@ -13,6 +13,7 @@ small table through ``foreachBatch``; memory sinks stay available for demos.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,14 +110,41 @@ def start_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
     return _trigger(w, available_now, processing_time).start()
 
 
+@contextmanager
+def _start_conf(spark: SparkSession, key: str, value: str | None):
+    """Set a conf only while a query starts: a streaming query snapshots the
+    session conf at start, and its checkpoint keeps it on restarts."""
+    if value is None:
+        yield
+        return
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def start_overwrite_table(df: DataFrame, path: str, checkpoint: str, available_now: bool = False,
-                          processing_time: str | None = None) -> StreamingQuery:
-    """K5 at scale: complete-mode result rewritten as a table each micro-batch."""
+                          processing_time: str | None = None,
+                          state_partitions: int | None = None) -> StreamingQuery:
+    """K5 at scale: complete-mode result rewritten as a table each micro-batch.
+
+    ``state_partitions`` sizes the stateful aggregate's shuffle and state
+    store by its key count instead of the session's batch-sized
+    ``spark.sql.shuffle.partitions`` (which could mean hundreds of thousands
+    of tasks per micro-batch for a handful of keys).
+    """
     def write(batch: DataFrame, _epoch: int) -> None:
         batch.write.mode("overwrite").parquet(path)
     w = (df.writeStream.outputMode("complete").foreachBatch(write)
          .option("checkpointLocation", checkpoint))
-    return _trigger(w, available_now, processing_time).start()
+    with _start_conf(df.sparkSession, "spark.sql.shuffle.partitions",
+                     str(state_partitions) if state_partitions else None):
+        return _trigger(w, available_now, processing_time).start()
 
 
 def start_memory(df: DataFrame, name: str, mode: str = "append", available_now: bool = False,
@@ -171,7 +199,8 @@ def analytics(spark: SparkSession, raw_dir: str, cleaned_out: str, avg_out: str,
     q1 = start_files(cleaned, cleaned_out, f"{checkpoint_root}/cleaned", available_now=available_now,
                      processing_time=processing_time)
     q2 = start_overwrite_table(running_average(long_form(cleaned, cfg)), avg_out,
-                               f"{checkpoint_root}/avg", available_now, processing_time)
+                               f"{checkpoint_root}/avg", available_now, processing_time,
+                               state_partitions=len(cfg.measures))
     return [q1, q2]
 
 

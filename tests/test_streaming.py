@@ -105,3 +105,15 @@ def test_ingest_with_console_second_query(spark, tmp_dir):
     assert len(qs) == 2
     S.run_until_done(qs)
     assert spark.read.parquet(f"{tmp_dir}/out").count() == catalog.raw(spark, SF).count()
+
+
+def test_state_partitions_sized_by_keys(spark, tmp_dir):
+    src = f"{tmp_dir}/raw"
+    _stage(spark, src, 2)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    qs = S.analytics(spark, src, f"{tmp_dir}/c", f"{tmp_dir}/a", f"{tmp_dir}/ck", available_now=True)
+    S.run_until_done(qs)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before  # session untouched
+    import glob
+    offsets = open(sorted(glob.glob(f"{tmp_dir}/ck/avg/offsets/*"))[0]).read()
+    assert '"spark.sql.shuffle.partitions":"5"' in offsets  # state store layout kept by the checkpoint
