@@ -3,7 +3,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from smoglake.functions.labels import hour_label, month_name, weekday_name, weekday_order
-from smoglake.operators.reshape import collect_unwind_normalize, min_max_normalize, pivot_matrix
+from smoglake.operators.reshape import (collect_unwind_normalize, min_max_normalize, normalize_by_join,
+                                       pivot_matrix)
 from smoglake.plans import analytics, documents
 
 
@@ -52,7 +53,8 @@ def test_zero_range_normalises_to_null(spark):
                                "g string, m string, v double")
     w = {(r.g, r.m): r.n for r in min_max_normalize(df, ["g"], "v", "n").collect()}
     c = {(r.g, r.m): r.n for r in collect_unwind_normalize(df, "g", "m", "v", "n").collect()}
-    assert w == c
+    j = {(r.g, r.m): r.n for r in normalize_by_join(df, ["g"], "v", "n").collect()}
+    assert w == c == j
     assert w[("a", "x")] is None and w[("b", "x")] == 0.0 and w[("b", "y")] == 1.0
 
 
