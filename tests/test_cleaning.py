@@ -93,3 +93,8 @@ def test_partitioned_overwrite_twice_equals_once(spark, tmp_dir):
     assert sorted(again.collect(), key=str) == once
     plan = again.filter("month = 1")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in plan
+
+
+def test_distinct_nan_and_signed_zero(spark):
+    df = spark.createDataFrame([(NAN, 0.0), (NAN, -0.0), (None, 1.0), (None, 1.0)], "a double, b double")
+    assert C.drop_duplicates(df).count() == 2

@@ -71,3 +71,11 @@ def test_json_roundtrip_keeps_nulls(spark):
     enc = encode_json(df)
     assert '"Date":null' in enc.first()["value"]
     assert sorted(decode_json(enc, schema).collect(), key=str) == sorted(df.collect(), key=str)
+
+
+def test_kafka_source_is_gated_without_connector(spark):
+    """The connector jar is not on this image: building the source fails
+    with Spark's 'data source not found' error instead of passing silently."""
+    from smoglake.sources.kafka import kafka_source
+    with pytest.raises(Exception, match="(?i)kafka"):
+        kafka_source(spark, "localhost:9092", "air_quality_stream")
