@@ -227,11 +227,12 @@ def graph_key_check(spark, sf_dir):
 def merge_on_create_query(spark, sf_dir):
     """Hour nodes of the first half-month exist with 'HH:00' names; a
     second load of every hour proposes 'HHh' names. Existing nodes keep
-    their name, new ones take the proposed one."""
-    cal = graph.calendar(processed(spark, sf_dir))
-    existing = (cal.filter(F.col("day") <= 15).select(*graph.HOUR_KEY).distinct()
+    their name, new ones take the proposed one. Both loads scan the stored
+    processed table."""
+    p = _stored_processed(spark, sf_dir, None)
+    existing = (graph.calendar(p).filter(F.col("day") <= 15).select(*graph.HOUR_KEY).distinct()
                 .withColumn("name", hour_label(F.col("hour"))))
-    incoming = graph.timed(processed(spark, sf_dir)).select(
+    incoming = graph.timed(p).select(
         "year", "month", "day", F.col("hour_of_day").alias("hour"),
         F.format_string("%02dh", F.col("hour_of_day")).alias("name"))
     return merge_on_create(existing, incoming, graph.HOUR_KEY)
