@@ -33,6 +33,7 @@ HEADLINE = [
     "stream_pollutant_avg",
     "lineitem_processed",
     "lineitem_weekday_norm",
+    "lineitem_hourly_norm",
 ]
 
 
