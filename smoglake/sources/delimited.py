@@ -53,7 +53,7 @@ def decimal_comma_to_double(c: Column) -> Column:
     ``try_cast`` keeps the permissive meaning (malformed text -> null) under
     ANSI mode, where a plain cast raises.
     """
-    return F.regexp_replace(c, ",", ".").try_cast("double")
+    return F.translate(c, ",", ".").try_cast("double")
 
 
 def parse_decimals(df: DataFrame, keep_as_string: tuple[str, ...] = ("Date", "Time")) -> DataFrame:
@@ -74,7 +74,7 @@ def read_sensor_csv(spark: SparkSession, path: str, sep: str = ";",
 
 def render_decimal_comma(c: Column, missing: str | None = None) -> Column:
     """Inverse of :func:`decimal_comma_to_double` for writing test inputs."""
-    text = F.regexp_replace(c.cast("string"), r"\.", ",")
+    text = F.translate(c.cast("string"), ".", ",")
     return text if missing is None else F.coalesce(text, F.lit(missing))
 
 
