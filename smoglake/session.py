@@ -49,9 +49,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if _LOCAL_FALLBACK is None:
             _LOCAL_FALLBACK = tempfile.mkdtemp(prefix="smoglake-ckpt-")
         root = _LOCAL_FALLBACK
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(root)
+    try:  # classic sessions: make df.checkpoint() use the same folder
+        sc = spark.sparkContext
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(root)
+    except Exception:  # noqa: BLE001  (a Spark Connect session has no SparkContext)
+        pass
     return root
 
 
