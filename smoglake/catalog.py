@@ -190,9 +190,11 @@ def pollutant_list(spark, sf_dir):
 # --------------------------------------------------------------- graph ---
 
 def _stored_processed(spark, sf_dir, id_col: str | None = "record_id") -> DataFrame:
-    """C3 output written once to the shared folder, then scanned (S3)."""
+    """C3 as the process stage runs it (deduplicated rows staged once), written
+    to the shared folder, then scanned (S3)."""
     path = scratch_path(spark, "processed")
-    write_overwrite(processed(spark, sf_dir, id_col), path)
+    p = C.clean_and_transform(raw(spark, sf_dir), AIR_QUALITY, id_col, staging_path=scratch_path(spark, "dedup"))
+    write_overwrite(p, path)
     return spark.read.parquet(path)
 
 

@@ -15,6 +15,7 @@ from .config import AIR_QUALITY, SensorConfig
 from .operators.cleaning import clean_and_transform
 from .plans import analytics, documents, graph
 from .plans.presentation import preview
+from .session import scratch_path
 from .sources.delimited import read_sensor_csv
 from .sources.json_codec import raw_schema
 from .sources.kafka import decoded_topic, publish
@@ -45,9 +46,11 @@ def ingest(spark: SparkSession, raw_path: str, checkpoint: str, brokers: str | N
 
 def process(spark: SparkSession, raw_path: str, processed_path: str, cfg: SensorConfig = AIR_QUALITY,
             partition_by: list[str] | None = None, id_col: str | None = "record_id") -> DataFrame:
-    """Raw parquet -> processed parquet (overwrite)."""
-    write_overwrite(clean_and_transform(spark.read.parquet(raw_path), cfg, id_col), processed_path,
-                    partition_by)
+    """Raw parquet -> processed parquet (overwrite); the deduplicated rows
+    are staged once under the shared checkpoint folder."""
+    staged = clean_and_transform(spark.read.parquet(raw_path), cfg, id_col,
+                                 staging_path=scratch_path(spark, "dedup"))
+    write_overwrite(staged, processed_path, partition_by)
     return spark.read.parquet(processed_path)
 
 

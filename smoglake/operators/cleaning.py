@@ -121,14 +121,26 @@ def project_and_rename(df: DataFrame, cfg: SensorConfig = AIR_QUALITY, id_col: s
     return rename_columns(drop_columns(distinct, cfg.dropped_columns), cfg.renames)
 
 
-def clean_and_transform(df: DataFrame, cfg: SensorConfig = AIR_QUALITY, id_col: str | None = None) -> DataFrame:
+def clean_and_transform(df: DataFrame, cfg: SensorConfig = AIR_QUALITY, id_col: str | None = None,
+                        staging_path: str | None = None) -> DataFrame:
     """Distinct -> drop -> rename -> sentinel to null -> impute -> timestamp -> features.
 
     Order matters: the distinct runs on all raw columns before the projection,
     and the means are taken over deduplicated, non-missing values.
+
+    Without ``staging_path`` this is one plan: the means branch reuses the
+    distinct's shuffle files but repeats its reduce-side aggregation. With
+    ``staging_path`` (a folder on shared storage) the deduplicated, nulled
+    rows are written once; the means come from a columnar scan of just the
+    sensor columns and the fill from a second scan. At large scale that
+    halves the distinct's reduce work and cuts the lineage, so a lost
+    executor never re-runs the distinct's shuffle.
     """
     renamed = project_and_rename(df, cfg, id_col)
     nulled = sentinel_to_null(renamed, cfg.sensor_columns, cfg.sentinel)
+    if staging_path:
+        nulled.write.mode("overwrite").parquet(staging_path)
+        nulled = nulled.sparkSession.read.parquet(staging_path)
     imputed = impute_mean(nulled, cfg.sensor_columns)
     return add_time_features(parse_event_time(imputed, cfg), cfg.event_time)
 

@@ -98,3 +98,13 @@ def test_partitioned_overwrite_twice_equals_once(spark, tmp_dir):
 def test_distinct_nan_and_signed_zero(spark):
     df = spark.createDataFrame([(NAN, 0.0), (NAN, -0.0), (None, 1.0), (None, 1.0)], "a double, b double")
     assert C.drop_duplicates(df).count() == 2
+
+
+def test_staged_cleaning_equals_single_plan(spark, tmp_dir):
+    from smoglake import catalog
+    raw = catalog.raw(spark, "/root/testdata/sf0.001")
+    inline = catalog.round_doubles(C.clean_and_transform(raw, AIR_QUALITY, "record_id"))
+    staged = C.clean_and_transform(raw, AIR_QUALITY, "record_id", staging_path=f"{tmp_dir}/dedup")
+    assert sorted(catalog.round_doubles(staged).collect(), key=str) == sorted(inline.collect(), key=str)
+    plan = staged._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(PT08S3NOx" not in plan  # the distinct is not re-run
