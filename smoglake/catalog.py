@@ -27,7 +27,7 @@ from .session import scratch_path
 from .sources.delimited import read_sensor_csv, write_sensor_csv
 from .sources.json_codec import decode_json, encode_json, raw_schema
 from .sources.sensor_fixture import raw_sensor
-from .sources.tables import load_driver_table, write_overwrite
+from .sources.tables import load_driver_table, write_overwrite, write_table
 from .streaming import pipeline as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -192,10 +192,8 @@ def pollutant_list(spark, sf_dir):
 def _stored_processed(spark, sf_dir, id_col: str | None = "record_id") -> DataFrame:
     """C3 as the process stage runs it (deduplicated rows staged once), written
     to the shared folder, then scanned (S3)."""
-    path = scratch_path(spark, "processed")
     p = C.clean_and_transform(raw(spark, sf_dir), AIR_QUALITY, id_col, staging_path=scratch_path(spark, "dedup"))
-    write_overwrite(p, path)
-    return spark.read.parquet(path)
+    return write_table(p, scratch_path(spark, "processed"))
 
 
 def _stored_graph(spark, sf_dir, legacy: bool = False) -> graph.Graph:
@@ -276,10 +274,9 @@ def hourly_norm_pivot(spark, sf_dir):
 
 # ------------------------------------------------------------ streaming --
 
-def _stage_raw(spark, sf_dir) -> str:
+def _stage_raw(spark, sf_dir) -> tuple[str, DataFrame]:
     path = scratch_path(spark, "raw")
-    raw(spark, sf_dir).write.mode("overwrite").parquet(path)
-    return path
+    return path, write_table(raw(spark, sf_dir), path)
 
 
 def stream_ingest(spark, sf_dir):
@@ -292,30 +289,37 @@ def stream_ingest(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-def _stream_outputs(spark, sf_dir) -> tuple[str, str]:
-    src = _stage_raw(spark, sf_dir)
+def _stream_outputs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Stage the raw rows as files, run both stream queries to completion,
+    return scans of their result tables."""
+    src, staged = _stage_raw(spark, sf_dir)
     cleaned, avg = scratch_path(spark, "cleaned"), scratch_path(spark, "avg")
-    qs = S.analytics(spark, src, cleaned, avg, scratch_path(spark, "ckpt-stream"), available_now=True)
+    qs = S.analytics(spark, src, cleaned, avg, scratch_path(spark, "ckpt-stream"), available_now=True,
+                     schema=staged.schema)
     S.run_until_done(qs)
-    return cleaned, avg
+    cfg = AIR_QUALITY
+    cleaned_schema = S.clean(staged, cfg).schema
+    avg_schema = S.running_average(S.long_form(S.clean(staged, cfg), cfg)).schema
+    return (spark.read.schema(cleaned_schema).parquet(cleaned),
+            spark.read.schema(avg_schema).parquet(avg))
 
 
 def stream_cleaned(spark, sf_dir):
     """File stream -> clean -> append sink."""
     cleaned, _ = _stream_outputs(spark, sf_dir)
-    return spark.read.parquet(cleaned)
+    return cleaned
 
 
 def stream_pollutant_avg(spark, sf_dir):
     """Running average per pollutant after all files."""
     _, avg = _stream_outputs(spark, sf_dir)
-    return round_doubles(spark.read.parquet(avg).orderBy("pollutant"))
+    return round_doubles(avg.orderBy("pollutant"))
 
 
 def stream_snapshot_top10(spark, sf_dir):
     """Earliest 10 cleaned rows of the stream's sink table."""
     cleaned, _ = _stream_outputs(spark, sf_dir)
-    return S.earliest(spark.read.parquet(cleaned), 10)
+    return S.earliest(cleaned, 10)
 
 
 # ------------------------------------------------- scale configuration --

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import AIR_QUALITY, SensorConfig  # noqa: F401  (re-exported)
+from ..sources.tables import write_table
 from .keys import content_id
 
 
@@ -139,8 +140,7 @@ def clean_and_transform(df: DataFrame, cfg: SensorConfig = AIR_QUALITY, id_col:
     renamed = project_and_rename(df, cfg, id_col)
     nulled = sentinel_to_null(renamed, cfg.sensor_columns, cfg.sentinel)
     if staging_path:
-        nulled.write.mode("overwrite").parquet(staging_path)
-        nulled = nulled.sparkSession.read.parquet(staging_path)
+        nulled = write_table(nulled, staging_path)
     imputed = impute_mean(nulled, cfg.sensor_columns)
     return add_time_features(parse_event_time(imputed, cfg), cfg.event_time)
 

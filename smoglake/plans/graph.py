@@ -27,6 +27,7 @@ from ..functions.labels import hour_label, literal_table, month_name, weekday_na
 from ..operators.keys import with_row_ids
 from ..operators.quality import key_check
 from ..operators.reshape import collect_unwind_normalize, min_max_normalize, to_long
+from ..sources.tables import write_table
 
 HOUR_KEY = ["year", "month", "day", "hour"]
 DAY_KEY = ["year", "month", "day"]
@@ -166,10 +167,8 @@ def store_graph(processed: DataFrame, root: str, cfg: SensorConfig = AIR_QUALITY
     processed parquet), so neither pass recomputes the cleaning shuffle.
     """
     spark = processed.sparkSession
-    readings(processed, cfg, id_col).write.mode("overwrite").parquet(f"{root}/readings")
-    calendar(processed, cfg).write.mode("overwrite").parquet(f"{root}/calendar")
-    cal = spark.read.parquet(f"{root}/calendar")
-    reads = spark.read.parquet(f"{root}/readings")
+    reads = write_table(readings(processed, cfg, id_col), f"{root}/readings")
+    cal = write_table(calendar(processed, cfg), f"{root}/calendar")
     nodes = time_nodes(cal, cfg.legacy_weekday_labels)
     nodes["PollutionType"] = pollution_types(spark, reads, cfg)
     g = Graph(nodes=nodes, edges=time_edges(cal), readings=reads)

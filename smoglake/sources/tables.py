@@ -25,3 +25,13 @@ def write_overwrite(df: DataFrame, path: str, partition_by: list[str] | None = N
 def load_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's generated tables (``<sf_dir>/<name>.parquet``)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
+    """K6 then S2: overwrite ``path`` and return a scan of it.
+
+    The scan reuses the schema just written, so no footer-reading job is
+    launched to infer it (file sources read every column as nullable).
+    """
+    write_overwrite(df, path, partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

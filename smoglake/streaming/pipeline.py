@@ -192,9 +192,12 @@ def run_until_done(queries: list[StreamingQuery], timeout_s: float | None = None
 def analytics(spark: SparkSession, raw_dir: str, cleaned_out: str, avg_out: str, checkpoint_root: str,
               cfg: SensorConfig = AIR_QUALITY, available_now: bool = False,
               max_files_per_trigger: int | None = 1,
-              processing_time: str | None = None) -> list[StreamingQuery]:
-    """Raw file stream -> cleaned rows (append) and running averages (complete)."""
-    src = file_stream(spark, raw_dir, batch_schema(spark, raw_dir), "parquet", max_files_per_trigger)
+              processing_time: str | None = None, schema: StructType | None = None) -> list[StreamingQuery]:
+    """Raw file stream -> cleaned rows (append) and running averages (complete).
+
+    The stream schema is pinned from a batch read of ``raw_dir`` unless given.
+    """
+    src = file_stream(spark, raw_dir, schema or batch_schema(spark, raw_dir), "parquet", max_files_per_trigger)
     cleaned = clean(src, cfg)
     q1 = start_files(cleaned, cleaned_out, f"{checkpoint_root}/cleaned", available_now=available_now,
                      processing_time=processing_time)
