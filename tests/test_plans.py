@@ -69,3 +69,20 @@ def test_presentation_helpers(spark):
     assert to_small_pandas(prof.limit(0)) is None and is_empty(prof.limit(0))
     with pytest.raises(ValueError):
         to_small_pandas(catalog.processed_table(spark, SF), max_rows=100)
+
+
+def test_library_never_pulls_data_to_the_driver():
+    """No collect / toPandas / toLocalIterator / rdd hops in library code; the
+    one guarded pandas hand-off lives in plans/presentation.py."""
+    import pathlib
+    import re
+    root = pathlib.Path(__file__).resolve().parents[1] / "smoglake"
+    banned = re.compile(r"(?<!\bF)\.(collect|toPandas|toLocalIterator|take|head|first)\(|\.rdd\b|udf\(|pandas_udf")
+    offenders = []
+    for f in root.rglob("*.py"):
+        if f.name == "presentation.py":
+            continue
+        for i, line in enumerate(f.read_text().splitlines(), 1):
+            if banned.search(line) and not line.lstrip().startswith("#"):
+                offenders.append(f"{f.name}:{i}: {line.strip()}")
+    assert not offenders, offenders
