@@ -28,7 +28,7 @@ from .sources.delimited import read_sensor_csv, write_sensor_csv
 from .sources.json_codec import decode_json, encode_json, raw_schema
 from .sources.sensor_fixture import raw_sensor
 from .sources.tables import load_driver_table, write_overwrite, write_table
-from .streaming import pipeline as S
+from .streaming import sensor_stream as S
 
 Query = Callable[[SparkSession, str], DataFrame]
 HOUR_LABELS = [f"{h:02d}:00" for h in range(24)]

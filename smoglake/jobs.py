@@ -20,7 +20,7 @@ from .sources.delimited import read_sensor_csv
 from .sources.json_codec import raw_schema
 from .sources.kafka import decoded_topic, publish
 from .sources.tables import write_overwrite
-from .streaming import pipeline as S
+from .streaming import sensor_stream as S
 
 
 def publish_csv(spark: SparkSession, csv_path: str, brokers: str, topic: str) -> DataFrame:

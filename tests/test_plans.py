@@ -52,7 +52,7 @@ def test_profiles_pre_aggregate_before_shuffle(spark, name):
     """Skew guard: every profile aggregate is split into a map-side partial
     aggregate, so a key holding a third of all rows ships one row per task."""
     if name == "stream_pollutant_avg":
-        from smoglake.streaming import pipeline as S
+        from smoglake.streaming import sensor_stream as S
         df = S.running_average(S.long_form(S.clean(catalog.raw(spark, SF))))
     else:
         df = catalog.QUERIES[name](spark, SF)

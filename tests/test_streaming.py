@@ -2,7 +2,7 @@ import uuid
 
 from smoglake import catalog
 from smoglake.sources.json_codec import encode_json, raw_schema
-from smoglake.streaming import pipeline as S
+from smoglake.streaming import sensor_stream as S
 
 SF = "/root/testdata/sf0.001"
 
