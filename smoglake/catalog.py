@@ -286,7 +286,7 @@ def stream_ingest(spark, sf_dir):
     out, ckpt = scratch_path(spark, "ingested"), scratch_path(spark, "ckpt-ingest")
     qs = S.ingest(S.payload_stream(spark, payload_dir), raw_schema(), out, ckpt, available_now=True)
     S.run_until_done(qs)
-    return spark.read.parquet(out)
+    return spark.read.schema(raw_schema()).parquet(out)
 
 
 def _stream_outputs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
