@@ -45,13 +45,19 @@ def flatten(docs: DataFrame, cfg: SensorConfig = AIR_QUALITY) -> DataFrame:
     )
 
 
-def write_documents(docs: DataFrame, path: str, fmt: str = "json", options: dict | None = None) -> None:
+def write_documents(docs: DataFrame, path: str, fmt: str = "json", options: dict | None = None,
+                    skip_empty: bool = False) -> bool:
     """K7 + P15: full refresh of the collection (overwrite replaces the old load).
 
-    An empty input writes an empty collection rather than being skipped, so
-    re-running never leaves stale documents behind.
+    By default an empty input writes an empty collection, so re-running never
+    leaves stale documents behind. ``skip_empty=True`` keeps the previous
+    collection when there is nothing to load (F5), checked with a one-row
+    probe rather than a count. Returns whether anything was written.
     """
+    if skip_empty and docs.isEmpty():
+        return False
     docs.write.mode("overwrite").format(fmt).options(**(options or {})).save(path)
+    return True
 
 
 def read_documents(spark: SparkSession, path: str, cfg: SensorConfig = AIR_QUALITY,
