@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3, median reported after one warm-up), BENCH_QUERIES
+BENCH_RUNS (default 5, median reported after one warm-up), BENCH_QUERIES
 (comma list to restrict). Each query is executed in full through the
 ``noop`` sink, so timing covers the whole plan without collecting rows.
 """
@@ -46,7 +46,7 @@ def _run(spark, name, sf_dir):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     spark = build_session(cpus, app="smoglake-bench", shuffle_partitions=cpus)
     times = {}
