@@ -1,0 +1 @@
+"""Column expressions for labels and small literal lookup tables."""

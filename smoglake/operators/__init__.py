@@ -1,0 +1 @@
+"""DataFrame operators: cleaning, reshapes, quality checks, merges, row identities."""

@@ -1,0 +1 @@
+"""Query plans over the processed table: documents, profiles, graph, presentation."""

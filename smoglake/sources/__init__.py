@@ -1,0 +1 @@
+"""Ingest and storage: delimited text, JSON payload codec, Kafka topics, parquet tables."""

@@ -1,0 +1 @@
+"""Structured Streaming stages: file/topic sources, clean, running averages, sinks."""
