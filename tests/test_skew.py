@@ -57,3 +57,15 @@ def test_hot_group_cleans_correctly(spark):
     hot = p.filter("year = 2024 AND month = 1 AND day = 2 AND hour_of_day = 3 AND carbon_monoxide = 12.5")
     assert hot.count() == 1  # the copies collapse to one processed row
     assert p.filter("carbon_monoxide IS NULL OR benzene IS NULL").count() == 0
+
+
+def test_single_hot_aggregate_key_ships_one_row_per_task(spark):
+    """lineitem ship dates carry no time of day: every reading falls into one
+    hour key. The profile's aggregate shuffle carries a handful of partial
+    rows per map task, not the 4 readings per input row."""
+    from smoglake import catalog
+    df = catalog.lineitem_hourly_norm(spark, "/root/testdata/sf0.01")
+    rows = _shuffle_rows(df)
+    assert df.count() == 4
+    lineitem_rows = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert min(rows) <= 4 * 16 < lineitem_rows  # 4 (pollutant, hour) keys x at most 16 map tasks
