@@ -64,6 +64,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--processing-time", default="3 seconds")
     s.add_argument("--rounds", type=int, default=10)
     s.add_argument("--wait", type=float, default=3.0)
+    s.add_argument("--memory", action="store_true", help="named in-memory result tables (demo)")
     return p
 
 
@@ -97,7 +98,7 @@ def main(argv: list[str] | None = None) -> None:
     elif a.stage == "stream":
         qs = jobs.stream(spark, a.raw, a.out, a.checkpoint, available_now=a.available_now,
                          max_files_per_trigger=a.max_files_per_trigger, processing_time=a.processing_time,
-                         rounds=a.rounds, wait_s=a.wait)
+                         rounds=a.rounds, wait_s=a.wait, memory=a.memory)
         for q in qs:
             q.stop()
 

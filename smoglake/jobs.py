@@ -92,9 +92,20 @@ def graph_queries(spark: SparkSession, graph_path: str, out: str) -> dict[str, D
 
 def stream(spark: SparkSession, raw_path: str, out: str, checkpoint: str, cfg: SensorConfig = AIR_QUALITY,
            available_now: bool = False, max_files_per_trigger: int | None = 1,
-           processing_time: str | None = None, rounds: int = 0, wait_s: float = 3.0) -> list:
+           processing_time: str | None = None, rounds: int = 0, wait_s: float = 3.0,
+           memory: bool = False) -> list:
     """Raw file stream -> cleaned rows and running averages, with
-    ``rounds`` live snapshots ``wait_s`` apart (T8)."""
+    ``rounds`` live snapshots ``wait_s`` apart (T8). ``memory=True`` keeps the
+    results as the named in-memory tables of the demo instead of files."""
+    if memory:
+        qs = S.analytics_memory(spark, raw_path, checkpoint, cfg, available_now, max_files_per_trigger,
+                                processing_time)
+        if available_now:
+            S.run_until_done(qs)
+        for top, avgs in S.sql_snapshots(spark, rounds, wait=lambda: time.sleep(wait_s)):
+            preview(top, 10)
+            preview(avgs, 10)
+        return qs
     cleaned, avg = f"{out}/cleaned_pollutants", f"{out}/pollutant_avg"
     qs = S.analytics(spark, raw_path, cleaned, avg, checkpoint, cfg, available_now,
                      max_files_per_trigger, processing_time)

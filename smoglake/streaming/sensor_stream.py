@@ -230,3 +230,33 @@ def stop_all(queries: list[StreamingQuery]) -> None:
     """Stop the given queries (their checkpoints allow a later restart)."""
     for q in queries:
         q.stop()
+
+
+def analytics_memory(spark: SparkSession, raw_dir: str, checkpoint_root: str, cfg: SensorConfig = AIR_QUALITY,
+                     available_now: bool = False, max_files_per_trigger: int | None = 1,
+                     processing_time: str | None = None,
+                     names: tuple[str, str] = ("cleaned_pollutants", "pollutant_avg")) -> list[StreamingQuery]:
+    """C9 in its demo shape: the two results as named in-memory tables that
+    SQL can query while the streams run (K4, K5, S8). Memory sinks live on
+    the driver, so this form is for demos and small inputs only; use
+    :func:`analytics` for file-backed results."""
+    src = file_stream(spark, raw_dir, batch_schema(spark, raw_dir), "parquet", max_files_per_trigger)
+    cleaned = clean(src, cfg)
+    q1 = start_memory(cleaned, names[0], "append", available_now, processing_time,
+                      f"{checkpoint_root}/{names[0]}")
+    avg = running_average(long_form(cleaned, cfg))
+    with _start_conf(spark, "spark.sql.shuffle.partitions", str(len(cfg.measures))):
+        q2 = start_memory(avg, names[1], "complete", available_now, processing_time,
+                          f"{checkpoint_root}/{names[1]}")
+    return [q1, q2]
+
+
+def sql_snapshots(spark: SparkSession, rounds: int = 10, wait: Callable[[], None] | None = None,
+                  names: tuple[str, str] = ("cleaned_pollutants", "pollutant_avg"), n: int = 10):
+    """T8 over the named tables: the earliest ``n`` cleaned rows and the
+    averages by pollutant, once per round."""
+    for i in range(rounds):
+        yield (spark.sql(f"SELECT * FROM {names[0]} ORDER BY event_timestamp LIMIT {int(n)}"),
+               spark.sql(f"SELECT * FROM {names[1]} ORDER BY pollutant"))
+        if wait and i + 1 < rounds:
+            wait()

@@ -117,3 +117,15 @@ def test_state_partitions_sized_by_keys(spark, tmp_dir):
     import glob
     offsets = open(sorted(glob.glob(f"{tmp_dir}/ck/avg/offsets/*"))[0]).read()
     assert '"spark.sql.shuffle.partitions":"5"' in offsets  # state store layout kept by the checkpoint
+
+
+def test_named_memory_tables_demo(spark, tmp_dir):
+    src = f"{tmp_dir}/raw"
+    _stage(spark, src, 3)
+    names = (f"cleaned_{uuid.uuid4().hex[:6]}", f"avg_{uuid.uuid4().hex[:6]}")
+    qs = S.analytics_memory(spark, src, f"{tmp_dir}/ck", available_now=True, names=names)
+    S.run_until_done(qs)
+    (top, avg), = list(S.sql_snapshots(spark, rounds=1, names=names))
+    assert top.count() == 10
+    want = catalog.round_doubles(S.running_average(S.long_form(S.clean(catalog.raw(spark, SF)))))
+    assert _rows(catalog.round_doubles(avg)) == _rows(want)
