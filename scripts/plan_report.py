@@ -28,11 +28,12 @@ NOTES = {
     "daily_profile": "Partial aggregate before the only data shuffle; the 7-row weekday table is a "
                      "literal broadcast; the final sort runs on at most 8 rows.",
     "hourly_top5": "TakeOrderedAndProject (no global sort) over 25 aggregated rows.",
-    "graph_hourly_norm": "Reads the stored readings fact; the hour-node side (a distinct over the "
-                         "stored calendar) and the 5-row type table are broadcast; the window sees "
-                         "only aggregated rows.",
-    "graph_weekday_norm": "Readings join the DAY_OF_WEEK edge table (calendar-sized) and the "
-                          "7-row weekday nodes, both broadcast.",
+    "graph_hourly_norm": "Eager aggregation: the stored readings fact is reduced to sums and counts "
+                         "per (hour key, pollutant) with a map-side partial aggregate before any "
+                         "join; only those rows meet the hour nodes (a distinct over the stored "
+                         "calendar) and the 5-row type table. The window sees only aggregated rows.",
+    "graph_weekday_norm": "Readings pre-aggregated per (day key, pollutant), then joined to the "
+                          "DAY_OF_WEEK edge table (calendar-sized) and the 7-row weekday nodes.",
     "stream_pollutant_avg": "Reads the stream's result table (the streaming plan itself is "
                             "scan -> filter pushed -> expand -> partial_avg -> exchange(5) -> state store).",
     "merge_on_create": "min aggregates per key (map-side combine) and an anti join on the key.",
