@@ -305,17 +305,25 @@ def _long_fact(processed: DataFrame, cfg: SensorConfig) -> DataFrame:
 def hourly_profile_fact(processed: DataFrame, cfg: SensorConfig = AIR_QUALITY,
                         method: str = "window") -> DataFrame:
     """Fact form of :func:`hourly_profile`: no joins, one aggregate over the
-    unpivoted processed rows (every timed row has exactly one hour node)."""
-    avg = _long_fact(processed, cfg).groupBy(
-        "Pollutant", hour_label(F.col("hour_of_day")).alias("HourOfDay")).agg(F.avg("value").alias("AvgValue"))
+    unpivoted processed rows (every timed row has exactly one hour node).
+
+    Groups on the integer hour and labels the aggregated rows afterwards:
+    the label is one-to-one with the hour, and formatting it per reading
+    would cost a string format for every row at scale.
+    """
+    avg = (_long_fact(processed, cfg).groupBy("Pollutant", "hour_of_day")
+           .agg(F.avg("value").alias("AvgValue"))
+           .select("Pollutant", hour_label(F.col("hour_of_day")).alias("HourOfDay"), "AvgValue"))
     return _finish(avg, "HourOfDay", method).orderBy("Pollutant", "HourOfDay")
 
 
 def weekday_profile_fact(processed: DataFrame, cfg: SensorConfig = AIR_QUALITY,
                          method: str = "window") -> DataFrame:
-    """Fact form of :func:`weekday_profile`."""
-    avg = _long_fact(processed, cfg).groupBy(
-        "Pollutant", weekday_name(F.col("day_of_week"), cfg.legacy_weekday_labels).alias("DayOfWeek")
-    ).agg(F.avg("value").alias("AvgValue"))
+    """Fact form of :func:`weekday_profile` (groups on the weekday code, names
+    the at most 35 aggregated rows)."""
+    avg = (_long_fact(processed, cfg).groupBy("Pollutant", "day_of_week")
+           .agg(F.avg("value").alias("AvgValue"))
+           .select("Pollutant", weekday_name(F.col("day_of_week"), cfg.legacy_weekday_labels).alias("DayOfWeek"),
+                   "AvgValue"))
     return (_finish(avg, "DayOfWeek", method)
             .orderBy("Pollutant", weekday_order(F.col("DayOfWeek"))))
