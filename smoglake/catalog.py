@@ -234,7 +234,7 @@ def merge_on_create_query(spark, sf_dir):
                 .withColumn("name", hour_label(F.col("hour"))))
     incoming = graph.timed(p).select(
         "year", "month", "day", F.col("hour_of_day").alias("hour"),
-        F.format_string("%02dh", F.col("hour_of_day")).alias("name"))
+        F.concat(F.lpad(F.col("hour_of_day").cast("string"), 2, "0"), F.lit("h")).alias("name"))
     return merge_on_create(existing, incoming, graph.HOUR_KEY)
 
 
