@@ -84,3 +84,21 @@ def test_documents_skip_empty_keeps_previous_load(spark, tmp_dir):
     assert documents.read_documents(spark, tmp_dir).count() == 1
     assert documents.write_documents(documents.nest(p.limit(0)), tmp_dir)  # default: full refresh
     assert documents.read_documents(spark, tmp_dir).count() == 0
+
+
+def test_stack_expr_equals_to_long(spark):
+    from smoglake.operators.reshape import stack_expr, to_long
+    df = spark.createDataFrame([(1, 2.0, None), (2, 3.0, 4.0)], "k int, a double, b double")
+    cols = {"A": "a", "B": "b"}
+    via_sql = df.selectExpr("k", stack_expr(cols))
+    via_api = to_long(df, ["k"], cols)
+    key = lambda r: (r.k, r.pollutant)
+    assert sorted(via_sql.collect(), key=key) == sorted(via_api.collect(), key=key)
+
+
+def test_read_table_scans_parquet(spark, tmp_dir):
+    from smoglake.sources.tables import read_table, write_table
+    df = spark.range(5).withColumnRenamed("id", "x")
+    back = write_table(df, f"{tmp_dir}/t")
+    assert sorted(r.x for r in read_table(spark, f"{tmp_dir}/t").collect()) == list(range(5))
+    assert back.count() == 5

@@ -95,3 +95,12 @@ def test_export_all_writes_every_table(spark, tmp_dir):
     assert sorted(os.listdir(f"{tmp_dir}/nodes")) == sorted(graph.NODE_KEYS)
     assert sorted(os.listdir(f"{tmp_dir}/edges")) == sorted(graph.EDGE_TYPES)
     assert g.readings.count() == 5 * stored.filter("event_timestamp is not null").count()
+
+
+def test_edge_views_match_the_readings_fact(spark, tmp_dir):
+    g = graph.store_graph(catalog.processed(spark, SF, "record_id"), tmp_dir)
+    hr, ro = g.has_reading(), g.reading_of()
+    n = g.readings.count()
+    assert hr.count() == ro.count() == n
+    assert hr.join(ro, "reading_id").count() == n  # every reading has one hour and one type
+    assert {r.name for r in ro.select("name").distinct().collect()} == {"CO", "NMHC", "Benzene", "NOx", "NO2"}

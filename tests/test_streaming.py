@@ -129,3 +129,17 @@ def test_named_memory_tables_demo(spark, tmp_dir):
     assert top.count() == 10
     want = catalog.round_doubles(S.running_average(S.long_form(S.clean(catalog.raw(spark, SF)))))
     assert _rows(catalog.round_doubles(avg)) == _rows(want)
+
+
+def test_lifecycle_helpers(spark, tmp_dir):
+    src = f"{tmp_dir}/raw"
+    _stage(spark, src, 1)
+    stream = S.clean(S.file_stream(spark, src, S.batch_schema(spark, src)))
+    q = S.start_files(stream, f"{tmp_dir}/out", f"{tmp_dir}/ck", processing_time="1 second")
+    q.processAllAvailable()
+    S.stop_all([q])
+    assert not q.isActive
+    q2 = S.start_files(stream, f"{tmp_dir}/out", f"{tmp_dir}/ck", available_now=True)
+    S.await_any(spark, 120)  # returns once the availableNow query ends
+    q2.awaitTermination()
+    assert spark.read.parquet(f"{tmp_dir}/out").count() == S.clean(catalog.raw(spark, SF)).count()
