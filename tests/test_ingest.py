@@ -79,3 +79,12 @@ def test_kafka_source_is_gated_without_connector(spark):
     from smoglake.sources.kafka import kafka_source
     with pytest.raises(Exception, match="(?i)kafka"):
         kafka_source(spark, "localhost:9092", "air_quality_stream")
+
+
+def test_kafka_publish_is_gated_without_connector(spark):
+    """publish() is a distributed Kafka write of encode_json rows; without the
+    connector jar Spark refuses the format instead of writing elsewhere."""
+    from smoglake.sources.kafka import publish
+    df = spark.createDataFrame([("a", "b") + (1.0,) * 13], raw_schema())
+    with pytest.raises(Exception, match="(?i)kafka"):
+        publish(df, "localhost:9092", "air_quality_stream")
