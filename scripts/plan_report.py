@@ -22,9 +22,9 @@ NAMES = ["processed", "daily_profile", "hourly_top5", "graph_hourly_norm", "grap
          "stream_pollutant_avg", "merge_on_create", "lineitem_hourly_norm"]
 
 NOTES = {
-    "processed": "One hash exchange (the full-row distinct, partial aggregate below it). The "
-                 "means branch reads the same shuffle output (ReusedExchange) and ends in a "
-                 "one-row broadcast; no Python, scan reads 4 of 6 event columns.",
+    "processed": "The full-row distinct (partial aggregate below its hash exchange); the "
+                 "means are one global aggregate read as a single scalar subquery (no join); "
+                 "no Python; the scan reads 4 of 6 event columns.",
     "daily_profile": "Partial aggregate before the only data shuffle; the 7-row weekday table is a "
                      "literal broadcast; the final sort runs on at most 8 rows.",
     "hourly_top5": "TakeOrderedAndProject (no global sort) over 25 aggregated rows.",

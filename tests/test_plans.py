@@ -39,11 +39,13 @@ def test_scan_prunes_columns(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double>" in plan
 
 
-def test_imputation_reuses_the_distinct_shuffle(spark):
+def test_imputation_is_one_scalar_subquery_without_joins(spark):
     df = catalog.processed_table(spark, SF)
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "ReusedExchange" in plan and "BroadcastNestedLoopJoin" in plan
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("Subquery subquery") == 1
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
 @pytest.mark.parametrize("name", ["daily_profile", "hourly_top5", "graph_hourly_norm_fact",
