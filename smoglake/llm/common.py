@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,6 +72,25 @@ def map_columns(df: DataFrame, inputs: list[str], outputs: list[T.StructField],
     return sent.mapInArrow(run, schema).toDF(*carry, *[f.name for f in outputs])
 
 
+def ranked(df: DataFrame, order: list[str], out: str, name: str) -> DataFrame:
+    """``df`` plus ``out``: each row's place from 0 in the order of ``order`` over the whole frame.
+
+    Rows are dealt by range, sorted and numbered inside each partition and
+    written; then the partitions' counts (a row per partition) are summed up
+    and added. No task sees more than its range. ``order`` should tell rows
+    apart; rows that tie get places in no fixed order.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    place = F.monotonically_increasing_id()
+    rows = staged(df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                  .withColumns({"_part": F.spark_partition_id(), "_place": place.bitwiseAND((1 << 33) - 1)}), name)
+    counts = rows.groupBy("_part").count()
+    before = counts.select("_part", (F.sum("count").over(Window.orderBy("_part")) - F.col("count")).alias("_before"))
+    return rows.join(F.broadcast(before), "_part").withColumn(out, F.col("_before") + F.col("_place")).drop(
+        "_part", "_place", "_before")
+
+
 def small_side(df: DataFrame, max_rows: int) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``max_rows`` rows.
 
