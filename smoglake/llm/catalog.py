@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from .mixing import OP3_SQL, op3_source_mix
 from .near_dedup import OP6_SQL, op6_near_dedup
+from .packing import op4_packing
 from .quality import op7_quality_rules
 from .secrets import op2_secret_scan
 
 QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op3_source_mix": op3_source_mix,
+    "op4_packing": op4_packing,
     "op6_near_dedup": op6_near_dedup,
     "op7_quality_rules": op7_quality_rules,
 }
