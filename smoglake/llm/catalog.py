@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .licenses import op8_license_scan
 from .mixing import OP3_SQL, op3_source_mix
 from .near_dedup import OP6_SQL, op6_near_dedup
 from .packing import op4_packing
@@ -14,6 +15,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op6_near_dedup": op6_near_dedup,
     "op7_quality_rules": op7_quality_rules,
+    "op8_license_scan": op8_license_scan,
 }
 
 SQL: dict[str, str] = {"op3_source_mix": OP3_SQL, "op6_near_dedup": OP6_SQL}
