@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .language import op9_language_id
 from .licenses import op8_license_scan
 from .mixing import OP3_SQL, op3_source_mix
 from .near_dedup import OP6_SQL, op6_near_dedup
@@ -16,6 +17,7 @@ QUERIES = {
     "op6_near_dedup": op6_near_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_license_scan": op8_license_scan,
+    "op9_language_id": op9_language_id,
 }
 
 SQL: dict[str, str] = {"op3_source_mix": OP3_SQL, "op6_near_dedup": OP6_SQL}

@@ -91,6 +91,17 @@ def ranked(df: DataFrame, order: list[str], out: str, name: str) -> DataFrame:
         "_part", "_place", "_before")
 
 
+def hash_sample(df: DataFrame, id_col: str, rows: int) -> DataFrame:
+    """About ``rows`` rows, chosen by a hash of their id (all rows if there are no more).
+
+    For fitting models only. One count of the id column sets the share.
+    """
+    n = df.select(id_col).count()
+    share = min(1.0, rows / n) if n else 1.0
+    spot = F.pmod(F.xxhash64(F.col(id_col), F.lit(5)), F.lit(1 << 30))
+    return df.filter(spot < int(share * (1 << 30)) + (share == 1.0))
+
+
 def small_side(df: DataFrame, max_rows: int) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``max_rows`` rows.
 
