@@ -9,8 +9,10 @@ from .near_dedup import OP6_SQL, op6_near_dedup
 from .packing import op4_packing
 from .quality import op7_quality_rules
 from .secrets import op2_secret_scan
+from .toxicity import op1_toxicity
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_secret_scan": op2_secret_scan,
     "op3_source_mix": op3_source_mix,
     "op4_packing": op4_packing,
