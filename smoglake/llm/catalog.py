@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .embedding_dedup import OP10_SQL, op10_embedding_dedup
 from .language import op9_language_id
 from .licenses import op8_license_scan
 from .mixing import OP3_SQL, op3_source_mix
@@ -20,6 +21,7 @@ QUERIES = {
     "op7_quality_rules": op7_quality_rules,
     "op8_license_scan": op8_license_scan,
     "op9_language_id": op9_language_id,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
-SQL: dict[str, str] = {"op3_source_mix": OP3_SQL, "op6_near_dedup": OP6_SQL}
+SQL: dict[str, str] = {"op3_source_mix": OP3_SQL, "op6_near_dedup": OP6_SQL, "op10_embedding_dedup": OP10_SQL}
