@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .class_lm import op5_class_lm
 from .embedding_dedup import OP10_SQL, op10_embedding_dedup
 from .language import op9_language_id
 from .licenses import op8_license_scan
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op3_source_mix": op3_source_mix,
     "op4_packing": op4_packing,
+    "op5_class_lm": op5_class_lm,
     "op6_near_dedup": op6_near_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_license_scan": op8_license_scan,
