@@ -33,6 +33,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--starting-offsets", default="latest")
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--console", action="store_true")
+    s.add_argument("--max-files-per-trigger", type=int)
 
     s = sub.add_parser("process", help="raw -> processed")
     s.add_argument("--raw", required=True)
@@ -42,6 +43,7 @@ def _parser() -> argparse.ArgumentParser:
     s = sub.add_parser("load-documents", help="processed -> documents")
     s.add_argument("--processed", required=True)
     s.add_argument("--documents", required=True)
+    s.add_argument("--replace-with-empty", action="store_true")
 
     s = sub.add_parser("document-queries", help="documents -> daily / hourly results")
     s.add_argument("--documents", required=True)
@@ -60,11 +62,10 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--out", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--available-now", action="store_true")
-    s.add_argument("--max-files-per-trigger", type=int, default=1)
+    s.add_argument("--max-files-per-trigger", type=int)
     s.add_argument("--processing-time", default="3 seconds")
     s.add_argument("--rounds", type=int, default=10)
     s.add_argument("--wait", type=float, default=3.0)
-    s.add_argument("--memory", action="store_true", help="named in-memory result tables (demo)")
     return p
 
 
@@ -75,7 +76,8 @@ def main(argv: list[str] | None = None) -> None:
         jobs.publish_csv(spark, a.csv, a.brokers, a.topic)
     elif a.stage == "ingest":
         qs = jobs.ingest(spark, a.raw, a.checkpoint, a.brokers, a.topic, a.payload_dir,
-                         a.available_now, a.console, a.starting_offsets)
+                         a.available_now, a.console, a.starting_offsets,
+                         max_files_per_trigger=a.max_files_per_trigger)
         if not a.available_now:
             spark.streams.awaitAnyTermination()
         for q in qs:
@@ -84,21 +86,21 @@ def main(argv: list[str] | None = None) -> None:
         parts = [c for c in a.partition_by.split(",") if c]
         preview(jobs.process(spark, a.raw, a.processed, partition_by=parts or None))
     elif a.stage == "load-documents":
-        preview(jobs.load_documents(spark, a.processed, a.documents))
+        preview(jobs.load_documents(spark, a.processed, a.documents, replace_with_empty=a.replace_with_empty))
     elif a.stage == "document-queries":
         for name, df in jobs.document_queries(spark, a.documents, a.out).items():
             print(f"--- {name} ---")
-            preview(df, 30)
+            preview(df, df.count())  # one row per weekday or hour
     elif a.stage == "load-graph":
         jobs.load_graph(spark, a.processed, a.graph)
     elif a.stage == "graph-queries":
         for name, df in jobs.graph_queries(spark, a.graph, a.out).items():
             print(f"--- {name} ---")
-            preview(df, 200)
+            preview(df, df.count())  # one row per measure and hour or weekday
     elif a.stage == "stream":
         qs = jobs.stream(spark, a.raw, a.out, a.checkpoint, available_now=a.available_now,
                          max_files_per_trigger=a.max_files_per_trigger, processing_time=a.processing_time,
-                         rounds=a.rounds, wait_s=a.wait, memory=a.memory)
+                         rounds=a.rounds, wait_s=a.wait)
         for q in qs:
             q.stop()
 

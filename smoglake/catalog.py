@@ -4,8 +4,9 @@ Inputs are the driver's tables: ``events`` projected into the raw sensor
 shape, or ``lineitem`` for the scale configuration. Every query runs over the
 whole table. Queries that exercise a sink (CSV, JSON, parquet, graph tables,
 streams) write to a fresh folder under the session's checkpoint root and
-return the data read back. Doubles are rounded to 6 places at the output
-only (summation order differs between engines).
+return the data read back. Averages of imputed readings are rounded half-up to
+6 places at the output (the order of summation differs between engines);
+everything else is shown as it is.
 """
 
 from __future__ import annotations
@@ -14,13 +15,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, TimestampType
+from pyspark.sql.types import TimestampType
 
 from .config import AIR_CSV_HEADER, AIR_QUALITY, SensorConfig, lineitem_config
 from .functions.labels import hour_label
+from .functions.numbers import round_averages
 from .operators import cleaning as C
 from .operators.merge import merge_on_create
-from .operators.quality import distinct_values, listwise_filter, null_audit
+from .operators.quality import distinct_values, key_check, listwise_filter, null_audit, value_subset
 from .operators.reshape import pivot_matrix
 from .plans import analytics, documents, graph
 from .session import scratch_path
@@ -34,19 +36,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 HOUR_LABELS = [f"{h:02d}:00" for h in range(24)]
 
 
-# Output rounding shared with the oracle: scaling by the exactly representable
-# 1 + 2**-40 before rounding lifts exact decimal ties (common for averages of
-# 2-decimal readings) clear of last-bit summation noise, so two engines that
-# sum in different orders round them the same way.
-TIE_LIFT = 1.0 + 2.0 ** -40
-
-
-def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
-    return df.select(*[
-        F.round(F.col(f"`{f.name}`") * F.lit(TIE_LIFT), places).alias(f.name)
-        if isinstance(f.dataType, DoubleType) else F.col(f"`{f.name}`")
-        for f in df.schema.fields
-    ])
+round_doubles = round_averages
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +92,7 @@ def sentinel_to_null(spark, sf_dir):
 
 
 def impute_mean(spark, sf_dir):
-    return round_doubles(C.impute_mean(_nulled(spark, sf_dir), AIR_QUALITY.sensor_columns))
+    return C.impute_mean(_nulled(spark, sf_dir), AIR_QUALITY.sensor_columns, AIR_QUALITY.scale)
 
 
 def parse_timestamp(spark, sf_dir):
@@ -114,14 +104,14 @@ def time_features(spark, sf_dir):
 
 
 def processed_table(spark, sf_dir):
-    return round_doubles(processed(spark, sf_dir))
+    return processed(spark, sf_dir)
 
 
 def null_audit_query(spark, sf_dir):
     """F2 A10: nulls per pollutant before and after imputation."""
     nulled = _nulled(spark, sf_dir)
     cols = AIR_QUALITY.sensor_columns
-    return null_audit({"before": nulled, "after": C.impute_mean(nulled, cols)}, cols)
+    return null_audit({"before": nulled, "after": C.impute_mean(nulled, cols, AIR_QUALITY.scale)}, cols)
 
 
 def overwrite_idempotent(spark, sf_dir):
@@ -130,7 +120,7 @@ def overwrite_idempotent(spark, sf_dir):
     p = processed(spark, sf_dir)
     write_overwrite(p, path)
     write_overwrite(p, path)
-    return round_doubles(spark.read.parquet(path))
+    return spark.read.parquet(path)
 
 
 # ----------------------------------------------------------- documents ---
@@ -139,7 +129,7 @@ def nested_documents(spark, sf_dir):
     """Nest, write JSON documents, read back, flatten."""
     path = scratch_path(spark, "documents")
     documents.write_documents(documents.nest(processed(spark, sf_dir)), path)
-    return round_doubles(documents.flatten(documents.read_documents(spark, path)))
+    return documents.flatten(documents.read_documents(spark, path))
 
 
 def _docs(spark, sf_dir):
@@ -155,11 +145,11 @@ def _top5(spark, sf_dir):
 
 
 def hourly_top5(spark, sf_dir):
-    return round_doubles(_top5(spark, sf_dir))
+    return round_averages(_top5(spark, sf_dir), ["avg_carbon_monoxide"])
 
 
 def hourly_top5_long(spark, sf_dir):
-    return round_doubles(analytics.hourly_top_long(_top5(spark, sf_dir)))
+    return analytics.hourly_top_long(round_averages(_top5(spark, sf_dir), ["avg_carbon_monoxide"]))
 
 
 def hour_label_query(spark, sf_dir):
@@ -211,7 +201,7 @@ def graph_time_edges(spark, sf_dir):
 
 def graph_readings(spark, sf_dir):
     r = _stored_graph(spark, sf_dir).readings
-    return round_doubles(r.select("year", "month", "day", "hour", "pollutant", "value"))
+    return r.select("year", "month", "day", "hour", "pollutant", "value")
 
 
 def graph_pollution_types(spark, sf_dir):
@@ -289,50 +279,51 @@ def stream_ingest(spark, sf_dir):
     return spark.read.schema(raw_schema()).parquet(out)
 
 
-def _stream_outputs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Stage the raw rows as files, run both stream queries to completion,
-    return scans of their result tables."""
+def _cleaned_stream(spark, sf_dir) -> DataFrame:
+    """Stage the raw rows as files, run the cleaning stream to its end, scan its sink."""
     src, staged = _stage_raw(spark, sf_dir)
-    cleaned, avg = scratch_path(spark, "cleaned"), scratch_path(spark, "avg")
-    qs = S.analytics(spark, src, cleaned, avg, scratch_path(spark, "ckpt-stream"), available_now=True,
-                     schema=staged.schema)
-    S.run_until_done(qs)
-    cfg = AIR_QUALITY
-    cleaned_schema = S.clean(staged, cfg).schema
-    avg_schema = S.running_average(S.long_form(S.clean(staged, cfg), cfg)).schema
-    return (spark.read.schema(cleaned_schema).parquet(cleaned),
-            spark.read.schema(avg_schema).parquet(avg))
+    out = scratch_path(spark, "cleaned")
+    stream = S.clean(S.file_stream(spark, src, staged.schema))
+    S.run_until_done([S.start_files(stream, out, scratch_path(spark, "ckpt-stream"), available_now=True)])
+    return S.read_sink(spark, out, S.clean(staged).schema)
+
+
+def _average_stream(spark, src, schema, cfg=AIR_QUALITY) -> DataFrame:
+    """Run the running-average stream over a folder to its end, read its last result."""
+    out = scratch_path(spark, "avg")
+    long = S.running_average(S.long_form(S.clean(S.file_stream(spark, src, schema), cfg), cfg))
+    S.run_until_done([S.start_overwrite_table(long, out, scratch_path(spark, "ckpt-stream"), available_now=True,
+                                              state_partitions=len(cfg.measures))])
+    return round_averages(S.read_result(spark, out, long.schema).orderBy("pollutant"))
 
 
 def stream_cleaned(spark, sf_dir):
-    """File stream -> clean -> append sink."""
-    cleaned, _ = _stream_outputs(spark, sf_dir)
-    return cleaned
+    """File stream -> clean -> append sink."""
+    return _cleaned_stream(spark, sf_dir)
 
 
 def stream_pollutant_avg(spark, sf_dir):
     """Running average per pollutant after all files."""
-    _, avg = _stream_outputs(spark, sf_dir)
-    return round_doubles(avg.orderBy("pollutant"))
+    src, staged = _stage_raw(spark, sf_dir)
+    return _average_stream(spark, src, staged.schema)
 
 
 def stream_snapshot_top10(spark, sf_dir):
     """Earliest 10 cleaned rows of the stream's sink table."""
-    cleaned, _ = _stream_outputs(spark, sf_dir)
-    return S.earliest(cleaned, 10)
+    return S.earliest(_cleaned_stream(spark, sf_dir), 10)
 
 
 # ------------------------------------------------- scale configuration --
 
 def _lineitem(spark, sf_dir):
     cfg = lineitem_config()
-    return cfg, load_driver_table(spark, sf_dir, "lineitem").select(*cfg.raw_columns)
+    return cfg, load_driver_table(spark, sf_dir, "lineitem")
 
 
 def lineitem_processed(spark, sf_dir):
     """C3 with the lineitem configuration (no sentinel, timestamp column given)."""
     cfg, li = _lineitem(spark, sf_dir)
-    return round_doubles(C.clean_and_transform(li, cfg))
+    return C.clean_and_transform(li, cfg)
 
 
 def lineitem_weekday_norm(spark, sf_dir):
@@ -349,6 +340,72 @@ def lineitem_hourly_norm(spark, sf_dir):
     return round_doubles(graph.hourly_profile_fact(C.clean_and_transform(li, cfg), cfg))
 
 
+def stream_lineitem_avg(spark, sf_dir):
+    """T4-T6 T10 with the lineitem configuration (a timestamp column, no sentinel)."""
+    cfg, li = _lineitem(spark, sf_dir)
+    src = scratch_path(spark, "raw")
+    return _average_stream(spark, src, write_table(li, src).schema, cfg)
+
+
+def lineitem_json_roundtrip(spark, sf_dir):
+    """P5 P6 with the lineitem configuration: doubles and a timestamp survive."""
+    cfg, li = _lineitem(spark, sf_dir)
+    rows = li.select(*[F.col(c).cast("timestamp_ntz") if c in cfg.timestamp_columns else F.col(c) for c in cfg.raw_columns])
+    return decode_json(encode_json(rows), raw_schema(cfg))
+
+
+# ------------------------------------------------------ checks and loads --
+
+def merge_new_properties(spark, sf_dir):
+    """The second load brings a property that the stored nodes lack; null keys are not inserted."""
+    li = load_driver_table(spark, sf_dir, "lineitem")
+    old = li.filter("l_linenumber = 1").groupBy("l_partkey").agg(F.min("l_quantity").alias("least"))
+    new = (li.withColumn("l_partkey", F.when(F.col("l_linenumber") < 4, F.col("l_partkey")))
+           .groupBy("l_partkey").agg(F.min("l_quantity").alias("least"), F.max("l_tax").alias("top_tax")))
+    return merge_on_create(old, new, ["l_partkey"])
+
+
+def documents_empty_load(spark, sf_dir):
+    """A load without rows leaves the earlier collection as it is."""
+    path = scratch_path(spark, "documents")
+    docs = documents.nest(processed(spark, sf_dir))
+    documents.write_documents(docs, path)
+    documents.write_documents(docs.limit(0), path)
+    return documents.flatten(documents.read_documents(spark, path))
+
+
+def key_check_duplicates(spark, sf_dir):
+    """A11 over a table with true duplicates: events by user."""
+    return key_check({"events by user": (load_driver_table(spark, sf_dir, "events"), ["user_id"])})
+
+
+def reading_id_check(spark, sf_dir):
+    """A11 over the stored readings' keys."""
+    return graph.reading_key_check(_stored_graph(spark, sf_dir))
+
+
+def pollutant_subset(spark, sf_dir):
+    """the long form's rows of one pollutant."""
+    return value_subset(stack_unpivot(spark, sf_dir), "pollutant", "NO2")
+
+
+def graph_two_loads(spark, sf_dir):
+    """Two loads merged one after the other (hour nodes by label)."""
+    p = _stored_processed(spark, sf_dir)
+    odd = F.col("day") % 2 == 1
+    one, two = scratch_path(spark, "graph"), scratch_path(spark, "graph")
+    first = graph.store_graph(p.filter(odd), one, export_all=True)
+    graph.write_graph(graph.merge_graph(first, graph.build(p.filter(~odd | F.col("event_timestamp").isNull()))), two)
+    return graph.node_table(graph.read_graph(spark, two))
+
+
+def graph_readings_lookup(spark, sf_dir):
+    """Readings whose hour has a node (here the hours of the first half of each month)."""
+    p = _stored_processed(spark, sf_dir)
+    hours = graph.time_nodes(graph.calendar(p).filter("day <= 15"))["HourOfDay"]
+    return graph.linked_readings(graph.readings(p), hours).select("year", "month", "day", "hour", "pollutant", "value")
+
+
 def wall_clock(df: DataFrame) -> DataFrame:
     """Registered outputs show timestamps as zone-free wall-clock values
     (TIMESTAMP_NTZ), the type of the oracle's parsed timestamps; the value
@@ -403,6 +460,15 @@ QUERIES: dict[str, Query] = {
     "stream_cleaned": stream_cleaned,
     "stream_pollutant_avg": stream_pollutant_avg,
     "stream_snapshot_top10": stream_snapshot_top10,
+    "stream_lineitem_avg": stream_lineitem_avg,
+    "lineitem_json_roundtrip": lineitem_json_roundtrip,
+    "merge_new_properties": merge_new_properties,
+    "documents_empty_load": documents_empty_load,
+    "key_check_duplicates": key_check_duplicates,
+    "reading_id_check": reading_id_check,
+    "pollutant_subset": pollutant_subset,
+    "graph_two_loads": graph_two_loads,
+    "graph_readings_lookup": graph_readings_lookup,
     "lineitem_processed": lineitem_processed,
     "lineitem_weekday_norm": lineitem_weekday_norm,
     "lineitem_hourly_norm": lineitem_hourly_norm,

@@ -8,7 +8,7 @@ table for scale runs).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -88,7 +88,10 @@ class SensorConfig:
     document_order: tuple[str, ...] = AIR_DOCUMENT_ORDER
     time_features: tuple[str, ...] = TIME_FEATURES
     legacy_weekday_labels: bool = False
-    extra: dict = field(default_factory=dict)
+    # decimal places of the measures; their means are then exact sums (None: plain averages)
+    scale: int | None = 4
+    # raw columns that are timestamps (all others are strings or doubles)
+    timestamp_columns: tuple[str, ...] = ()
 
     @property
     def raw_measures(self) -> list[str]:
@@ -134,6 +137,8 @@ def lineitem_config() -> SensorConfig:
         string_columns=(),
         dropped_columns=(),
         timestamp_col="l_shipdate",
+        timestamp_columns=("l_shipdate",),
         sentinel=None,
+        scale=2,
         document_order=cols,
     )

@@ -15,7 +15,7 @@ from .config import AIR_QUALITY, SensorConfig
 from .operators.cleaning import clean_and_transform
 from .plans import analytics, documents, graph
 from .plans.presentation import preview
-from .session import scratch_path
+from .session import drop_path, scratch_path
 from .sources.delimited import read_sensor_csv
 from .sources.json_codec import raw_schema
 from .sources.kafka import decoded_topic, publish
@@ -32,15 +32,16 @@ def publish_csv(spark: SparkSession, csv_path: str, brokers: str, topic: str) ->
 
 def ingest(spark: SparkSession, raw_path: str, checkpoint: str, brokers: str | None = None,
            topic: str | None = None, payload_dir: str | None = None, available_now: bool = False,
-           console: bool = False, starting_offsets: str = "latest") -> list:
+           console: bool = False, starting_offsets: str = "latest", cfg: SensorConfig = AIR_QUALITY,
+           max_files_per_trigger: int | None = None) -> list:
     """Topic (or a folder of payload files) -> typed rows -> raw parquet."""
     if brokers and topic:
-        payloads = decoded_topic(spark, brokers, topic, raw_schema(), starting_offsets)
+        payloads = decoded_topic(spark, brokers, topic, raw_schema(cfg), starting_offsets)
         qs = [S.start_files(payloads, raw_path, checkpoint, available_now=available_now)]
         if console:
             qs.append(S.start_console(payloads, available_now))
         return qs
-    return S.ingest(S.payload_stream(spark, payload_dir), raw_schema(), raw_path, checkpoint,
+    return S.ingest(S.payload_stream(spark, payload_dir, max_files_per_trigger), raw_schema(cfg), raw_path, checkpoint,
                     available_now=available_now, console=console)
 
 
@@ -48,16 +49,20 @@ def process(spark: SparkSession, raw_path: str, processed_path: str, cfg: Sensor
             partition_by: list[str] | None = None, id_col: str | None = "record_id") -> DataFrame:
     """Raw parquet -> processed parquet (overwrite); the deduplicated rows
     are staged once under the shared checkpoint folder."""
-    staged = clean_and_transform(spark.read.parquet(raw_path), cfg, id_col,
-                                 staging_path=scratch_path(spark, "dedup"))
-    write_overwrite(staged, processed_path, partition_by)
+    staging = scratch_path(spark, "dedup")
+    try:
+        staged = clean_and_transform(spark.read.parquet(raw_path), cfg, id_col, staging_path=staging)
+        write_overwrite(staged, processed_path, partition_by)
+    finally:
+        drop_path(spark, staging)
     return spark.read.parquet(processed_path)
 
 
 def load_documents(spark: SparkSession, processed_path: str, documents_path: str,
-                   cfg: SensorConfig = AIR_QUALITY) -> DataFrame:
-    """Processed -> nested documents (full refresh)."""
-    documents.write_documents(documents.nest(spark.read.parquet(processed_path), cfg), documents_path)
+                   cfg: SensorConfig = AIR_QUALITY, replace_with_empty: bool = False) -> DataFrame:
+    """Processed -> nested documents (full refresh; an empty input leaves the collection alone)."""
+    documents.write_documents(documents.nest(spark.read.parquet(processed_path), cfg), documents_path,
+                              replace_with_empty=replace_with_empty)
     return documents.read_documents(spark, documents_path, cfg)
 
 
@@ -91,27 +96,18 @@ def graph_queries(spark: SparkSession, graph_path: str, out: str) -> dict[str, D
 
 
 def stream(spark: SparkSession, raw_path: str, out: str, checkpoint: str, cfg: SensorConfig = AIR_QUALITY,
-           available_now: bool = False, max_files_per_trigger: int | None = 1,
-           processing_time: str | None = None, rounds: int = 0, wait_s: float = 3.0,
-           memory: bool = False) -> list:
+           available_now: bool = False, max_files_per_trigger: int | None = None,
+           processing_time: str | None = None, rounds: int = 0, wait_s: float = 3.0) -> list:
     """Raw file stream -> cleaned rows and running averages, with
-    ``rounds`` live snapshots ``wait_s`` apart (T8). ``memory=True`` keeps the
-    results as the named in-memory tables of the demo instead of files."""
-    if memory:
-        qs = S.analytics_memory(spark, raw_path, checkpoint, cfg, available_now, max_files_per_trigger,
-                                processing_time)
-        if available_now:
-            S.run_until_done(qs)
-        for top, avgs in S.sql_snapshots(spark, rounds, wait=lambda: time.sleep(wait_s)):
-            preview(top, 10)
-            preview(avgs, 10)
-        return qs
+    ``rounds`` live snapshots ``wait_s`` apart (T8)."""
     cleaned, avg = f"{out}/cleaned_pollutants", f"{out}/pollutant_avg"
+    schema = S.batch_schema(spark, raw_path)
     qs = S.analytics(spark, raw_path, cleaned, avg, checkpoint, cfg, available_now,
-                     max_files_per_trigger, processing_time)
+                     max_files_per_trigger, processing_time, schema)
     if available_now:
         S.run_until_done(qs)
-    for top, avgs in S.snapshots(spark, cleaned, avg, rounds, wait=lambda: time.sleep(wait_s)):
+    for top, avgs in S.snapshots(spark, cleaned, avg, rounds, wait=lambda: time.sleep(wait_s),
+                                 schemas=S.result_schemas(spark, schema, cfg)):
         preview(top, 10)
         preview(avgs, 10)
     return qs

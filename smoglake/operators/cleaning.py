@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import AIR_QUALITY, SensorConfig  # noqa: F401  (re-exported)
+from ..functions.numbers import exact_mean
 from ..sources.tables import write_table
 from .keys import content_id
 
@@ -54,16 +55,22 @@ def nan_to_null(c: Column) -> Column:
     return F.nanvl(c, F.lit(None).cast("double"))
 
 
-def column_means(df: DataFrame, columns: list[str], prefix: str = "__mean_") -> DataFrame:
+def column_means(df: DataFrame, columns: list[str], prefix: str = "__mean_",
+                 scale: int | None = None) -> DataFrame:
     """A2: one single-row aggregate of every column's mean.
 
-    NaN counts as missing (decision Q9); an all-missing column gets 0.0.
+    NaN counts as missing (decision Q9); an all-missing column gets 0.0. With
+    ``scale`` the sums are exact decimals, so the mean does not depend on the
+    order in which the cluster adds.
     """
-    return df.agg(*[F.coalesce(F.avg(nan_to_null(F.col(c))), F.lit(0.0)).alias(prefix + c)
+    def mean(c):
+        return F.avg(c) if scale is None else exact_mean(c, scale)
+
+    return df.agg(*[F.coalesce(mean(nan_to_null(F.col(c))), F.lit(0.0)).alias(prefix + c)
                     for c in columns])
 
 
-def impute_mean(df: DataFrame, columns: list[str]) -> DataFrame:
+def impute_mean(df: DataFrame, columns: list[str], scale: int | None = None) -> DataFrame:
     """A2 + P11: fill null and NaN with the column mean, in the same plan.
 
     The means are one global aggregate (partial per task), packed into a
@@ -72,22 +79,31 @@ def impute_mean(df: DataFrame, columns: list[str]) -> DataFrame:
     unpartitioned window.
     """
     prefix, packed = "__mean_", "__means"
-    means = column_means(df, columns, prefix).select(
+    means = column_means(df, columns, prefix, scale).select(
         F.struct(*[F.col(prefix + c).alias(c) for c in columns]))
     filled = {c: F.coalesce(nan_to_null(F.col(c)), F.col(packed).getField(c)) for c in columns}
     return df.withColumn(packed, means.scalar()).withColumns(filled).drop(packed)
 
 
 def event_time(date: Column, time: Column, fmt: str) -> Column:
-    """P12 column form; ``concat_ws`` skips nulls so a missing part -> null."""
-    return F.try_to_timestamp(F.concat_ws(" ", date, time), F.lit(fmt))
+    """P12 column form, zone-free; ``concat_ws`` skips nulls so a missing part -> null.
+
+    The text is read as if at offset zero and the instant turned into the
+    wall-clock value (TIMESTAMP_NTZ) by arithmetic, so neither the session's time
+    zone nor a change of clocks touches the reading.
+    """
+    text = F.concat(F.concat_ws(" ", date, time), F.lit(" +00:00"))
+    micros = F.unix_micros(F.try_to_timestamp(text, F.lit(fmt + " XXX")))
+    seconds = (micros.cast("decimal(24,0)") / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    zero = F.lit(0)
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
 
 
 def parse_event_time(df: DataFrame, cfg: SensorConfig = AIR_QUALITY, date_col: str | None = None,
                      time_col: str | None = None, drop_parts: bool = True) -> DataFrame:
     """Two string columns -> one timestamp, then drop the strings."""
     if cfg.timestamp_col is not None:
-        out = df.withColumn(cfg.event_time, F.col(cfg.timestamp_col).cast("timestamp"))
+        out = df.withColumn(cfg.event_time, F.col(cfg.timestamp_col).cast("timestamp_ntz"))
         return out.drop(cfg.timestamp_col) if drop_parts and cfg.timestamp_col != cfg.event_time else out
     d = date_col or cfg.date_out
     t = time_col or cfg.time_out
@@ -118,16 +134,17 @@ def project_and_rename(df: DataFrame, cfg: SensorConfig = AIR_QUALITY, id_col: s
     identifies rows that become equal once columns are dropped.
     """
     distinct = drop_duplicates(df)
+    extra = [c for c in df.columns if c not in cfg.raw_columns]  # part of what tells rows apart, not of the result
     if id_col:
-        distinct = distinct.withColumn(id_col, content_id(df.columns))
-    return rename_columns(drop_columns(distinct, cfg.dropped_columns), cfg.renames)
+        distinct = distinct.withColumn(id_col, content_id(df, df.columns))
+    return rename_columns(drop_columns(distinct, [*cfg.dropped_columns, *extra]), cfg.renames)
 
 
 def clean_and_transform(df: DataFrame, cfg: SensorConfig = AIR_QUALITY, id_col: str | None = None,
                         staging_path: str | None = None) -> DataFrame:
     """Distinct -> drop -> rename -> sentinel to null -> impute -> timestamp -> features.
 
-    Order matters: the distinct runs on all raw columns before the projection,
+    Order matters: the distinct runs on all columns of ``df`` before the projection,
     and the means are taken over deduplicated, non-missing values.
 
     Without ``staging_path`` this is one plan: the means branch reuses the
@@ -142,7 +159,7 @@ def clean_and_transform(df: DataFrame, cfg: SensorConfig = AIR_QUALITY, id_col:
     nulled = sentinel_to_null(renamed, cfg.sensor_columns, cfg.sentinel)
     if staging_path:
         nulled = write_table(nulled, staging_path)
-    imputed = impute_mean(nulled, cfg.sensor_columns)
+    imputed = impute_mean(nulled, cfg.sensor_columns, cfg.scale)
     return add_time_features(parse_event_time(imputed, cfg), cfg.event_time)
 
 

@@ -10,15 +10,31 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def content_id(columns: Sequence[str]) -> Column:
-    """SHA-256 of the row's JSON text (null fields distinguish by absence).
+def _tagged(c: Column, kind: T.DataType) -> Column:
+    """Text that differs whenever two values of the column differ, nulls included."""
+    if isinstance(kind, T.TimestampType):
+        text = F.unix_micros(c).cast("string")
+    elif isinstance(kind, T.BinaryType):
+        text = F.hex(c)
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        text = F.to_json(F.struct(c))
+    else:
+        text = c.cast("string")
+    return F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("n"))
 
-    Unique for rows that differ in any listed column, e.g. right after a
-    full-row distinct, where it costs no extra shuffle.
+
+def content_id(df: DataFrame, columns: Sequence[str]) -> Column:
+    """32-byte SHA-256 over the named columns' values, each with its length, nulls marked.
+
+    Rows that differ in any listed column get different ids (timestamps count
+    to the microsecond), e.g. right after a full-row distinct, where it costs
+    no extra shuffle.
     """
-    return F.sha2(F.to_json(F.struct(*[F.col(c) for c in columns])), 256)
+    parts = [_tagged(F.col(f"`{c}`"), df.schema[c].dataType) for c in columns]
+    return F.unhex(F.sha2(F.concat(*parts).cast("binary"), 256))
 
 
 def with_row_ids(df: DataFrame, id_col: str = "row_id", chunk_rows: int = 100_000) -> DataFrame:
@@ -32,12 +48,12 @@ def with_row_ids(df: DataFrame, id_col: str = "row_id", chunk_rows: int = 100_00
     """
     cols = df.columns
     counted = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
-                 .withColumn("__h", content_id(cols)))
+                 .withColumn("__h", content_id(df, cols)))
     last_chunk = F.floor((F.col("__n") - 1) / F.lit(chunk_rows)).cast("long")
     chunks = counted.withColumn("__c", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
     spread = chunks.repartition("__h", "__c")
     lo = F.col("__c") * chunk_rows + 1
     hi = F.least(F.col("__n"), (F.col("__c") + 1) * chunk_rows)
     copies = spread.withColumn("__k", F.explode(F.sequence(lo, hi)))
-    return copies.select(*cols, F.sha2(F.concat_ws("#", F.col("__h"), F.col("__k").cast("string")), 256)
+    return copies.select(*cols, F.unhex(F.sha2(F.concat(F.col("__h"), F.col("__k").cast("string").cast("binary")), 256))
                          .alias(id_col))

@@ -29,10 +29,24 @@ def merge_on_create(existing: DataFrame, incoming: DataFrame, keys: Sequence[str
     """Insert keys that are absent; an existing key keeps its properties.
 
     Within ``incoming`` the first row per key (by ``order_col``) creates the
-    node. Result: existing UNION (first incoming per key ANTI JOIN existing).
+    node. Result: existing UNION (first incoming per key ANTI JOIN existing),
+    with the properties of both (null where a side lacks one). A row with a
+    null in its key is never inserted (a null key matches nothing, so it would
+    come in again with every load); :func:`null_keys` counts such rows.
     """
-    fresh = first_per_key(incoming, keys, order_col)
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    fresh = first_per_key(incoming.filter(whole), keys, order_col)
     if order_col and order_col in existing.columns:
         existing = existing.drop(order_col)
     new = fresh.join(existing.select(*keys), list(keys), "left_anti")
-    return existing.unionByName(new.select(*existing.columns))
+    return existing.unionByName(new, allowMissingColumns=True)
+
+
+def null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: how many rows have a null in their key (``null_keys``) of how many (``row_count``)."""
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    return df.agg(F.count_if(missing).alias("null_keys"), F.count(F.lit(1)).alias("row_count"))

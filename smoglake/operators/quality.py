@@ -8,15 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def listwise_filter(df: DataFrame, columns: Sequence[str], sentinel: float) -> DataFrame:
+def listwise_filter(df: DataFrame, columns: Sequence[str], sentinel: float | None) -> DataFrame:
     """keep rows whose every listed column differs from the sentinel.
 
-    A null reading also drops the row (``null != x`` is not true). Simple
-    comparisons, so Catalyst pushes them into the parquet scan.
+    A null reading also drops the row (``null != x`` is not true), also where
+    there is no sentinel. Simple comparisons, so Catalyst pushes them into the
+    parquet scan.
     """
     cond = F.lit(True)
     for c in columns:
-        cond = cond & (F.col(c) != F.lit(sentinel))
+        cond = cond & (F.col(c).isNotNull() if sentinel is None else F.col(c) != F.lit(sentinel))
     return df.filter(cond)
 
 
@@ -65,3 +66,8 @@ def key_check(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFram
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """the distinct values of a column (e.g. pollutants of the long form)."""
     return df.select(column).distinct()
+
+
+def value_subset(df: DataFrame, column: str, value) -> DataFrame:
+    """the rows of one value of a column (e.g. one pollutant of the long form)."""
+    return df.filter(F.col(column) == F.lit(value))

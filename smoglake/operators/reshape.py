@@ -81,12 +81,15 @@ def pivot_matrix(df: DataFrame, index: str, columns: str, values: str,
     """One row per ``index``, one column per listed ``columns`` value.
 
     The column values are given explicitly, so no extra job discovers them.
-    A duplicate (index, column) pair raises at run time, as a pandas pivot
-    does, when ``check_unique``.
+    A value that is not listed raises, as does a duplicate (index, column)
+    pair when ``check_unique`` (as a pandas pivot does).
     """
     v: Column = F.first(values)
     if check_unique:
         v = F.when(F.count(F.lit(1)) > 1,
                    F.raise_error(F.lit(f"duplicate {index}/{columns} pair in pivot")).cast("double")
                    ).otherwise(F.first(values))
-    return df.groupBy(index).pivot(columns, list(column_values)).agg(v)
+    known = F.col(columns).isin(list(column_values)) | F.col(columns).isNull()
+    checked = F.when(known, F.col(columns)).otherwise(
+        F.raise_error(F.concat(F.lit("value without a column in pivot: "), F.col(columns).cast("string"))))
+    return df.withColumn(columns, checked).groupBy(index).pivot(columns, list(column_values)).agg(v)

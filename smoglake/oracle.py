@@ -2,11 +2,22 @@
 
 Each string runs on the driver's parquet tables registered as views
 (``events``, ``lineitem``, ...). Column names and integer widths match the
-Spark results; doubles are rounded to 6 places like the Spark outputs.
+Spark results. Means used for filling are exact decimal sums; averages of filled
+readings are rounded half-up to 6 places in decimal.
 """
 
 from __future__ import annotations
 
+def _r6(x: str) -> str:
+    """Half-up to 6 places on the decimal value."""
+    return f"CAST(ROUND(CAST({x} AS DECIMAL(38,12)), 6) AS DOUBLE)"
+
+
+def _mean(x: str, scale: int) -> str:
+    """The mean from an exact decimal sum, 0 if there is no value."""
+    return f"COALESCE(CAST(SUM(CAST({x} AS DECIMAL(28,{scale}))) AS DOUBLE) / COUNT({x}), 0)"
+
+
 # the raw sensor projection of events, with the event id kept for corruption rules
 _RAW = """
 raw_id AS (
@@ -39,10 +50,10 @@ n AS (SELECT date, time,
              NULLIF(nitrogen_oxides,-200) AS nitrogen_oxides,
              NULLIF(nitrogen_dioxide,-200) AS nitrogen_dioxide FROM r)"""
 
-_IMPUTED = """
-m AS (SELECT COALESCE(AVG(carbon_monoxide),0) a, COALESCE(AVG(non_methane_hydrocarbon),0) b,
-             COALESCE(AVG(benzene),0) c, COALESCE(AVG(nitrogen_oxides),0) e,
-             COALESCE(AVG(nitrogen_dioxide),0) f FROM n),
+_IMPUTED = f"""
+m AS (SELECT {_mean("carbon_monoxide", 4)} a, {_mean("non_methane_hydrocarbon", 4)} b,
+             {_mean("benzene", 4)} c, {_mean("nitrogen_oxides", 4)} e,
+             {_mean("nitrogen_dioxide", 4)} f FROM n),
 i AS (SELECT date, time,
              COALESCE(carbon_monoxide,a) carbon_monoxide,
              COALESCE(non_methane_hydrocarbon,b) non_methane_hydrocarbon,
@@ -92,9 +103,8 @@ cl AS (SELECT event_timestamp, 'CO' AS pollutant, "CO" AS reading FROM c UNION A
        SELECT event_timestamp, 'NOx', "NOx" FROM c UNION ALL
        SELECT event_timestamp, 'NO2', "NO2" FROM c)"""
 
-_R6 = ("ROUND(carbon_monoxide,6) carbon_monoxide, ROUND(non_methane_hydrocarbon,6) non_methane_hydrocarbon, "
-       "ROUND(benzene,6) benzene, ROUND(nitrogen_oxides,6) nitrogen_oxides, "
-       "ROUND(nitrogen_dioxide,6) nitrogen_dioxide")
+_R6 = "carbon_monoxide, non_methane_hydrocarbon, benzene, nitrogen_oxides, nitrogen_dioxide"
+
 
 _PROCESSED_OUT = (f'SELECT {_R6}, event_timestamp, "year", "month", "day", day_of_week, hour_of_day '
                   "FROM processed")
@@ -110,8 +120,8 @@ _PIPE = (_RAW, _RENAMED, _IMPUTED, _PROCESSED)
 def _norm(member_expr: str, member: str, order: str) -> str:
     return f"""
     , a AS (SELECT p AS "Pollutant", {member_expr} AS "{member}", AVG(v) AS av FROM l GROUP BY 1, 2)
-    SELECT "Pollutant", "{member}", ROUND(av, 6) AS "AvgValue",
-           ROUND((av - MIN(av) OVER w) / NULLIF(MAX(av) OVER w - MIN(av) OVER w, 0), 6) AS "NormalizedValue"
+    SELECT "Pollutant", "{member}", {_r6("av")} AS "AvgValue",
+           {_r6("(av - MIN(av) OVER w) / NULLIF(MAX(av) OVER w - MIN(av) OVER w, 0)")} AS "NormalizedValue"
     FROM a WINDOW w AS (PARTITION BY "Pollutant") ORDER BY "Pollutant", {order}"""
 
 
@@ -126,13 +136,13 @@ _TOP5 = """
 t AS (SELECT hr, a, pk FROM h ORDER BY a DESC NULLS LAST, hr ASC NULLS LAST LIMIT 5)"""
 
 _PIVOT_COLS = ", ".join(
-    f"""ROUND(MAX("NormalizedValue") FILTER (WHERE "HourOfDay" = '{h:02d}:00'), 6) AS "{h:02d}:00\""""
+    _r6(f"""MAX("NormalizedValue") FILTER (WHERE "HourOfDay" = '{h:02d}:00')""") + f' AS "{h:02d}:00"'
     for h in range(24))
 
-_LINEITEM = """
-li AS (SELECT DISTINCT l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate FROM lineitem),
-lm AS (SELECT COALESCE(AVG(l_quantity),0) q, COALESCE(AVG(l_extendedprice),0) pr,
-              COALESCE(AVG(l_discount),0) di, COALESCE(AVG(l_tax),0) tx FROM li),
+_LINEITEM = f"""
+li AS (SELECT DISTINCT * FROM lineitem),
+lm AS (SELECT {_mean("l_quantity", 2)} q, {_mean("l_extendedprice", 2)} pr,
+              {_mean("l_discount", 2)} di, {_mean("l_tax", 2)} tx FROM li),
 lp AS (SELECT COALESCE(l_quantity,q) l_quantity, COALESCE(l_extendedprice,pr) l_extendedprice,
               COALESCE(l_discount,di) l_discount, COALESCE(l_tax,tx) l_tax,
               l_shipdate AS event_timestamp FROM li, lm),
@@ -153,31 +163,6 @@ _RAW_OUT = "SELECT * FROM raw"
 _EXPLICIT_RAW_COLS = ('"Date", "Time", "COGT", "PT08S1CO", "NMHCGT", "C6H6GT", "PT08S2NMHC", "NOxGT", '
                       '"PT08S3NOx", "NO2GT", "PT08S4NO2", "PT08S5O3", "T", "RH", "AH"')
 
-def _lift_rounding(sql: str) -> str:
-    """Rewrite every ``ROUND(x, n)`` as ``ROUND((x) * (1 + pow(2, -40)), n)``,
-    the same tie-robust rounding as ``catalog.round_doubles``."""
-    out, i = [], 0
-    while True:
-        j = sql.find("ROUND(", i)
-        if j < 0:
-            out.append(sql[i:])
-            return "".join(out)
-        out.append(sql[i:j])
-        k, depth, comma = j + 6, 1, -1
-        while depth:
-            ch = sql[k]
-            if ch == "(":
-                depth += 1
-            elif ch == ")":
-                depth -= 1
-            elif ch == "," and depth == 1:
-                comma = k
-            k += 1
-        arg = _lift_rounding(sql[j + 6:comma])
-        out.append(f"ROUND(({arg}) * (1 + pow(2, -40)),{sql[comma + 1:k - 1]})")
-        i = k
-
-
 SQL: dict[str, str] = {
     "csv_normalize": _with(_RAW) + " " + _RAW_OUT,
     "json_roundtrip": _with(_RAW) + " " + _RAW_OUT,
@@ -207,17 +192,17 @@ SQL: dict[str, str] = {
     "daily_profile": _with(*_PIPE) + f"""
         , a AS (SELECT day_of_week AS "Day", AVG(carbon_monoxide) co, AVG(benzene) bz,
                        AVG(nitrogen_dioxide) no2 FROM processed GROUP BY 1)
-        SELECT "Day", ROUND(co,6) AS avg_carbon_monoxide, ROUND(bz,6) AS avg_benzene,
-               ROUND(no2,6) AS avg_nitrogen_dioxide,
+        SELECT "Day", {_r6("co")} AS avg_carbon_monoxide, {_r6("bz")} AS avg_benzene,
+               {_r6("no2")} AS avg_nitrogen_dioxide,
                CASE WHEN "Day" BETWEEN 1 AND 7 THEN {_WEEKDAYS}["Day"] END AS day_name
         FROM a ORDER BY "Day" NULLS FIRST""",
-    "hourly_top5": _with(*_PIPE) + _TOP5 + """
+    "hourly_top5": _with(*_PIPE) + _TOP5 + f"""
         SELECT CASE WHEN hr IS NOT NULL THEN printf('%02d:00', hr) END AS hour_of_day,
-               ROUND(a,6) AS avg_carbon_monoxide, ROUND(pk,6) AS peak_carbon_monoxide FROM t""",
-    "hourly_top5_long": _with(*_PIPE) + _TOP5 + """
+               {_r6("a")} AS avg_carbon_monoxide, pk AS peak_carbon_monoxide FROM t""",
+    "hourly_top5_long": _with(*_PIPE) + _TOP5 + f"""
         , w AS (SELECT CASE WHEN hr IS NOT NULL THEN printf('%02d:00', hr) END AS hh, a, pk FROM t)
-        SELECT hh AS "Hour of Day", 'Avg CO' AS "Metric", ROUND(a,6) AS "Level" FROM w UNION ALL
-        SELECT hh, 'Peak CO', ROUND(pk,6) FROM w""",
+        SELECT hh AS "Hour of Day", 'Avg CO' AS "Metric", {_r6("a")} AS "Level" FROM w UNION ALL
+        SELECT hh, 'Peak CO', pk FROM w""",
     "hour_label": _with(*_PIPE) + """ SELECT DISTINCT hour_of_day,
         CASE WHEN hour_of_day IS NOT NULL THEN printf('%02d:00', hour_of_day) END AS hour_label FROM processed""",
     "listwise_filter": _with(_RAW) + """ SELECT * FROM raw WHERE "COGT" <> -200 AND "NMHCGT" <> -200
@@ -242,7 +227,7 @@ SQL: dict[str, str] = {
         UNION ALL SELECT DISTINCT 'DAY_OF_WEEK', concat_ws('|', "year", "month", "day"),
                                   CAST(day_of_week AS VARCHAR) FROM cal""",
     "graph_readings": _with(*_PIPE, _LONG) + """ SELECT "year", "month", "day", hour_of_day AS "hour",
-        p AS pollutant, ROUND(v, 6) AS value FROM l""",
+        p AS pollutant, v AS value FROM l""",
     "graph_pollution_types": _with(*_PIPE, _LONG) + """
         , u AS (SELECT * FROM (VALUES ('CO','µg/m³'), ('NMHC','µg/m³'), ('Benzene','µg/m³'),
                                       ('NOx','ppm'), ('NO2','µg/m³')) t(name, unit))
@@ -281,13 +266,30 @@ SQL: dict[str, str] = {
         SELECT "Pollutant", """ + _PIVOT_COLS + ' FROM hn GROUP BY "Pollutant"',
     "stream_ingest": _with(_RAW) + " " + _RAW_OUT,
     "stream_cleaned": _with(_RAW, _CLEANED) + " SELECT * FROM c",
-    "stream_pollutant_avg": _with(_RAW, _CLEANED) + """ SELECT pollutant, ROUND(AVG(reading), 6) AS avg_reading
+    "stream_pollutant_avg": _with(_RAW, _CLEANED) + f""" SELECT pollutant, {_r6("AVG(reading)")} AS avg_reading
         FROM cl GROUP BY pollutant ORDER BY pollutant""",
     "stream_snapshot_top10": _with(_RAW, _CLEANED) + """ SELECT * FROM c ORDER BY event_timestamp NULLS FIRST,
         "Date" NULLS FIRST, "Time" NULLS FIRST, "CO" NULLS FIRST, "NMHC" NULLS FIRST, "C6H6" NULLS FIRST,
         "NOx" NULLS FIRST, "NO2" NULLS FIRST LIMIT 10""",
-    "lineitem_processed": _with(_LINEITEM) + """ SELECT ROUND(l_quantity,6) l_quantity,
-        ROUND(l_extendedprice,6) l_extendedprice, ROUND(l_discount,6) l_discount, ROUND(l_tax,6) l_tax,
+    "stream_lineitem_avg": f"""SELECT pollutant, {_r6("AVG(v)")} AS avg_reading FROM (
+        SELECT 'quantity' AS pollutant, l_quantity AS v FROM lineitem UNION ALL SELECT 'extendedprice', l_extendedprice FROM lineitem
+        UNION ALL SELECT 'discount', l_discount FROM lineitem UNION ALL SELECT 'tax', l_tax FROM lineitem)
+        GROUP BY 1 ORDER BY 1""",
+    "lineitem_json_roundtrip": "SELECT l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate FROM lineitem",
+    "merge_new_properties": """WITH o AS (
+        SELECT l_partkey, MIN(l_quantity) AS least FROM lineitem WHERE l_linenumber = 1 GROUP BY 1),
+        n AS (SELECT l_partkey, MIN(l_quantity) AS least, MAX(l_tax) AS top_tax FROM lineitem WHERE l_linenumber < 4 GROUP BY 1)
+        SELECT l_partkey, least, CAST(NULL AS DOUBLE) AS top_tax FROM o UNION ALL
+        SELECT * FROM n WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT l_partkey FROM o)""",
+    "documents_empty_load": _with(*_PIPE) + " " + _PROCESSED_OUT,
+    "key_check_duplicates": """SELECT 'events by user' AS label, CAST(SUM(n) AS BIGINT) AS nodes,
+        COUNT(*) FILTER (WHERE n > 1) AS violations FROM (SELECT COUNT(*) AS n FROM events GROUP BY user_id)""",
+    "reading_id_check": _with(*_PIPE, _LONG) + """ SELECT 'Reading' AS label, COUNT(*) AS nodes,
+        CAST(0 AS BIGINT) AS violations FROM l""",
+    "pollutant_subset": _with(_RAW, _CLEANED) + " SELECT * FROM cl WHERE pollutant = 'NO2'",
+    "graph_readings_lookup": _with(*_PIPE, _LONG) + """ SELECT "year", "month", "day", hour_of_day AS "hour",
+        p AS pollutant, v AS value FROM l WHERE "day" <= 15""",
+    "lineitem_processed": _with(_LINEITEM) + """ SELECT l_quantity, l_extendedprice, l_discount, l_tax,
         event_timestamp, "year", "month", "day", day_of_week, hour_of_day FROM lproc""",
     "lineitem_weekday_norm": _with(_LINEITEM) + _LINEITEM_LONG + _norm(
         f"{_WEEKDAYS}[day_of_week]", "DayOfWeek", f'list_position({_DISPLAY}, "DayOfWeek")'),
@@ -295,4 +297,4 @@ SQL: dict[str, str] = {
         "printf('%02d:00', hour_of_day)", "HourOfDay", '"HourOfDay"'),
 }
 
-SQL = {k: _lift_rounding(v) for k, v in SQL.items()}
+SQL["graph_two_loads"] = SQL["graph_time_nodes"]

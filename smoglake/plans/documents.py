@@ -10,15 +10,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DoubleType, IntegerType, StructField, StructType,
-                               TimestampType)
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType, TimestampNTZType
 
 from ..config import AIR_QUALITY, SensorConfig
 
 
 def document_schema(cfg: SensorConfig = AIR_QUALITY) -> StructType:
     return StructType([
-        StructField(cfg.event_time, TimestampType(), True),
+        StructField(cfg.event_time, TimestampNTZType(), True),
         StructField("pollutants", StructType(
             [StructField(c, DoubleType(), True) for c in cfg.document_order]), True),
         StructField("time_features", StructType(
@@ -46,15 +45,15 @@ def flatten(docs: DataFrame, cfg: SensorConfig = AIR_QUALITY) -> DataFrame:
 
 
 def write_documents(docs: DataFrame, path: str, fmt: str = "json", options: dict | None = None,
-                    skip_empty: bool = False) -> bool:
+                    replace_with_empty: bool = False) -> bool:
     """K7 + P15: full refresh of the collection (overwrite replaces the old load).
 
-    By default an empty input writes an empty collection, so re-running never
-    leaves stale documents behind. ``skip_empty=True`` keeps the previous
-    collection when there is nothing to load (F5), checked with a one-row
-    probe rather than a count. Returns whether anything was written.
+    An input without rows leaves the previous collection as it is (F5); a
+    caller that wants it emptied says ``replace_with_empty``. The probe asks
+    for one row, so give it a stored table and not an expensive plan.
+    Returns whether anything was written.
     """
-    if skip_empty and docs.isEmpty():
+    if not replace_with_empty and docs.isEmpty():
         return False
     docs.write.mode("overwrite").format(fmt).options(**(options or {})).save(path)
     return True

@@ -5,8 +5,8 @@ calendar node and edge derives from one distinct "calendar" of
 (year, month, day, hour, weekday) tuples, a partial + final aggregate whose
 size is the number of distinct hours in the data, not the row count.
 
-Readings (K9) are a fact table ``(reading_id, year, month, day, hour,
-pollutant, value)``: the to-one edges HAS_READING and READING_OF are its
+Readings (K9) are a fact table ``(row_id, year, month, day, hour,
+pollutant, value)`` keyed by (row_id, pollutant), the id being 32 bytes: the to-one edges HAS_READING and READING_OF are its
 foreign-key columns, so the path pattern hour -> reading -> type is a join
 of the fact with the hour nodes and the (bounded) type table, never a
 reading-id self-join.
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ..config import AIR_QUALITY, SensorConfig
 from ..functions.labels import hour_label, literal_table, month_name, weekday_name, weekday_order
 from ..operators.keys import with_row_ids
+from ..operators.merge import merge_on_create
 from ..operators.quality import key_check
 from ..operators.reshape import collect_unwind_normalize, min_max_normalize, to_long
 from ..sources.tables import write_table
@@ -57,12 +58,12 @@ class Graph:
     readings: DataFrame
 
     def has_reading(self) -> DataFrame:
-        """HAS_READING edge view: hour key -> reading_id."""
-        return self.readings.select(*HOUR_KEY, "reading_id")
+        """HAS_READING edge view: hour key -> reading key (row_id, pollutant)."""
+        return self.readings.select(*HOUR_KEY, "row_id", "pollutant")
 
     def reading_of(self) -> DataFrame:
-        """READING_OF edge view: reading_id -> pollutant name."""
-        return self.readings.select("reading_id", F.col("pollutant").alias("name"))
+        """READING_OF edge view: reading key -> pollutant name."""
+        return self.readings.select("row_id", "pollutant", F.col("pollutant").alias("name"))
 
 
 def timed(processed: DataFrame, cfg: SensorConfig = AIR_QUALITY) -> DataFrame:
@@ -101,8 +102,7 @@ def time_edges(cal: DataFrame) -> dict[str, DataFrame]:
 def readings(processed: DataFrame, cfg: SensorConfig = AIR_QUALITY, id_col: str | None = "record_id") -> DataFrame:
     """K9 + R2 + R3 + J4: one reading per timed row and pollutant.
 
-    ``reading_id`` = ``<row id>:<pollutant>`` (unique because the row id is
-    a unique SHA-256; no second hash per reading). The row id is ``id_col`` when
+    (row_id, pollutant) is the reading's key. The row id is ``id_col`` when
     the processed frame carries one (``clean_and_transform(..., id_col=...)``
     derives it from the deduplicated raw row at no extra shuffle); otherwise
     :func:`with_row_ids` assigns one.
@@ -116,8 +116,7 @@ def readings(processed: DataFrame, cfg: SensorConfig = AIR_QUALITY, id_col: str
                        F.col("hour_of_day").alias("hour"), F.col(id_col).alias("__rid"))
     long = to_long(rows, [*HOUR_KEY, "__rid"], {m.label: m.snake for m in cfg.measures},
                    "pollutant", "value")
-    return long.select(F.concat_ws(":", F.col("__rid"), F.col("pollutant")).alias("reading_id"),
-                       *HOUR_KEY, "pollutant", "value")
+    return long.select(F.col("__rid").alias("row_id"), *HOUR_KEY, "pollutant", "value")
 
 
 def pollution_types(spark: SparkSession, reads: DataFrame, cfg: SensorConfig = AIR_QUALITY) -> DataFrame:
@@ -230,6 +229,29 @@ def edge_table(g: Graph) -> DataFrame:
     return out
 
 
+def reading_key_check(g: Graph) -> DataFrame:
+    """A11 for the readings: uniqueness of (row_id, pollutant)."""
+    return key_check({"Reading": (g.readings, ["row_id", "pollutant"])})
+
+
+def linked_readings(reads: DataFrame, hours: DataFrame) -> DataFrame:
+    """The readings that have an hour node; others make no reading."""
+    return reads.join(hours.select(*HOUR_KEY), HOUR_KEY, "left_semi")
+
+
+def merge_graph(stored: Graph, incoming: Graph) -> Graph:
+    """``incoming`` merged into ``stored``: nodes, edges and readings that are new are added.
+
+    Existing nodes keep their properties; rows with a null in their key are
+    not inserted; readings need an hour node. Write the result to a new
+    folder (:func:`write_graph`): it reads the stored tables.
+    """
+    nodes = {label: merge_on_create(stored.nodes[label], incoming.nodes[label], keys) for label, keys in NODE_KEYS.items()}
+    edges = {kind: merge_on_create(stored.edges[kind], df, df.columns) for kind, df in incoming.edges.items()}
+    reads = merge_on_create(stored.readings, linked_readings(incoming.readings, nodes["HourOfDay"]), ["row_id", "pollutant"])
+    return Graph(nodes=nodes, edges=edges, readings=reads)
+
+
 def graph_key_check(g: Graph) -> DataFrame:
     """Uniqueness of every node label's key (violations must be 0)."""
     return key_check({label: (g.nodes[label], keys) for label, keys in NODE_KEYS.items()})
@@ -272,7 +294,7 @@ def hourly_profile(g: Graph, method: str = "window") -> DataFrame:
     types = g.nodes["PollutionType"].select(F.col("name").alias("pollutant"))
     path = (_partial_sums(g.readings, HOUR_KEY)
             .join(g.nodes["HourOfDay"].select(*HOUR_KEY, F.col("name").alias("HourOfDay")), HOUR_KEY)
-            .join(F.broadcast(types), "pollutant"))
+            .join(types, "pollutant"))
     avg = path.groupBy(F.col("pollutant").alias("Pollutant"), "HourOfDay").agg(_combined_avg())
     return _finish(avg, "HourOfDay", method).orderBy("Pollutant", "HourOfDay")
 
@@ -281,16 +303,19 @@ def weekday_profile(g: Graph, method: str = "window") -> DataFrame:
     """J3 + A6 + A7 + P21 + O4 + X11: path form over the graph tables.
 
     (d:Day)-[:DAY_OF_WEEK]->(dow), (d)-[:HAS_HOUR]->(h)-[:HAS_READING]->(r)-[:READING_OF]->(p):
-    readings pre-aggregated per day key and pollutant join the DAY_OF_WEEK
-    edge, whose code joins the (at most 7-row) weekday nodes. Sorted Monday
-    first.
+    readings pre-aggregated per hour key and pollutant join the HourOfDay
+    nodes, the HAS_HOUR edges (which hold the day's key) and the day's
+    DAY_OF_WEEK edge, whose code joins the weekday nodes. No reading is
+    joined. Sorted Monday first.
     """
     types = g.nodes["PollutionType"].select(F.col("name").alias("pollutant"))
     dow = g.nodes["DayOfWeek"].select("code", F.col("name").alias("DayOfWeek"))
-    path = (_partial_sums(g.readings, DAY_KEY)
+    path = (_partial_sums(g.readings, HOUR_KEY)
+            .join(g.nodes["HourOfDay"].select(*HOUR_KEY), HOUR_KEY)
+            .join(g.edges["HAS_HOUR"], HOUR_KEY)
             .join(g.edges["DAY_OF_WEEK"], DAY_KEY)
-            .join(F.broadcast(dow), "code")
-            .join(F.broadcast(types), "pollutant"))
+            .join(dow, "code")
+            .join(types, "pollutant"))
     avg = path.groupBy(F.col("pollutant").alias("Pollutant"), "DayOfWeek").agg(_combined_avg())
     return (_finish(avg, "DayOfWeek", method)
             .orderBy("Pollutant", weekday_order(F.col("DayOfWeek"))))

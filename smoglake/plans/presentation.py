@@ -1,9 +1,7 @@
-"""Bounded display and hand-off of small results.
+"""Display of small results (K11) and the empty-input guard.
 
-Charts in the reference draw from pandas frames of already-aggregated
-results. These helpers keep that boundary explicit: the size is checked
-(a cheap count of an aggregated frame) and the hand-off refuses to pull an
-unaggregated table to the driver instead of silently truncating it.
+Data for charts is written as tables by the jobs; nothing is pulled to the
+driver here but the few rows that are printed.
 """
 
 from __future__ import annotations
@@ -19,17 +17,3 @@ def preview(df: DataFrame, n: int = 5, truncate: bool = False) -> None:
 def is_empty(df: DataFrame) -> bool:
     """empty-input guard without counting the whole frame."""
     return df.isEmpty()
-
-
-def to_small_pandas(df: DataFrame, max_rows: int = 10_000):
-    """An aggregated result as pandas, for plotting.
-
-    Raises if the frame holds more than ``max_rows`` rows; returns None when
-    it is empty (the reference prints a notice and skips the chart).
-    """
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"result has more than {max_rows} rows; aggregate before plotting")
-    if n == 0:
-        return None
-    return df.toPandas()

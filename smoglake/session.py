@@ -2,8 +2,8 @@
 
 Library functions never build a session: the caller passes ``spark``.
 Scratch data (staged stream inputs, checkpoints, written tables) lives under
-the shared folder named by ``spark.checkpoint.dir``; a private folder is only
-chosen when the session names none (local tests).
+the shared folder named by ``spark.checkpoint.dir`` or ``setCheckpointDir``. A
+private folder is chosen for local sessions only (tests).
 """
 
 from __future__ import annotations
@@ -14,9 +14,6 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL_FALLBACK: str | None = None
-
-
 def build_session(cpus: int | str = "*", app: str = "smoglake", shuffle_partitions: int = 8,
                   extra: dict | None = None) -> SparkSession:
     """Local session with the settings the package is tested under."""
@@ -41,20 +38,27 @@ def build_session(cpus: int | str = "*", app: str = "smoglake", shuffle_partitio
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint root; choose a local one only if unset."""
-    global _LOCAL_FALLBACK
+def _configured_root(spark: SparkSession) -> str | None:
+    """The conf ``spark.checkpoint.dir``, else the folder set with ``setCheckpointDir``."""
     root = spark.conf.get("spark.checkpoint.dir", None)
+    return root or spark.sparkContext.getCheckpointDir()
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder for staged data.
+
+    Where the session names none, a local session (one process) gets a
+    folder of its own; on a cluster that would scatter the data over the
+    machines, so there it raises.
+    """
+    root = _configured_root(spark)
     if not root:
-        if _LOCAL_FALLBACK is None:
-            _LOCAL_FALLBACK = tempfile.mkdtemp(prefix="smoglake-ckpt-")
-        root = _LOCAL_FALLBACK
-    try:  # classic sessions: make df.checkpoint() use the same folder
-        sc = spark.sparkContext
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(root)
-    except Exception:  # noqa: BLE001  (a Spark Connect session has no SparkContext)
-        pass
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("no shared folder for staged data: set spark.checkpoint.dir (or setCheckpointDir)")
+        root = tempfile.mkdtemp(prefix="smoglake-ckpt-")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(root)
     return root
 
 
@@ -64,6 +68,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root.rstrip("/"), "smoglake", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder, through the file system that holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scale_conf(input_bytes: int, cores: int = 1, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Partition sizing for a given input volume (cluster deployment).
 

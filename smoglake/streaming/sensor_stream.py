@@ -6,12 +6,14 @@ so a batch run over the same files is the oracle of the stream.
 
 Sinks: the reference keeps both results in driver-memory tables. Here the
 append stream goes to a parquet file sink (distributed, exactly-once via its
-metadata log) and the complete-mode average is rewritten per micro-batch as a
-small table through ``foreachBatch``; memory sinks stay available for demos.
+metadata log). The complete-mode average is written per micro-batch into a
+folder of its own and then published by a pointer file, so a reader sees a whole
+result at any time.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from contextlib import contextmanager
 
@@ -24,7 +26,7 @@ from ..config import AIR_QUALITY, SensorConfig
 from ..operators.cleaning import event_time, rename_columns
 from ..operators.quality import listwise_filter
 from ..operators.reshape import to_long
-from ..sources.json_codec import decode_json
+from ..sources.json_codec import decode_json, raw_schema
 
 PROCESSING_TIME = "3 seconds"
 
@@ -38,10 +40,9 @@ def clean(df: DataFrame, cfg: SensorConfig = AIR_QUALITY) -> DataFrame:
     No distinct and no imputation on the stream (quirk Q2).
     """
     out = df.drop(*cfg.dropped_columns)
-    if cfg.timestamp_col is None:
-        out = out.withColumn(cfg.event_time, event_time(F.col(cfg.date_col), F.col(cfg.time_col),
-                                                       cfg.timestamp_format))
-    out = listwise_filter(out, cfg.raw_measures, cfg.sentinel) if cfg.sentinel is not None else out
+    made = (F.col(cfg.timestamp_col).cast("timestamp_ntz") if cfg.timestamp_col is not None
+            else event_time(F.col(cfg.date_col), F.col(cfg.time_col), cfg.timestamp_format))
+    out = listwise_filter(out.withColumn(cfg.event_time, made), cfg.raw_measures, cfg.sentinel)
     return rename_columns(out, cfg.stream_renames)
 
 
@@ -72,10 +73,10 @@ def batch_schema(spark: SparkSession, path: str, fmt: str = "parquet") -> Struct
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
-                max_files_per_trigger: int | None = 1, path_glob: str | None = None) -> DataFrame:
+                max_files_per_trigger: int | None = None, path_glob: str | None = None) -> DataFrame:
     """File source over a directory (a single-file path is not accepted by
-    Spark; select files with ``path_glob``). ``max_files_per_trigger`` is the
-    reference's rate limit (T3)."""
+    Spark; select files with ``path_glob``). ``max_files_per_trigger`` is a
+    rate limit (T3); by default a micro-batch takes all new files."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -84,7 +85,7 @@ def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "
     return reader.load(path)
 
 
-def payload_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = 1) -> DataFrame:
+def payload_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Text files of JSON payloads as a stream with a ``value`` column (the
     file-based stand-in for a topic)."""
     return file_stream(spark, path, StructType([StructField("value", StringType())]), "text",
@@ -128,18 +129,73 @@ def _start_conf(spark: SparkSession, key: str, value: str | None):
             spark.conf.set(key, old)
 
 
+def _publish(spark: SparkSession, path: str, epoch: int, table: DataFrame) -> None:
+    """Write one epoch's result and point readers to it; epoch -1 gives way to any earlier result."""
+    if epoch < 0 and _published(spark, path) is not None:
+        return
+    table.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target, fresh = hadoop.Path(f"{path}/current"), hadoop.Path(f"{path}/_current.{epoch}")
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = files.create(fresh, True)
+    out.writeBytes(str(epoch))
+    out.close()
+    before = _published(spark, path)
+    files.delete(target, False)
+    files.rename(fresh, target)
+    for old in files.listStatus(hadoop.Path(path)):  # keep the result before, which a reader may be scanning
+        name = old.getPath().getName()
+        if name.startswith("epoch=") and int(name[6:]) < min(epoch, before if before is not None else epoch):
+            files.delete(old.getPath(), True)
+
+
+def _published(spark: SparkSession, path: str) -> int | None:
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    best = None
+    if files.exists(hadoop.Path(path)):
+        for entry in files.listStatus(hadoop.Path(path)):
+            name = entry.getPath().getName()
+            if name == "current":
+                stream = files.open(entry.getPath())
+                text = stream.readLine()
+                stream.close()
+                return int(text)
+            # between delete and rename of the pointer the new one is there under its own name
+            if name.startswith("_current.") and (best is None or int(name[9:]) > best):
+                best = int(name[9:])
+    return best
+
+
+def read_result(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The last published result of :func:`start_overwrite_table`; without rows if there is none yet."""
+    epoch = _published(spark, path)
+    if epoch is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/epoch={epoch}")
+
+
 def start_overwrite_table(df: DataFrame, path: str, checkpoint: str, available_now: bool = False,
                           processing_time: str | None = None,
                           state_partitions: int | None = None) -> StreamingQuery:
-    """K5 at scale: complete-mode result rewritten as a table each micro-batch.
+    """K5 at scale: complete-mode result written as a whole table each micro-batch.
+
+    Epoch n goes to ``path/epoch=n`` and the pointer ``path/current`` then
+    names it; an epoch that runs again after a failure writes the same folder
+    again. An empty result is published before the first epoch, unless an
+    earlier run left one. Read it with :func:`read_result`.
 
     ``state_partitions`` sizes the stateful aggregate's shuffle and state
     store by its key count instead of the session's batch-sized
     ``spark.sql.shuffle.partitions`` (which could mean hundreds of thousands
     of tasks per micro-batch for a handful of keys).
     """
-    def write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    _publish(spark, path, -1, spark.createDataFrame([], df.schema))
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        _publish(spark, path, epoch, batch)
+
     w = (df.writeStream.outputMode("complete").foreachBatch(write)
          .option("checkpointLocation", checkpoint))
     with _start_conf(df.sparkSession, "spark.sql.shuffle.partitions",
@@ -147,15 +203,6 @@ def start_overwrite_table(df: DataFrame, path: str, checkpoint: str, available_n
         return _trigger(w, available_now, processing_time).start()
 
 
-def start_memory(df: DataFrame, name: str, mode: str = "append", available_now: bool = False,
-                 processing_time: str | None = None, checkpoint: str | None = None) -> StreamingQuery:
-    """K4 / K5: named in-memory result table (driver-resident: demos only)."""
-    w = df.writeStream.queryName(name).format("memory").outputMode(mode)
-    if checkpoint:
-        w = w.option("checkpointLocation", checkpoint)
-    return _trigger(w, available_now, processing_time).start()
-
-
 def start_console(df: DataFrame, available_now: bool = False,
                   processing_time: str | None = None) -> StreamingQuery:
     """K3: debug echo of a stream."""
@@ -182,16 +229,28 @@ def ingest(payloads: DataFrame, schema: StructType, out_path: str, checkpoint: s
 
 
 def run_until_done(queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
-    """Block until every query ends (availableNow) and surface failures."""
-    for q in queries:
-        q.awaitTermination(timeout_s)
-        if q.exception() is not None:
-            raise RuntimeError(f"stream {q.name or q.id} failed: {q.exception()}")
+    """Block until every query ends (availableNow) and surface failures.
+
+    ``timeout_s`` is for all together. If it passes, or a query fails, the
+    others are stopped and an error is raised: a result that is not complete
+    is never taken for one.
+    """
+    end = None if timeout_s is None else time.monotonic() + timeout_s
+    try:
+        for q in queries:
+            left = None if end is None else max(0.1, end - time.monotonic())
+            if q.awaitTermination(left) is False:
+                raise TimeoutError(f"stream {q.name or q.id} still ran after {timeout_s} s")
+            if q.exception() is not None:
+                raise RuntimeError(f"stream {q.name or q.id} failed: {q.exception()}")
+    except BaseException:
+        stop_all(queries)
+        raise
 
 
 def analytics(spark: SparkSession, raw_dir: str, cleaned_out: str, avg_out: str, checkpoint_root: str,
               cfg: SensorConfig = AIR_QUALITY, available_now: bool = False,
-              max_files_per_trigger: int | None = 1,
+              max_files_per_trigger: int | None = None,
               processing_time: str | None = None, schema: StructType | None = None) -> list[StreamingQuery]:
     """Raw file stream -> cleaned rows (append) and running averages (complete).
 
@@ -207,16 +266,33 @@ def analytics(spark: SparkSession, raw_dir: str, cleaned_out: str, avg_out: str,
     return [q1, q2]
 
 
+def result_schemas(spark: SparkSession, raw: StructType, cfg: SensorConfig = AIR_QUALITY) -> tuple[StructType, StructType]:
+    """Schemas of the cleaned rows and of the averages for raw rows of schema ``raw``."""
+    cleaned = clean(spark.createDataFrame([], raw), cfg)
+    return cleaned.schema, running_average(long_form(cleaned, cfg)).schema
+
+
+def read_sink(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows a file sink has committed so far; without rows before its first commit."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_spark_metadata")
+    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def snapshots(spark: SparkSession, cleaned_path: str, avg_path: str, rounds: int = 10,
-              wait: Callable[[], None] | None = None, n: int = 10):
-    """Repeated snapshots of both result tables while the streams run.
+              wait: Callable[[], None] | None = None, n: int = 10,
+              schemas: tuple[StructType, StructType] | None = None, cfg: SensorConfig = AIR_QUALITY):
+    """Repeated snapshots of both result tables before, while and after the streams run.
 
     Yields (earliest n cleaned rows, averages ordered by pollutant) per round;
     ``wait`` is called between rounds (e.g. ``time.sleep(3)``).
     """
+    schemas = schemas or result_schemas(spark, raw_schema(cfg), cfg)
     for i in range(rounds):
-        cleaned = spark.read.parquet(cleaned_path)
-        yield earliest(cleaned, n), spark.read.parquet(avg_path).orderBy("pollutant")
+        cleaned = read_sink(spark, cleaned_path, schemas[0])
+        yield (earliest(cleaned, n, cfg.event_time),
+               read_result(spark, avg_path, schemas[1]).orderBy("pollutant"))
         if wait and i + 1 < rounds:
             wait()
 
@@ -230,33 +306,3 @@ def stop_all(queries: list[StreamingQuery]) -> None:
     """Stop the given queries (their checkpoints allow a later restart)."""
     for q in queries:
         q.stop()
-
-
-def analytics_memory(spark: SparkSession, raw_dir: str, checkpoint_root: str, cfg: SensorConfig = AIR_QUALITY,
-                     available_now: bool = False, max_files_per_trigger: int | None = 1,
-                     processing_time: str | None = None,
-                     names: tuple[str, str] = ("cleaned_pollutants", "pollutant_avg")) -> list[StreamingQuery]:
-    """C9 in its demo shape: the two results as named in-memory tables that
-    SQL can query while the streams run (K4, K5, S8). Memory sinks live on
-    the driver, so this form is for demos and small inputs only; use
-    :func:`analytics` for file-backed results."""
-    src = file_stream(spark, raw_dir, batch_schema(spark, raw_dir), "parquet", max_files_per_trigger)
-    cleaned = clean(src, cfg)
-    q1 = start_memory(cleaned, names[0], "append", available_now, processing_time,
-                      f"{checkpoint_root}/{names[0]}")
-    avg = running_average(long_form(cleaned, cfg))
-    with _start_conf(spark, "spark.sql.shuffle.partitions", str(len(cfg.measures))):
-        q2 = start_memory(avg, names[1], "complete", available_now, processing_time,
-                          f"{checkpoint_root}/{names[1]}")
-    return [q1, q2]
-
-
-def sql_snapshots(spark: SparkSession, rounds: int = 10, wait: Callable[[], None] | None = None,
-                  names: tuple[str, str] = ("cleaned_pollutants", "pollutant_avg"), n: int = 10):
-    """T8 over the named tables: the earliest ``n`` cleaned rows and the
-    averages by pollutant, once per round."""
-    for i in range(rounds):
-        yield (spark.sql(f"SELECT * FROM {names[0]} ORDER BY event_timestamp LIMIT {int(n)}"),
-               spark.sql(f"SELECT * FROM {names[1]} ORDER BY pollutant"))
-        if wait and i + 1 < rounds:
-            wait()

@@ -77,12 +77,12 @@ def test_documents_roundtrip(spark, tmp_dir):
     assert '"time_features":{}' in text  # all-null struct becomes {} (null fields omitted)
 
 
-def test_documents_skip_empty_keeps_previous_load(spark, tmp_dir):
+def test_empty_load_keeps_previous_documents(spark, tmp_dir):
     p = _processed(spark, [(1, 1, 2.0)])
     assert documents.write_documents(documents.nest(p), tmp_dir)
-    assert not documents.write_documents(documents.nest(p.limit(0)), tmp_dir, skip_empty=True)
+    assert not documents.write_documents(documents.nest(p.limit(0)), tmp_dir)
     assert documents.read_documents(spark, tmp_dir).count() == 1
-    assert documents.write_documents(documents.nest(p.limit(0)), tmp_dir)  # default: full refresh
+    assert documents.write_documents(documents.nest(p.limit(0)), tmp_dir, replace_with_empty=True)
     assert documents.read_documents(spark, tmp_dir).count() == 0
 
 

@@ -35,11 +35,11 @@ def test_write_twice_equals_once(spark, tmp_dir):
 
 def test_reading_ids_unique_and_deterministic(spark):
     p = catalog.processed(spark, SF, "record_id")
-    r1 = graph.readings(p).select("reading_id")
+    r1 = graph.readings(p).select("row_id", "pollutant")
     assert r1.count() == r1.distinct().count() == 5 * p.filter("event_timestamp is not null").count()
-    assert _rows(r1) == _rows(graph.readings(p).select("reading_id"))
+    assert _rows(r1) == _rows(graph.readings(p).select("row_id", "pollutant"))
     # fallback ids when the processed frame carries none
-    r2 = graph.readings(catalog.processed(spark, SF), id_col=None).select("reading_id")
+    r2 = graph.readings(catalog.processed(spark, SF), id_col=None).select("row_id", "pollutant")
     assert r2.count() == r2.distinct().count() == r1.count()
 
 
@@ -102,5 +102,5 @@ def test_edge_views_match_the_readings_fact(spark, tmp_dir):
     hr, ro = g.has_reading(), g.reading_of()
     n = g.readings.count()
     assert hr.count() == ro.count() == n
-    assert hr.join(ro, "reading_id").count() == n  # every reading has one hour and one type
+    assert hr.join(ro, ["row_id", "pollutant"]).count() == n  # every reading has one hour and one type
     assert {r.name for r in ro.select("name").distinct().collect()} == {"CO", "NMHC", "Benzene", "NOx", "NO2"}

@@ -35,7 +35,7 @@ def test_stages_end_to_end(spark, tmp_dir):
     assert gq["weekday_norm"].count() == 35 and gq["hourly_norm_matrix"].count() == 5
 
     qs = jobs.stream(spark, raw, f"{tmp_dir}/stream", f"{tmp_dir}/ck-stream", available_now=True, rounds=1)
-    assert spark.read.parquet(f"{tmp_dir}/stream/pollutant_avg").count() == 5
+    assert len(qs) == 2 and spark.read.parquet(f"{tmp_dir}/stream/pollutant_avg").count() == 5
 
 
 def test_cli_parses_every_stage():

@@ -63,26 +63,21 @@ def test_profiles_pre_aggregate_before_shuffle(spark, name):
     assert plan.index("partial_avg") > plan.index("Exchange hashpartitioning")  # listed below (before) a shuffle
 
 
-def test_presentation_helpers(spark):
-    from smoglake.plans.presentation import is_empty, to_small_pandas
+def test_is_empty(spark):
+    from smoglake.plans.presentation import is_empty
     prof = catalog.graph_hourly_norm_fact(spark, SF)
-    pdf = to_small_pandas(prof)
-    assert len(pdf) == 120
-    assert to_small_pandas(prof.limit(0)) is None and is_empty(prof.limit(0))
-    with pytest.raises(ValueError):
-        to_small_pandas(catalog.processed_table(spark, SF), max_rows=100)
+    assert not is_empty(prof) and is_empty(prof.limit(0))
 
 
 def test_library_never_pulls_data_to_the_driver():
-    """No collect / toPandas / toLocalIterator / rdd hops in library code; the
-    one guarded pandas hand-off lives in plans/presentation.py."""
+    """No collect / toPandas / toLocalIterator / rdd hops in the sensor library."""
     import pathlib
     import re
     root = pathlib.Path(__file__).resolve().parents[1] / "smoglake"
     banned = re.compile(r"(?<!\bF)\.(collect|toPandas|toLocalIterator|take|head|first)\(|\.rdd\b|udf\(|pandas_udf")
     offenders = []
     for f in root.rglob("*.py"):
-        if f.name == "presentation.py":
+        if "llm" in f.parts:  # fits bounded models on the driver; tests/llm has its own checks
             continue
         for i, line in enumerate(f.read_text().splitlines(), 1):
             if banned.search(line) and not line.lstrip().startswith("#"):

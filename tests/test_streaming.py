@@ -1,6 +1,9 @@
-import uuid
+import time
+
+import pytest
 
 from smoglake import catalog
+from smoglake.config import lineitem_config
 from smoglake.sources.json_codec import encode_json, raw_schema
 from smoglake.streaming import sensor_stream as S
 
@@ -26,33 +29,56 @@ def test_stream_equals_batch_for_any_split(spark, tmp_dir):
         S.run_until_done(qs)
         assert qs[0].lastProgress is not None
         assert _rows(catalog.round_doubles(spark.read.parquet(cleaned))) == _rows(batch_clean)
-        assert _rows(catalog.round_doubles(spark.read.parquet(avg))) == _rows(batch_avg)
+        assert _rows(catalog.round_doubles(_averages(spark, avg))) == _rows(batch_avg)
+
+
+def _averages(spark, path):
+    schema = S.running_average(S.long_form(S.clean(catalog.raw(spark, SF)))).schema
+    return S.read_result(spark, path, schema)
 
 
-def test_one_file_per_micro_batch(spark, tmp_dir):
+def test_files_per_micro_batch(spark, tmp_dir):
     src = f"{tmp_dir}/raw"
     _stage(spark, src, 4)
-    q = S.start_memory(S.clean(S.file_stream(spark, src, S.batch_schema(spark, src))),
-                       f"cleaned_{uuid.uuid4().hex[:8]}", available_now=True, checkpoint=f"{tmp_dir}/ck")
-    S.run_until_done([q])
-    batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
-    assert len(batches) == 4
+    for limit, batches in ((1, 4), (None, 1)):
+        stream = S.clean(S.file_stream(spark, src, S.batch_schema(spark, src), max_files_per_trigger=limit))
+        q = S.start_files(stream, f"{tmp_dir}/out{limit}", f"{tmp_dir}/ck{limit}", available_now=True)
+        S.run_until_done([q])
+        assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == batches
 
 
-def test_memory_sinks_demo(spark, tmp_dir):
-    """The reference's demo shape: named memory tables queried with SQL."""
+def test_timeout_raises_and_stops_all(spark, tmp_dir):
+    src = f"{tmp_dir}/raw"
+    _stage(spark, src, 1)
+    stream = S.clean(S.file_stream(spark, src, S.batch_schema(spark, src)))
+    qs = [S.start_files(stream, f"{tmp_dir}/o{i}", f"{tmp_dir}/ck{i}", processing_time="1 second") for i in range(2)]
+    with pytest.raises(TimeoutError):
+        S.run_until_done(qs, timeout_s=1.0)
+    assert not any(q.isActive for q in qs)
+
+
+def test_snapshots_before_during_and_after(spark, tmp_dir):
     src = f"{tmp_dir}/raw"
     _stage(spark, src, 3)
-    cleaned = S.clean(S.file_stream(spark, src, S.batch_schema(spark, src)))
-    n1, n2 = f"cleaned_{uuid.uuid4().hex[:8]}", f"avg_{uuid.uuid4().hex[:8]}"
-    q1 = S.start_memory(cleaned, n1, "append", available_now=True, checkpoint=f"{tmp_dir}/c1")
-    q2 = S.start_memory(S.running_average(S.long_form(cleaned)), n2, "complete", available_now=True,
-                        checkpoint=f"{tmp_dir}/c2")
-    S.run_until_done([q1, q2])
-    top = spark.sql(f"SELECT * FROM {n1} ORDER BY event_timestamp LIMIT 10").collect()
-    assert len(top) == 10
-    avg = spark.sql(f"SELECT * FROM {n2} ORDER BY pollutant").collect()
-    assert [r.pollutant for r in avg] == sorted(["CO", "NMHC", "Benzene", "NOx", "NO2"])
+    c, a = f"{tmp_dir}/c", f"{tmp_dir}/a"
+    (top, avg), = S.snapshots(spark, c, a, rounds=1)
+    assert top.count() == 0 and avg.count() == 0
+    qs = S.analytics(spark, src, c, a, f"{tmp_dir}/ck", max_files_per_trigger=1, processing_time="1 second")
+    for top, avg in S.snapshots(spark, c, a, rounds=6, wait=lambda: time.sleep(0.3)):
+        assert top.count() in (0, 10) and avg.count() in (0, 5)
+    for q in qs:
+        q.processAllAvailable()
+    (top, avg), = S.snapshots(spark, c, a, rounds=1)
+    S.stop_all(qs)
+    want = catalog.round_doubles(S.running_average(S.long_form(S.clean(catalog.raw(spark, SF)))))
+    assert top.count() == 10 and _rows(catalog.round_doubles(avg)) == _rows(want)
+
+
+def test_any_configuration_streams(spark):
+    cfg = lineitem_config()
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    out = S.running_average(S.long_form(S.clean(li, cfg), cfg))
+    assert {r.pollutant for r in out.collect()} == {"quantity", "extendedprice", "discount", "tax"}
 
 
 def test_ingest_payload_files(spark, tmp_dir):
@@ -94,7 +120,7 @@ def test_restart_from_checkpoint_is_exactly_once(spark, tmp_dir):
     want = catalog.round_doubles(S.clean(raw))
     assert _rows(catalog.round_doubles(spark.read.parquet(out))) == _rows(want)
     want_avg = catalog.round_doubles(S.running_average(S.long_form(S.clean(raw))))
-    assert _rows(catalog.round_doubles(spark.read.parquet(avg))) == _rows(want_avg)
+    assert _rows(catalog.round_doubles(_averages(spark, avg))) == _rows(want_avg)
 
 
 def test_ingest_with_console_second_query(spark, tmp_dir):
@@ -119,18 +145,6 @@ def test_state_partitions_sized_by_keys(spark, tmp_dir):
     assert '"spark.sql.shuffle.partitions":"5"' in offsets  # state store layout kept by the checkpoint
 
 
-def test_named_memory_tables_demo(spark, tmp_dir):
-    src = f"{tmp_dir}/raw"
-    _stage(spark, src, 3)
-    names = (f"cleaned_{uuid.uuid4().hex[:6]}", f"avg_{uuid.uuid4().hex[:6]}")
-    qs = S.analytics_memory(spark, src, f"{tmp_dir}/ck", available_now=True, names=names)
-    S.run_until_done(qs)
-    (top, avg), = list(S.sql_snapshots(spark, rounds=1, names=names))
-    assert top.count() == 10
-    want = catalog.round_doubles(S.running_average(S.long_form(S.clean(catalog.raw(spark, SF)))))
-    assert _rows(catalog.round_doubles(avg)) == _rows(want)
-
-
 def test_lifecycle_helpers(spark, tmp_dir):
     src = f"{tmp_dir}/raw"
     _stage(spark, src, 1)
