@@ -51,6 +51,11 @@ def _tree(df) -> str:
     tree = text.split("\n\n\n")[0]
     if "== Final Plan ==" in tree:
         tree = tree.split("+- == Initial Plan ==")[0]
+    marker = "===== Subqueries ====="
+    if marker in text:  # their plans, without the operator details
+        for part in text.split(marker)[1].split("Subquery:")[1:]:
+            plan = part.split("\n\n\n")[0].split("+- == Initial Plan ==")[0]
+            tree += "\n\nSubquery:" + plan.rstrip()
     return tree.strip()
 
 
