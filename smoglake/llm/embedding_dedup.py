@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BINARY, INT, LONG, field, map_columns, staged
+from .common import BINARY, INT, field, map_columns, staged
 from .components import components
 
 SIMILARITY = 0.95
