@@ -15,11 +15,20 @@ that the two texts do not share, which no in-order match can exceed.
 Documents joined by links form a class; its least doc_id stays.
 
 Linking in rounds. Equal texts are one class from the start, so groups of
-copies cost one row each. In the first round every text is held against one
-text that it meets most often; then all texts that meet in small buckets, and
-several members of each larger bucket, unless they are linked already. Last,
-buckets that still hold several classes are split by pairs of sketches.
-No bucket is gathered in one task and none is dropped or cut.
+copies cost one row each. First every text is held against the shortest text
+of the buckets it is in, the one it meets most often. Then all texts
+that meet in small buckets are compared, unless they are linked already, and
+in each larger bucket every member with the shortest, the pivot. Let v have no
+fewer shingles than the pivot, and let u fall short of the threshold with the
+pivot. If u and v share no shingle that the pivot lacks, they have at most as
+much in common as u and the pivot, so u and v fall short too. So what is
+left apart in a large bucket is dealt to new buckets by the shingles that its
+members have and the pivot lacks. Small ones are compared in all pairs again; in
+large ones what is still apart is held against the plainest member, the one
+with the fewest such shingles. The work grows with the members of a bucket and
+not with their pairs; no bucket is gathered in one task and none is dropped
+or cut. Not sought is a link of two texts that both fall short with
+the pivot and with the plainest member and share nothing but what many members share.
 
 Defined results: a text of one to four words is one shingle; a text without
 words (null, empty, blank) is linked with nothing; rows with a null id never
@@ -33,7 +42,7 @@ import hashlib
 from bisect import bisect_left
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,7 +57,6 @@ IN_ORDER = 0.9
 #: overlap by a factor of 0.8, so that linked texts share a kind of sketch.
 KINDS = ((1, 20, 2, 24), (16, 64, 4, 32), (50, None, 6, 48))
 SMALL_BUCKET = 24  # texts that are all held against each other
-PIVOTS = 4  # members of a larger bucket that all others are held against
 
 
 @functools.lru_cache(maxsize=8)
@@ -112,21 +120,40 @@ def text_shingles(text: str | None) -> np.ndarray:
 
 
 def with_sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, node, keys) per row; node stands for the words of the text. One map over the texts."""
+    """(id, digest, n, keys) per row: digest of the words, distinct shingles, bucket keys. One map over the texts."""
     def run(texts):
-        return [[digest(t) for t in texts], [sketch_keys(t) for t in texts]]
+        return [[digest(t) for t in texts], [len(text_shingles(t)) for t in texts], [sketch_keys(t) for t in texts]]
 
-    return map_columns(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")), ["text"],
-                       [field("node", BINARY), field("keys", T.ArrayType(LONG))], run, ["id"])
+    return map_columns(docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")),
+                       ["text"], [field("digest", BINARY), field("n", LONG), field("keys", T.ArrayType(LONG))], run, ["id"])
 
 
-def verified(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
-    """The pairs (a, b) whose texts are linked. Texts reach their pairs by two joins; none is broadcast."""
+_SIGN = -(1 << 63)
+
+
+def node_of(id_: Column, digest_: Column) -> Column:
+    """24 bytes that sort by id (null last), then digest."""
+    number = F.lpad(F.hex(id_.bitwiseXOR(F.lit(_SIGN))), 16, "0")
+    return F.concat(F.unhex(F.coalesce(number, F.lit("F" * 16))), digest_)
+
+
+def id_of(node: Column) -> Column:
+    number = F.conv(F.hex(F.substring(node, 1, 8)), 16, -10).cast("long").bitwiseXOR(F.lit(_SIGN))
+    return F.when(number != F.lit((1 << 63) - 1), number)
+
+
+def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b, pivot, linked, added) of the pairs (a, b, pivot), written.
+
+    Where ``pivot`` is set (b is the pivot of a large bucket), ``added`` has
+    the shingles of a that b lacks. Texts reach their pairs by two joins;
+    none is broadcast.
+    """
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(one, "a").join(two, "b")
 
-    def run(left, right):
+    def run(left, right, pivot):
         known: dict[str, np.ndarray] = {}
 
         def codes(text):
@@ -136,95 +163,93 @@ def verified(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
                 known[text] = text_shingles(text)
             return known[text]
 
-        return [[linked(codes(x), codes(y)) for x, y in zip(left, right, strict=True)]]
+        out = [[], []]
+        for x, y, p in zip(left, right, pivot, strict=True):
+            a, b = codes(x), codes(y)
+            out[0].append(linked(a, b))
+            out[1].append(np.setdiff1d(a, b, assume_unique=True).view(np.int64).tolist() if p else [])
+        return out
 
-    checked = map_columns(both, ["text_a", "text_b"], [field("linked", BOOL)], run, ["a", "b"])
-    return staged(checked.filter("linked").select("a", "b"), name)
+    made = [field("linked", BOOL), field("added", T.ArrayType(LONG))]
+    return staged(map_columns(both, ["text_a", "text_b", "pivot"], made, run, ["a", "b", "pivot"]), "near-compared")
 
 
-def labelled(members: DataFrame, links: DataFrame, name: str) -> DataFrame:
-    """``members`` (key, node) with each node's class so far (its own node if it has no link)."""
-    found = components(links, name)
-    return members.join(found, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component"))
+def with_pivots(members: DataFrame, by: str) -> DataFrame:
+    """``members`` (key, node, ...) of buckets of two or more, plus size and pivot (least ``by``, then node)."""
+    info = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(by, "node")).alias("least")).filter("size > 1")
+    return members.join(info.select("key", "size", F.col("least.node").alias("pivot")), "key")
 
 
-def pivot_pairs(members: DataFrame) -> DataFrame:
-    """(a, b): each member against ``PIVOTS`` members of its bucket drawn by hash.
+def meetings(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b, pivot) to compare.
 
-    Drawn as minima of salted hashes in one aggregate (combined before the
-    shuffle), so a hot bucket costs as many rows as it has members.
+    ``members`` has key, node, size, pivot and apart; in small buckets all
+    pairs of different classes of which one is ``apart``, in large ones each that is apart with the pivot.
     """
-    drawn = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *[
-        F.min(F.struct(F.xxhash64("node", F.lit(t)), "node", "component")).alias(f"p{t}") for t in range(PIVOTS)])
-    drawn = drawn.filter("n > 1").select("key", F.explode(F.array(*[F.col(f"p{t}") for t in range(PIVOTS)])).alias("p"))
-    met = members.join(drawn.select("key", F.col("p.node").alias("other"), F.col("p.component").alias("its")), "key")
-    return _pairs(met)
-
-
-def small_pairs(members: DataFrame) -> DataFrame:
-    """(a, b): all members of each bucket of up to ``SMALL_BUCKET`` texts, unless of one class already."""
-    few = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(f"n > 1 AND n <= {SMALL_BUCKET}").select("key")
-    inside = members.join(few, "key")
-    met = inside.join(inside.select("key", F.col("node").alias("other"), F.col("component").alias("its")), "key")
-    return _pairs(met)
-
-
-def _pairs(met: DataFrame) -> DataFrame:
-    return (met.filter("node <> other AND component <> its")
-            .select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct())
-
-
-def meetings(members: DataFrame) -> DataFrame:
-    return small_pairs(members).unionByName(pivot_pairs(members)).distinct()
+    few = members.filter(f"size <= {SMALL_BUCKET}").join(labels, "node", "left").select(
+        "key", "node", "apart", F.coalesce("component", "node").alias("class"))
+    other = few.select("key", F.col("node").alias("b"), F.col("apart").alias("apart_b"), F.col("class").alias("class_b"))
+    small = few.join(other, "key").filter("node > b AND class <> class_b AND (apart OR apart_b)")
+    large = members.filter(f"size > {SMALL_BUCKET} AND node <> pivot AND apart")
+    return (small.select(F.col("node").alias("a"), "b", F.lit(False).alias("pivot"))
+            .unionByName(large.select(F.col("node").alias("a"), F.col("pivot").alias("b"), F.lit(True).alias("pivot")))
+            .groupBy("a", "b").agg(F.max("pivot").alias("pivot")))
 
 
-def split_further(members: DataFrame) -> DataFrame:
-    """Members of large buckets that hold several classes, under keys of two sketches each.
+def divided(held: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (key, node, apart, size, pivot) of the new buckets of large ones that are still apart.
 
-    Linked texts share about a quarter of their sketches or more, so they
-    also share keys of two; texts that only share a passage hardly do.
+    ``held``: members compared with their pivots. A new bucket has the
+    members of one pivot that share one shingle which the pivot lacks.
     """
-    mixed_ = (members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"),
-                                         F.max("component").alias("hi"))
-              .filter(f"n > {SMALL_BUCKET} AND lo <> hi").select("key"))
-    first = members.join(mixed_, "key")
-    nodes = first.select("node").distinct()
-    second = members.join(nodes, "node", "left_semi").select(F.col("key").alias("key2"), "node")
-    return (first.join(second, "node").filter("key < key2")
-            .select(F.xxhash64("key", "key2").alias("key"), "node", "component"))
+    own = labels.select(F.col("node").alias("a"), F.col("component").alias("class_a"))
+    its = labels.select(F.col("node").alias("b"), F.col("component").alias("class_b"))
+    seen = held.join(own, "a", "left").join(its, "b", "left").withColumn(
+        "apart", ~F.col("linked") & (F.coalesce("class_a", "a") != F.coalesce("class_b", "b")))
+    torn = seen.filter("apart").select("b").distinct()
+    dealt = seen.join(torn, "b").select(F.col("a").alias("node"), "apart", "b", F.size("added").alias("more"), F.explode("added").alias("code"))
+    dealt = dealt.select(F.xxhash64("b", "code").alias("key"), "node", "more", "apart")
+    wanted = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.max("apart").alias("any")).filter("m > 1 AND any").select("key")
+    return with_pivots(dealt.join(wanted, "key"), "more")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, node, component_id, kept) per row of ``docs``."""
+    """(id, component_id, kept) per row of ``docs``; the id is an integer."""
     rows = staged(with_sketches(docs, id_col, text_col), "near-sketches")
-    firsts = staged(rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.min("keys").alias("keys")),
-                    "near-firsts")
-    exploded = firsts.select("node", F.explode("keys").alias("key"))
-    shared = exploded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    members = staged(exploded.join(shared, "key"), "near-members")
+    firsts = rows.filter("digest IS NOT NULL").groupBy("digest").agg(
+        F.min("id").alias("id"), F.min("n").alias("n"), F.min("keys").alias("keys"))
+    firsts = staged(firsts.select("digest", node_of(F.col("id"), F.col("digest")).alias("node"), "n", "keys"), "near-firsts")
+    members = staged(with_pivots(firsts.select("node", "n", F.explode("keys").alias("key")), "n"), "near-members")
     # texts that meet another one, fetched once
-    wanted = members.select("node").distinct().join(firsts.select("node", "id"), "node")
-    source = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    wanted = members.select("node").distinct().withColumn("id", id_of(F.col("node")))
+    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     found = map_columns(source.join(wanted, "id"), ["text"], [field("own", BINARY)],
                         lambda texts: [[digest(t) for t in texts]], ["node", "text"])
-    texts = staged(found.filter("own = node").select("node", "text").dropDuplicates(["node"]), "near-texts")
-    # round 1: of the least members of its buckets, the one that a text meets most often
-    pivots = members.groupBy("key").agg(F.min("node").alias("pivot"))
-    often = (members.join(pivots, "key").filter("node <> pivot").groupBy("node", "pivot").count()
-             .groupBy("node").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot")))
-    links = verified(staged(often.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b"))
-                            .distinct(), "near-pairs"), texts, "near-links")
-    for number, pairs in enumerate((meetings, lambda m: meetings(staged(split_further(m), "near-split")))):
-        now = staged(labelled(members, links, "near-classes"), "near-labelled")
-        ahead = staged(pairs(now), "near-pairs")
-        links = links.unionByName(verified(ahead, texts, f"near-links-{number}"))
-    final = components(links, "near-classes")
-    joined = rows.select("id", "node").join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = joined.filter("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("component_id"))
-    out = joined.join(least, "component", "left").withColumn(
-        "component_id", F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("component_id")))
-    return out.select("id", "node", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    texts = staged(found.filter("own = substring(node, 9, 16)").select("node", "text").dropDuplicates(["node"]), "near-texts")
+    # the pivot that a text meets most often
+    often = (members.filter("node <> pivot").groupBy("node", "pivot").count()
+             .groupBy("node").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("b")))
+    first = compared(staged(often.select(F.col("node").alias("a"), "b", F.lit(False).alias("pivot")), "near-pairs"), texts)
+    links = first.filter("linked").select("a", "b")
+    parents = links
+    for _ in range(2):  # a pivot may have a pivot of its own: follow up to four
+        above = parents.select(F.col("a").alias("b"), F.col("b").alias("higher"))
+        parents = parents.join(above, "b", "left").select("a", F.coalesce("higher", "b").alias("b"))
+    labels = parents.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    done = compared(staged(meetings(members.withColumn("apart", F.lit(True)), labels), "near-pairs"), texts)
+    links = links.unionByName(done.filter("linked").select("a", "b"))
+    labels = staged(components(links, "near-classes"), "near-classes")
+    # what is still apart in large buckets
+    parts = staged(divided(done.filter("pivot"), labels), "near-parts")
+    if not parts.isEmpty():
+        more = compared(staged(meetings(parts, labels), "near-pairs"), texts).filter("linked").select("a", "b")
+        if not more.isEmpty():
+            labels = staged(components(links.unionByName(more), "near-classes"), "near-classes")
+    named = firsts.join(labels, "node", "left").select(
+        "digest", id_of(F.coalesce("component", "node")).alias("component_id"))
+    out = rows.select("id", "digest").join(named, "digest", "left").withColumn(
+        "component_id", F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("component_id")))
+    return out.select("id", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
