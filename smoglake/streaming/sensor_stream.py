@@ -135,7 +135,7 @@ def _publish(spark: SparkSession, path: str, epoch: int, table: DataFrame) -> No
         return
     table.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
     hadoop = spark._jvm.org.apache.hadoop.fs
-    target, fresh = hadoop.Path(f"{path}/current"), hadoop.Path(f"{path}/_current.{epoch}")
+    target, fresh = hadoop.Path(f"{path}/_current"), hadoop.Path(f"{path}/_next.{epoch}")
     files = target.getFileSystem(spark._jsc.hadoopConfiguration())
     out = files.create(fresh, True)
     out.writeBytes(str(epoch))
@@ -156,14 +156,14 @@ def _published(spark: SparkSession, path: str) -> int | None:
     if files.exists(hadoop.Path(path)):
         for entry in files.listStatus(hadoop.Path(path)):
             name = entry.getPath().getName()
-            if name == "current":
+            if name == "_current":
                 stream = files.open(entry.getPath())
                 text = stream.readLine()
                 stream.close()
                 return int(text)
             # between delete and rename of the pointer the new one is there under its own name
-            if name.startswith("_current.") and (best is None or int(name[9:]) > best):
-                best = int(name[9:])
+            if name.startswith("_next.") and (best is None or int(name[6:]) > best):
+                best = int(name[6:])
     return best
 
 
@@ -180,7 +180,7 @@ def start_overwrite_table(df: DataFrame, path: str, checkpoint: str, available_n
                           state_partitions: int | None = None) -> StreamingQuery:
     """K5 at scale: complete-mode result written as a whole table each micro-batch.
 
-    Epoch n goes to ``path/epoch=n`` and the pointer ``path/current`` then
+    Epoch n goes to ``path/epoch=n`` and the pointer ``path/_current`` then
     names it; an epoch that runs again after a failure writes the same folder
     again. An empty result is published before the first epoch, unless an
     earlier run left one. Read it with :func:`read_result`.

@@ -4,6 +4,7 @@ from smoglake import catalog, jobs
 from smoglake.__main__ import _parser
 from smoglake.plans import graph
 from smoglake.sources.json_codec import encode_json
+from smoglake.streaming import sensor_stream as S
 
 SF = "/root/testdata/sf0.001"
 
@@ -35,7 +36,8 @@ def test_stages_end_to_end(spark, tmp_dir):
     assert gq["weekday_norm"].count() == 35 and gq["hourly_norm_matrix"].count() == 5
 
     qs = jobs.stream(spark, raw, f"{tmp_dir}/stream", f"{tmp_dir}/ck-stream", available_now=True, rounds=1)
-    assert len(qs) == 2 and spark.read.parquet(f"{tmp_dir}/stream/pollutant_avg").count() == 5
+    schema = S.result_schemas(spark, spark.read.parquet(raw).schema)[1]
+    assert len(qs) == 2 and S.read_result(spark, f"{tmp_dir}/stream/pollutant_avg", schema).count() == 5
 
 
 def test_cli_parses_every_stage():

@@ -35,12 +35,12 @@ def test_top5_is_take_ordered(spark):
 
 
 def test_scan_prunes_columns(spark):
-    plan = _plan(catalog.processed_table(spark, SF))
+    plan = _plan(catalog.processed(spark, SF))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double>" in plan
 
 
 def test_imputation_is_one_scalar_subquery_without_joins(spark):
-    df = catalog.processed_table(spark, SF)
+    df = catalog.processed(spark, SF)  # the one-plan form
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[0]
