@@ -2,10 +2,10 @@
 
 The tokenizer first cuts a text into pieces (words with their leading blank,
 numbers, punctuation, blanks) and encodes each piece by itself. Here the
-cutting is done by one compiled expression and every distinct piece is
-encoded once per worker, in batches. That gives the tokenizer's own ids;
-texts with characters outside the range that the expression is built for go
-to the tokenizer whole.
+cutting is done by one compiled expression and every distinct piece goes
+through the tokenizer's model once per worker. That gives the tokenizer's own
+ids; texts with characters outside the range that the expression is built for
+go to the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -13,12 +13,13 @@ from __future__ import annotations
 import functools
 import re
 import unicodedata
+from array import array
 
 import numpy as np
 
 #: Characters for which the piece classes are built (assigned ones below this code point).
 COVERED = 0x2100
-CACHE_PIECES = 400_000
+CACHE_PIECES = 800_000
 
 # The contractions and classes of the byte-level piece pattern.
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
@@ -58,17 +59,29 @@ def _tokenizer(path: str):
     return made
 
 
+def _byte_letters() -> str:
+    """The letter that stands for each byte in the vocabulary: itself if it is visible, else one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    spare = iter(range(256, 512))
+    return "".join(chr(b) if b in seen else chr(next(spare)) for b in range(256))
+
+
 class Encoder:
     """Encodes lists of texts to little-endian uint32 id strings."""
 
     def __init__(self, path: str):
         self.path = path
         self.known: dict[str, bytes] = {}
+        self.letters = dict(enumerate(_byte_letters()))
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         made = _tokenizer(self.path).encode_batch(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in made]
 
+    def _piece(self, piece: str) -> bytes:
+        spelled = piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in _tokenizer(self.path).model.tokenize(spelled)]).tobytes()
+
     def encode(self, texts: list[str], group: int = 64) -> list[bytes]:
         out: list[bytes] = []
         for at in range(0, len(texts), group):
@@ -82,9 +95,8 @@ class Encoder:
         if len(self.known) + len(missing) > CACHE_PIECES:
             self.known.clear()
             missing = set().union(*[p for p in pieces if p is not None])
-        if missing:
-            new = list(missing)
-            self.known.update(zip(new, self._whole(new), strict=True))
+        for piece in missing:
+            self.known[piece] = self._piece(piece)
         get = self.known.__getitem__
         return [self._whole([x])[0] if p is None else b"".join(map(get, p)) for x, p in zip(texts, pieces, strict=True)]
 
