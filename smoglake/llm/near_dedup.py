@@ -18,17 +18,19 @@ Linking in rounds. Equal texts are one class from the start, so groups of
 copies cost one row each. First every text is held against the shortest text
 of the buckets it is in, the one it meets most often. Then all texts
 that meet in small buckets are compared, unless they are linked already, and
-in each larger bucket every member with the shortest, the pivot. Let v have no
-fewer shingles than the pivot, and let u fall short of the threshold with the
-pivot. If u and v share no shingle that the pivot lacks, they have at most as
-much in common as u and the pivot, so u and v fall short too. So what is
-left apart in a large bucket is dealt to new buckets by the shingles that its
-members have and the pivot lacks. Small ones are compared in all pairs again; in
-large ones what is still apart is held against the plainest member, the one
-with the fewest such shingles. The work grows with the members of a bucket and
-not with their pairs; no bucket is gathered in one task and none is dropped
-or cut. Not sought is a link of two texts that both fall short with
-the pivot and with the plainest member and share nothing but what many members share.
+in each larger bucket every member with the shortest, the pivot. The members
+of a large bucket that has not become one class are the rest, and among them
+links are sought exactly. In one order of all shingles, the rarest first, two
+texts of similarity 0.8 have a shingle in common among the first fifth (plus
+one) of each, so the rest is dealt by these shingles alone. A few turns hold
+the members of such large buckets against a pivot, another one each turn, to
+join what belongs together. Then all pairs of different classes
+are compared whose lengths, places in the order and bit signatures allow the
+similarity; these are bounds, not estimates. So no
+link between two texts that met is left out, whatever the bucket's size.
+A large bucket is joined in pairs of blocks, so none is gathered in one task
+and none is dropped or cut. Where many texts share more than four fifths of
+their shingles with many others and still differ, this work grows with their pairs.
 
 Defined results: a text of one to four words is one shingle; a text without
 words (null, empty, blank) is linked with nothing; rows with a null id never
@@ -57,6 +59,10 @@ IN_ORDER = 0.9
 #: overlap by a factor of 0.8, so that linked texts share a kind of sketch.
 KINDS = ((1, 20, 2, 24), (16, 64, 4, 32), (50, None, 6, 48))
 SMALL_BUCKET = 24  # texts that are all held against each other
+TURNS = 3  # at most, of pivots in the rest; what they leave apart is compared in pairs
+BLOCK = 500  # members of a bucket that one task joins with as many others
+SLOTS = 1 << 20  # counters that give the order of the shingles
+SIGNATURE = 8  # longs of a text's bit signature
 
 
 @functools.lru_cache(maxsize=8)
@@ -143,17 +149,15 @@ def id_of(node: Column) -> Column:
 
 
 def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, pivot, linked, added) of the pairs (a, b, pivot), written.
+    """(a, b, pivot, linked) of the pairs (a, b, pivot), written.
 
-    Where ``pivot`` is set (b is the pivot of a large bucket), ``added`` has
-    the shingles of a that b lacks. Texts reach their pairs by two joins;
-    none is broadcast.
+    Texts reach their pairs by two joins; none is broadcast.
     """
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(one, "a").join(two, "b")
 
-    def run(left, right, pivot):
+    def run(left, right):
         known: dict[str, np.ndarray] = {}
 
         def codes(text):
@@ -163,54 +167,144 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 known[text] = text_shingles(text)
             return known[text]
 
-        out = [[], []]
-        for x, y, p in zip(left, right, pivot, strict=True):
-            a, b = codes(x), codes(y)
-            out[0].append(linked(a, b))
-            out[1].append(np.setdiff1d(a, b, assume_unique=True).view(np.int64).tolist() if p else [])
-        return out
+        return [[linked(codes(x), codes(y)) for x, y in zip(left, right, strict=True)]]
 
-    made = [field("linked", BOOL), field("added", T.ArrayType(LONG))]
-    return staged(map_columns(both, ["text_a", "text_b", "pivot"], made, run, ["a", "b", "pivot"]), "near-compared")
+    return staged(map_columns(both, ["text_a", "text_b"], [field("linked", BOOL)], run, ["a", "b", "pivot"]), "near-compared")
 
 
-def with_pivots(members: DataFrame, by: str) -> DataFrame:
-    """``members`` (key, node, ...) of buckets of two or more, plus size and pivot (least ``by``, then node)."""
-    info = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(by, "node")).alias("least")).filter("size > 1")
+def with_pivots(members: DataFrame) -> DataFrame:
+    """``members`` (key, node, n) of buckets of two or more, plus size and pivot (least n, then node)."""
+    info = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("n", "node")).alias("least")).filter("size > 1")
     return members.join(info.select("key", "size", F.col("least.node").alias("pivot")), "key")
 
 
 def meetings(members: DataFrame, labels: DataFrame) -> DataFrame:
     """(a, b, pivot) to compare.
 
-    ``members`` has key, node, size, pivot and apart; in small buckets all
-    pairs of different classes of which one is ``apart``, in large ones each that is apart with the pivot.
+    ``members`` has key, node, size and pivot; in small buckets all
+    pairs of different classes, in large ones each member with the pivot.
     """
     few = members.filter(f"size <= {SMALL_BUCKET}").join(labels, "node", "left").select(
-        "key", "node", "apart", F.coalesce("component", "node").alias("class"))
-    other = few.select("key", F.col("node").alias("b"), F.col("apart").alias("apart_b"), F.col("class").alias("class_b"))
-    small = few.join(other, "key").filter("node > b AND class <> class_b AND (apart OR apart_b)")
-    large = members.filter(f"size > {SMALL_BUCKET} AND node <> pivot AND apart")
+        "key", "node", F.coalesce("component", "node").alias("class"))
+    other = few.select("key", F.col("node").alias("b"), F.col("class").alias("class_b"))
+    small = few.join(other, "key").filter("node > b AND class <> class_b")
+    large = members.filter(f"size > {SMALL_BUCKET} AND node <> pivot")
     return (small.select(F.col("node").alias("a"), "b", F.lit(False).alias("pivot"))
             .unionByName(large.select(F.col("node").alias("a"), F.col("pivot").alias("b"), F.lit(True).alias("pivot")))
             .groupBy("a", "b").agg(F.max("pivot").alias("pivot")))
 
 
-def divided(held: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members (key, node, apart, size, pivot) of the new buckets of large ones that are still apart.
-
-    ``held``: members compared with their pivots. A new bucket has the
-    members of one pivot that share one shingle which the pivot lacks.
-    """
+def left_apart(held: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node) of the members of large buckets that are not one class; ``held``: members compared with their pivots."""
     own = labels.select(F.col("node").alias("a"), F.col("component").alias("class_a"))
     its = labels.select(F.col("node").alias("b"), F.col("component").alias("class_b"))
-    seen = held.join(own, "a", "left").join(its, "b", "left").withColumn(
-        "apart", ~F.col("linked") & (F.coalesce("class_a", "a") != F.coalesce("class_b", "b")))
-    torn = seen.filter("apart").select("b").distinct()
-    dealt = seen.join(torn, "b").select(F.col("a").alias("node"), "apart", "b", F.size("added").alias("more"), F.explode("added").alias("code"))
-    dealt = dealt.select(F.xxhash64("b", "code").alias("key"), "node", "more", "apart")
-    wanted = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.max("apart").alias("any")).filter("m > 1 AND any").select("key")
-    return with_pivots(dealt.join(wanted, "key"), "more")
+    seen = held.select("a", "b").join(own, "a", "left").join(its, "b", "left")
+    torn = seen.filter(F.coalesce("class_a", "a") != F.coalesce("class_b", "b")).select("b").distinct()
+    return held.select("a", "b").join(torn, "b").select(F.col("a").alias("node")).unionByName(
+        torn.select(F.col("b").alias("node"))).distinct()
+
+
+def slots_of(codes: np.ndarray) -> np.ndarray:
+    return (codes % np.uint64(SLOTS)).astype(np.int64)
+
+
+def rare_prefix(codes: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles among which every text of similarity 0.8 shares one, and their places in the order.
+
+    The order is by the count of a shingle's slot (``level``), then by code.
+    Shingles that no other text has (level 0) are left out.
+    """
+    order = np.lexsort((codes, level[slots_of(codes)]))[:len(codes) // 5 + 1]
+    at = np.flatnonzero(level[slots_of(codes[order])])
+    return codes[order[at]], at
+
+
+def signature(codes: np.ndarray) -> np.ndarray:
+    """64 * ``SIGNATURE`` bits, each the parity of the shingles that fall on it.
+
+    A shingle that only one of two texts has flips one bit, so the signatures
+    differ in no more bits than the texts differ in shingles.
+    """
+    spots = (mixed(codes) % np.uint64(64 * SIGNATURE)).astype(np.int64)
+    parity = np.bincount(spots, minlength=64 * SIGNATURE) & 1
+    return np.packbits(parity.astype(np.uint8)).view(np.int64)
+
+
+def prefixes(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(code, place, node, n) of the shingles in the prefixes of ``texts`` (node, text), and (node, signature); written."""
+    slots = map_columns(texts, ["text"], [field("slots", T.ArrayType(LONG))],
+                        lambda rows: [[slots_of(text_shingles(t)).tolist() for t in rows]], [])
+    counts = slots.select(F.explode("slots").alias("slot")).groupBy("slot").count().filter("count > 1").toPandas()
+    level = np.zeros(SLOTS, np.uint8)
+    level[counts["slot"].to_numpy(np.int64)] = np.round(4 * np.log2(counts["count"].to_numpy(float))).clip(1, 255)
+
+    def run(rows):
+        out = [[], [], [], []]
+        for text in rows:
+            codes = text_shingles(text)
+            kept, at = rare_prefix(codes, level)
+            made = len(codes), kept.view(np.int64).tolist(), at.tolist(), signature(codes).tolist()
+            for column, value in zip(out, made, strict=True):
+                column.append(value)
+        return out
+
+    longs = T.ArrayType(LONG)
+    made = staged(map_columns(texts, ["text"], [field("n", LONG), field("codes", longs), field("places", longs), field("signature", longs)],
+                              run, ["node"]), "near-prefixes")
+    dealt = made.select("node", "n", F.explode(F.arrays_zip("codes", "places")).alias("x"))
+    return dealt.select(F.col("x.codes").alias("code"), F.col("x.places").alias("place"), "node", "n"), made.select("node", "signature")
+
+
+def open_buckets(dealt: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """``dealt`` with class, size and the turn's pivot, in buckets that hold more than one class."""
+    named = dealt.join(labels, "node", "left").withColumn("class", F.coalesce("component", "node")).drop("component")
+    info = named.groupBy("code").agg(
+        F.count(F.lit(1)).alias("size"), F.min("class").alias("low"), F.max("class").alias("high"),
+        F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "class", "n")).alias("p"))
+    return named.join(info.filter("low < high").select("code", "size", "p"), "code")
+
+
+def all_pairs(opened: DataFrame, signatures: DataFrame) -> DataFrame:
+    """(a, b, pivot) of different classes that share a bucket and may be similar, each once.
+
+    With the first shingle that two prefixes share at places i and j, the
+    texts have at most min(n_a - i, n_b - j) in common, and need 4/9 of
+    n_a + n_b. So they differ in no more than 1/9 of n_a + n_b.
+    """
+    opened = opened.join(signatures, "node")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    cut = opened.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    cut = cut.withColumn("met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cut = cut.select("code", F.least("block", "met").alias("low"), F.greatest("block", "met").alias("high"),
+                     "node", "class", "n", "place", "block", *[F.col("signature")[i].alias(f"s{i}") for i in range(SIGNATURE)])
+    on = ["code", "low", "high"]
+    other = cut.select(*on, *[F.col(c).alias(c + "_b") for c in cut.columns if c not in on])
+    differ = "+".join(f"bit_count(s{i} ^ s{i}_b)" for i in range(SIGNATURE))
+    both = cut.join(other, on).filter(
+        "node > node_b AND class <> class_b AND (low = high OR block <> block_b)"
+        f" AND 9 * least(n - place, n_b - place_b) >= 4 * (n + n_b) AND 9 * ({differ}) <= n + n_b")
+    return both.select(F.col("node").alias("a"), F.col("node_b").alias("b"), F.lit(False).alias("pivot")).distinct()
+
+
+def joined_rest(apart: DataFrame, texts: DataFrame, links: DataFrame, labels: DataFrame) -> DataFrame:
+    """``labels`` (node, component) after all links among the nodes of ``apart``; ``links`` are those found before."""
+    texts = staged(texts.join(apart, "node", "left_semi"), "near-rest")
+    dealt, signatures = prefixes(texts)
+    for turn in range(TURNS):
+        large = open_buckets(dealt, labels, turn).filter(f"size > {SMALL_BUCKET} AND class <> p.class AND 5 * least(n, p.n) >= 4 * greatest(n, p.n)")
+        pairs = staged(large.select(F.col("node").alias("a"), F.col("p.node").alias("b"), F.lit(True).alias("pivot")).distinct(), "near-pairs")
+        if pairs.isEmpty():
+            break
+        more = compared(pairs, texts).filter("linked").select("a", "b")
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        labels = staged(components(links, "near-classes"), "near-classes")
+    pairs = staged(all_pairs(open_buckets(dealt, labels, TURNS), signatures), "near-pairs")
+    if pairs.isEmpty():
+        return labels
+    more = compared(pairs, texts).filter("linked").select("a", "b")
+    return labels if more.isEmpty() else staged(components(links.unionByName(more), "near-classes"), "near-classes")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -219,7 +313,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     firsts = rows.filter("digest IS NOT NULL").groupBy("digest").agg(
         F.min("id").alias("id"), F.min("n").alias("n"), F.min("keys").alias("keys"))
     firsts = staged(firsts.select("digest", node_of(F.col("id"), F.col("digest")).alias("node"), "n", "keys"), "near-firsts")
-    members = staged(with_pivots(firsts.select("node", "n", F.explode("keys").alias("key")), "n"), "near-members")
+    members = staged(with_pivots(firsts.select("node", "n", F.explode("keys").alias("key"))), "near-members")
     # texts that meet another one, fetched once
     wanted = members.select("node").distinct().withColumn("id", id_of(F.col("node")))
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
@@ -236,15 +330,13 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         above = parents.select(F.col("a").alias("b"), F.col("b").alias("higher"))
         parents = parents.join(above, "b", "left").select("a", F.coalesce("higher", "b").alias("b"))
     labels = parents.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    done = compared(staged(meetings(members.withColumn("apart", F.lit(True)), labels), "near-pairs"), texts)
+    done = compared(staged(meetings(members, labels), "near-pairs"), texts)
     links = links.unionByName(done.filter("linked").select("a", "b"))
     labels = staged(components(links, "near-classes"), "near-classes")
     # what is still apart in large buckets
-    parts = staged(divided(done.filter("pivot"), labels), "near-parts")
-    if not parts.isEmpty():
-        more = compared(staged(meetings(parts, labels), "near-pairs"), texts).filter("linked").select("a", "b")
-        if not more.isEmpty():
-            labels = staged(components(links.unionByName(more), "near-classes"), "near-classes")
+    apart = staged(left_apart(done.filter("pivot"), labels), "near-apart")
+    if not apart.isEmpty():
+        labels = joined_rest(apart, texts, links, labels)
     named = firsts.join(labels, "node", "left").select(
         "digest", id_of(F.coalesce("component", "node")).alias("component_id"))
     out = rows.select("id", "digest").join(named, "digest", "left").withColumn(

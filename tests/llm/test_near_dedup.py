@@ -110,3 +110,24 @@ def test_query_against_sql(spark, sf):
     con.sql(f"create view documents as select * from '/root/testdata/{sf}/documents.parquet'")
     want = sorted(con.sql(nd.OP6_SQL).fetchall())
     assert sorted(map(tuple, nd.op6_near_dedup(spark, f"/root/testdata/{sf}").collect())) == want
+
+
+def test_a_large_family_whose_pairs_miss_every_pivot(spark):
+    """Extracts of three quarters of a text, all shorter than it and unlike it: whole copies link with each other only."""
+    pick, parts = random.Random(6), [" ".join(words(14, 700 + i)) for i in range(24)]
+    whole = " ".join(parts)
+    texts = [" ".join(parts[k] for k in sorted(pick.sample(range(24), 18))) for _ in range(500)]
+    texts += [edited(whole, 2, i) for i in range(3)]
+    codes = [nd.text_shingles(t) for t in texts]
+    assert not any(nd.linked(a, b) for a in codes[500:] for b in codes[:500]) and nd.linked(codes[500], codes[501])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    got = {r.id: r.component_id for r in nd.classes(docs).collect()}
+    assert [got[i] for i in (500, 501, 502)] == [500, 500, 500]
+
+
+def test_signatures_never_differ_in_more_than_the_texts():
+    for edits in range(0, 40, 3):
+        base = " ".join(words(200, edits))
+        a, b = nd.text_shingles(base), nd.text_shingles(edited(base, edits, edits))
+        bits = np.bitwise_count((nd.signature(a) ^ nd.signature(b)).view(np.uint64)).sum()
+        assert bits <= len(np.setxor1d(a, b))
