@@ -1,12 +1,13 @@
 """Near-duplicates by Order MinHash, verified by banded alignment.
 
-Each text becomes its sequence of five-word shingles (A-Z lower-cased), each
-labelled with its occurrence number. A sketch takes the few labelled
+Each text becomes its sequence of five-word shingles (A-Z lower-cased), once
+distinct in order of first place, as links count them, and, where some repeat,
+once more with each labelled with its occurrence number. A sketch takes the few
 shingles with the least values under one of many hash functions, keeps them
 in text order and hashes that tuple: two texts meet if they share the
 minima *and* their order, so the chance depends on edit similarity. Short
 texts take fewer minima per sketch; the length ranges overlap so far that
-two texts of similarity 0.8 always have a kind of sketch in common.
+two texts of similarity 0.8 always have a kind of sketch of the distinct shingles in common.
 
 Two texts are linked if their sets of shingles have a Jaccard similarity of
 ``SIMILARITY`` or more and the banded alignment places at least ``IN_ORDER``
@@ -71,8 +72,18 @@ def _multipliers(kind: int, sketches: int) -> np.ndarray:
 
 
 def sketch_keys(text: str | None) -> list[int]:
-    """Bucket keys of a text: one per sketch of each kind that its length calls for."""
-    codes = occurrence_labelled(shingle_codes(word_codes(text), SHINGLE))
+    """Bucket keys of a text: of its distinct shingles and, if some repeat, of the labelled ones."""
+    codes = shingle_codes(word_codes(text), SHINGLE)
+    if not len(codes):
+        return []
+    labelled = occurrence_labelled(codes)
+    once = occurrence_labelled(first_occurrences(codes))  # each is a first occurrence
+    keys = _keys(once)
+    return keys if len(once) == len(labelled) else list(dict.fromkeys(keys + _keys(labelled)))
+
+
+def _keys(codes: np.ndarray) -> list[int]:
+    """One key per sketch of each kind that the number of ``codes`` calls for."""
     n, keys = len(codes), []
     for kind, (low, high, minima, sketches) in enumerate(KINDS):
         if n < low or high is not None and n > high:

@@ -131,3 +131,26 @@ def test_signatures_never_differ_in_more_than_the_texts():
         a, b = nd.text_shingles(base), nd.text_shingles(edited(base, edits, edits))
         bits = np.bitwise_count((nd.signature(a) ^ nd.signature(b)).view(np.uint64)).sum()
         assert bits <= len(np.setxor1d(a, b))
+
+
+def test_texts_that_repeat_a_passage_meet():
+    for n, repeats in ((12, 4), (30, 3), (60, 2), (60, 8), (300, 3), (300, 12)):
+        for seed in range(20):
+            passage = words(n, seed)
+            once, often = " ".join(passage), " ".join(passage * repeats)
+            if jaccard(once, often) >= 0.8:
+                assert nd.linked(nd.text_shingles(once), nd.text_shingles(often))
+                assert set(nd.sketch_keys(once)) & set(nd.sketch_keys(often)), (n, repeats, seed)
+
+
+def test_classes_of_repeated_passages_against_brute_force(spark):
+    texts = []
+    for i in range(12):
+        passage, tail = words(40 + 20 * i, 2000 + i), words(5, 3000 + i)
+        texts += [" ".join(passage * k + tail) for k in (1, 3, 7)] + [" ".join(words(40, 4000 + i))]
+    codes = [nd.text_shingles(t) for t in texts]
+    label = list(range(len(texts)))
+    for _ in texts:  # the least label around, until nothing changes
+        label = [min(label[j] for j in range(len(texts)) if i == j or nd.linked(codes[i], codes[j])) for i in range(len(texts))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.id: r.component_id for r in nd.classes(docs).collect()} == dict(enumerate(label))
