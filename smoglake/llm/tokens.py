@@ -5,7 +5,7 @@ numbers, punctuation, blanks) and encodes each piece by itself. Here the
 cutting is done by one compiled expression and every distinct piece goes
 through the tokenizer's model once per worker. That gives the tokenizer's own
 ids; texts with characters outside the range that the expression is built for
-go to the tokenizer whole.
+go to the tokenizer whole, and so do texts that hold one of its added tokens.
 """
 
 from __future__ import annotations
@@ -54,9 +54,14 @@ def _tokenizer(path: str):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are the parallelism
     from tokenizers import Tokenizer
 
-    made = Tokenizer.from_file(path)
-    made.encode_special_tokens = True  # their strings in a text are ordinary text
-    return made
+    return Tokenizer.from_file(path)
+
+
+@functools.lru_cache(maxsize=2)
+def _added(path: str) -> re.Pattern | None:
+    """Finds the tokenizer's added tokens, which it takes out of a text before it cuts the rest."""
+    names = [x.content for x in _tokenizer(path).get_added_tokens_decoder().values()]
+    return re.compile("|".join(map(re.escape, names))) if names else None
 
 
 def _byte_letters() -> str:
@@ -90,7 +95,8 @@ class Encoder:
 
     def _group(self, texts: list[str]) -> list[bytes]:
         pattern, uncovered = _patterns()
-        pieces = [None if not x.isascii() and uncovered.search(x) else pattern.findall(x) for x in texts]
+        added = _added(self.path)
+        pieces = [None if not x.isascii() and uncovered.search(x) or added and added.search(x) else pattern.findall(x) for x in texts]
         missing = set().union(*[p for p in pieces if p is not None]).difference(self.known)
         if len(self.known) + len(missing) > CACHE_PIECES:
             self.known.clear()

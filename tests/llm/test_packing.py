@@ -94,3 +94,13 @@ def test_awkward_rows(awkward, awkward_rows, no_docs, clashing):
     assert packing.pack(no_docs).count() == 0
     check(packing.pack(awkward).collect(), [(r[0], r[1]) for r in awkward_rows])
     assert packing.pack(clashing).columns == packing.PIECES
+
+
+def test_added_tokens_get_their_own_ids():
+    from tokenizers import Tokenizer
+    path = packing.tokenizer_path()
+    plain = Tokenizer.from_file(path)
+    for text in ("a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n\ny é", "<|endoftext| >", "漢<|endoftext|>字"):
+        got = np.frombuffer(Encoder(path).encode([text])[0], "<u4").tolist()
+        assert got == plain.encode(text, add_special_tokens=False).ids
+    assert 50256 in plain.encode("a <|endoftext|> b", add_special_tokens=False).ids
