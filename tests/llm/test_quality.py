@@ -71,3 +71,21 @@ def test_awkward_rows(awkward, no_docs, clashing):
     kept = quality.keep_good(clashing)
     assert kept.columns == clashing.columns
     assert {r.doc_id for r in kept.collect()} <= {1, 2, 7, 8}
+
+
+def test_planted_repetition_is_rejected_beside_clean_documents(spark):
+    from llm_texts import words
+
+    def lines(count, seed, size=10):
+        made = words(count * size, seed)
+        return [" ".join(made[i * size:(i + 1) * size]) for i in range(count)]
+
+    clean = ["\n".join(lines(20, seed)) for seed in range(300)]
+    short = [x + "\n" + "\n".join(lines(1, 900 + i, 60)) + "\n" + x for i, x in enumerate(lines(5, 5, 4))]  # a third of the lines
+    planted = ["\n".join(lines(12, 1000) + lines(1, 1001) * 8), "\n".join(lines(10, 1002) + lines(1, 1003, 8) * 10),
+               "\n".join(f"menu\n{x}\nmenu" for x in lines(10, 1004))]
+    shares = [(c[3] / c[5], c[4] / c[0]) for c in map(quality.text_counts, planted)]
+    assert all(0.3 <= dup <= 0.65 and rep <= 0.5 for dup, rep in shares)
+    texts = clean + short + planted
+    docs = spark.createDataFrame([(i, t, "en", "a") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    assert {r.doc_id for r in quality.keep_good(docs).collect()} == set(range(len(clean) + len(short)))
