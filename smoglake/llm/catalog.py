@@ -9,6 +9,7 @@ from .licenses import op8_license_scan
 from .mixing import OP3_SQL, op3_source_mix
 from .near_dedup import OP6_SQL, op6_near_dedup
 from .packing import op4_packing
+from .periodicity import OP11_SQL, op11_periodic_runs
 from .quality import op7_quality_rules
 from .secrets import op2_secret_scan
 from .toxicity import op1_toxicity
@@ -24,6 +25,8 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_language_id": op9_language_id,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
-SQL: dict[str, str] = {"op3_source_mix": OP3_SQL, "op6_near_dedup": OP6_SQL, "op10_embedding_dedup": OP10_SQL}
+SQL: dict[str, str] = {"op3_source_mix": OP3_SQL, "op6_near_dedup": OP6_SQL, "op10_embedding_dedup": OP10_SQL,
+                       "op11_periodic_runs": OP11_SQL}
