@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .alignment import op13_token_alignment
 from .class_lm import op5_class_lm
 from .embedding_dedup import OP10_SQL, op10_embedding_dedup
 from .language import op9_language_id
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_embedding_dedup": op10_embedding_dedup,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 SQL: dict[str, str] = {"op3_source_mix": OP3_SQL, "op6_near_dedup": OP6_SQL, "op10_embedding_dedup": OP10_SQL,
