@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .alignment import op13_token_alignment
 from .class_lm import op5_class_lm
+from .compression import op12_quality_classifier
 from .embedding_dedup import OP10_SQL, op10_embedding_dedup
 from .language import op9_language_id
 from .licenses import op8_license_scan
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_embedding_dedup": op10_embedding_dedup,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_quality_classifier": op12_quality_classifier,
     "op13_token_alignment": op13_token_alignment,
 }
 
