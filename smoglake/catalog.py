@@ -173,6 +173,32 @@ def nested_documents(spark, sf_dir):
     return documents.flatten(documents.read_documents(spark, path))
 
 
+def documents_typed_roundtrip(spark, sf_dir):
+    """Documents keep each type's values: instants and wall-clock times to the microsecond, dates,
+    decimals, doubles that are not numbers, bytes, lists and nested fields, nulls."""
+    e, path = F.col, scratch_path(spark, "documents")
+    wall = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), (e("event_id") * 1.000001).cast("decimal(18,6)"))
+    rows = load_driver_table(spark, sf_dir, "events").select(
+        e("event_id"),
+        F.when(e("event_id") % 9 != 0, F.timestamp_micros(e("event_id") * 1_000_003 + 1)).alias("instant"),
+        F.struct(F.when(e("event_id") % 7 != 0, wall).alias("wall"),
+                 F.date_add(F.lit("2000-02-28").cast("date"), (e("event_id") % 400).cast("int")).alias("day"),
+                 (e("event_id") / 1000).cast("decimal(20,3)").alias("exact")).alias("times"),
+        F.when(e("event_id") % 11 == 0, F.lit("NaN").cast("double")).when(e("event_id") % 13 == 0, F.lit("-Infinity").cast("double"))
+        .otherwise(e("value") / 3).alias("measure"),
+        F.when(e("event_id") % 5 != 0, F.array(e("user_id"), F.lit(None).cast("bigint"))).alias("users"),
+        F.concat(F.lit('a"\\\n'), e("event_id").cast("string")).cast("binary").alias("payload"))
+    documents.write_documents(rows, path)
+    back = documents.read_documents(spark, path)
+    return back.select("event_id", F.unix_micros("instant").alias("instant_micros"), e("times.wall").alias("wall"),
+                       e("times.day").alias("day"), e("times.exact").cast("double").alias("exact"),
+                       e("measure").cast("string").isin("NaN", "-Infinity").alias("not_a_number"),
+                       F.when(~e("measure").cast("string").isin("NaN", "-Infinity"), e("measure")).alias("measure"),
+                       F.size("users").alias("n_users"), F.get("users", F.lit(0)).alias("first_user"),
+                       F.hex("payload").alias("payload"))
+
+
 def _docs(spark, sf_dir):
     return documents.nest(_consumed(spark, sf_dir))
 
@@ -477,6 +503,7 @@ QUERIES: dict[str, Query] = {
     "null_audit": null_audit_query,
     "overwrite_idempotent": overwrite_idempotent,
     "nested_documents": nested_documents,
+    "documents_typed_roundtrip": documents_typed_roundtrip,
     "daily_profile": daily_profile,
     "hourly_top5": hourly_top5,
     "hourly_top5_long": hourly_top5_long,

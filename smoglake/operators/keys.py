@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.json_codec import TIME_FORMATS
+
 
 def _tagged(c: Column, kind: T.DataType) -> Column:
     """Text that differs whenever two values of the column differ, nulls included."""
@@ -19,8 +21,10 @@ def _tagged(c: Column, kind: T.DataType) -> Column:
         text = F.unix_micros(c).cast("string")
     elif isinstance(kind, T.BinaryType):
         text = F.hex(c)
+    elif isinstance(kind, (T.DoubleType, T.FloatType)):
+        text = (c + F.lit(0.0)).cast("string")  # -0.0 and 0.0 are equal
     elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
-        text = F.to_json(F.struct(c))
+        text = F.to_json(F.struct(c), TIME_FORMATS)
     else:
         text = c.cast("string")
     return F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("n"))

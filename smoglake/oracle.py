@@ -189,6 +189,14 @@ SQL: dict[str, str] = {
                     "non_methane_hydrocarbon")),
     "overwrite_idempotent": _with(*_PIPE) + " " + _PROCESSED_OUT,
     "nested_documents": _with(*_PIPE) + " " + _PROCESSED_OUT,
+    "documents_typed_roundtrip": """SELECT event_id,
+        CASE WHEN event_id % 9 <> 0 THEN event_id * 1000003 + 1 END AS instant_micros,
+        CASE WHEN event_id % 7 <> 0 THEN TIMESTAMP '2024-01-01' + to_microseconds(event_id * 1000001) END AS wall,
+        CAST(DATE '2000-02-28' + CAST(event_id % 400 AS INTEGER) AS DATE) AS day, event_id / 1000 AS exact,
+        event_id % 11 = 0 OR event_id % 13 = 0 AS not_a_number,
+        CASE WHEN event_id % 11 <> 0 AND event_id % 13 <> 0 THEN value / 3 END AS measure,
+        CASE WHEN event_id % 5 <> 0 THEN 2 END AS n_users, CASE WHEN event_id % 5 <> 0 THEN user_id END AS first_user,
+        upper(hex('a"' || chr(92) || chr(10) || event_id)) AS payload FROM events""",
     "daily_profile": _with(*_PIPE) + f"""
         , a AS (SELECT day_of_week AS "Day", AVG(carbon_monoxide) co, AVG(benzene) bz,
                        AVG(nitrogen_dioxide) no2 FROM processed GROUP BY 1)

@@ -73,7 +73,7 @@ def test_documents_roundtrip(spark, tmp_dir):
     back = documents.flatten(documents.read_documents(spark, tmp_dir))
     assert sorted(back.collect(), key=str) == sorted(p.collect(), key=str)
     import glob
-    text = "".join(open(f).read() for f in glob.glob(tmp_dir + "/*.json"))
+    text = "".join(open(f).read() for f in glob.glob(tmp_dir + "/*/*.json"))
     assert '"time_features":{}' in text  # all-null struct becomes {} (null fields omitted)
 
 
