@@ -52,6 +52,7 @@ def _parser() -> argparse.ArgumentParser:
     s = sub.add_parser("load-graph", help="processed -> graph tables")
     s.add_argument("--processed", required=True)
     s.add_argument("--graph", required=True)
+    s.add_argument("--replace", action="store_true", help="start over instead of merging into earlier loads")
 
     s = sub.add_parser("graph-queries", help="graph -> normalised profiles")
     s.add_argument("--graph", required=True)
@@ -92,7 +93,7 @@ def main(argv: list[str] | None = None) -> None:
             print(f"--- {name} ---")
             preview(df, df.count())  # one row per weekday or hour
     elif a.stage == "load-graph":
-        jobs.load_graph(spark, a.processed, a.graph)
+        jobs.load_graph(spark, a.processed, a.graph, replace=a.replace)
     elif a.stage == "graph-queries":
         for name, df in jobs.graph_queries(spark, a.graph, a.out).items():
             print(f"--- {name} ---")

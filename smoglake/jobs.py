@@ -78,9 +78,9 @@ def document_queries(spark: SparkSession, documents_path: str, out: str,
 
 
 def load_graph(spark: SparkSession, processed_path: str, graph_path: str,
-               cfg: SensorConfig = AIR_QUALITY) -> graph.Graph:
-    """Processed -> every node, edge and reading table."""
-    return graph.store_graph(spark.read.parquet(processed_path), graph_path, cfg, export_all=True)
+               cfg: SensorConfig = AIR_QUALITY, replace: bool = False) -> graph.Graph:
+    """Processed -> every node, edge and reading table, merged into what earlier loads stored there."""
+    return graph.load_graph(spark.read.parquet(processed_path), graph_path, cfg, replace=replace)
 
 
 def graph_queries(spark: SparkSession, graph_path: str, out: str) -> dict[str, DataFrame]:

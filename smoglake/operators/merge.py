@@ -24,6 +24,16 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_col: str | None = No
     return out.drop(order_col) if order_col and order_col in out.columns else out
 
 
+def new_on_create(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
+                  order_col: str | None = None) -> DataFrame:
+    """What :func:`merge_on_create` adds: the first incoming row per whole key that ``existing`` lacks."""
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    fresh = first_per_key(incoming.filter(whole), keys, order_col)
+    return fresh.join(existing.select(*keys), list(keys), "left_anti")
+
+
 def merge_on_create(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
                     order_col: str | None = None) -> DataFrame:
     """Insert keys that are absent; an existing key keeps its properties.
@@ -34,13 +44,9 @@ def merge_on_create(existing: DataFrame, incoming: DataFrame, keys: Sequence[str
     null in its key is never inserted (a null key matches nothing, so it would
     come in again with every load); :func:`null_keys` counts such rows.
     """
-    whole = F.lit(True)
-    for k in keys:
-        whole = whole & F.col(k).isNotNull()
-    fresh = first_per_key(incoming.filter(whole), keys, order_col)
+    new = new_on_create(existing, incoming, keys, order_col)
     if order_col and order_col in existing.columns:
         existing = existing.drop(order_col)
-    new = fresh.join(existing.select(*keys), list(keys), "left_anti")
     return existing.unionByName(new, allowMissingColumns=True)
 
 

@@ -306,3 +306,14 @@ SQL: dict[str, str] = {
 }
 
 SQL["graph_two_loads"] = SQL["graph_time_nodes"]
+
+
+def _body(name: str) -> str:
+    """The query of a registered SQL as a subquery."""
+    return f"({SQL[name]})"
+
+
+SQL["graph_three_loads"] = f"""
+    SELECT label, key, name, CAST(0 AS BIGINT) AS n FROM {_body("graph_time_nodes")} UNION ALL
+    SELECT type, src, dst, 0 FROM {_body("graph_time_edges")} UNION ALL
+    SELECT 'Reading', pollutant, CAST("month" AS VARCHAR), COUNT(*) FROM {_body("graph_readings")} GROUP BY pollutant, "month" """

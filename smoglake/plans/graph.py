@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 from ..config import AIR_QUALITY, SensorConfig
 from ..functions.labels import hour_label, literal_table, month_name, weekday_name, weekday_order
 from ..operators.keys import with_row_ids
-from ..operators.merge import merge_on_create
+from ..operators.merge import first_per_key, merge_on_create, new_on_create
 from ..operators.quality import key_check
 from ..operators.reshape import collect_unwind_normalize, min_max_normalize, to_long
+from ..sources import versions
 from ..sources.tables import write_table
 
 HOUR_KEY = ["year", "month", "day", "hour"]
@@ -154,7 +155,7 @@ def write_graph(g: Graph, root: str) -> None:
 
 
 def store_graph(processed: DataFrame, root: str, cfg: SensorConfig = AIR_QUALITY,
-                id_col: str | None = "record_id", export_all: bool = False) -> Graph:
+                id_col: str | None = "record_id", export_all: bool = False, with_readings: bool = True) -> Graph:
     """C7 for large inputs: two passes over ``processed``, everything else small.
 
     1. the readings fact (the only table that grows with the data);
@@ -164,9 +165,13 @@ def store_graph(processed: DataFrame, root: str, cfg: SensorConfig = AIR_QUALITY
     ``export_all`` they are written as tables too (full graph sink).
     ``processed`` should itself be a stored table (the reference reads the
     processed parquet), so neither pass recomputes the cleaning shuffle.
+    A caller that needs only the calendar's nodes and edges says
+    ``with_readings=False``: the fact is then a view, not a table.
     """
     spark = processed.sparkSession
-    reads = write_table(readings(processed, cfg, id_col), f"{root}/readings")
+    reads = readings(processed, cfg, id_col)
+    if with_readings:
+        reads = write_table(reads, f"{root}/readings")
     cal = write_table(calendar(processed, cfg), f"{root}/calendar")
     nodes = time_nodes(cal, cfg.legacy_weekday_labels)
     nodes["PollutionType"] = pollution_types(spark, reads, cfg)
@@ -181,7 +186,10 @@ def store_graph(processed: DataFrame, root: str, cfg: SensorConfig = AIR_QUALITY
 
 
 def read_graph(spark: SparkSession, root: str) -> Graph:
-    """The stored graph tables."""
+    """The stored graph tables; of a graph loaded by :func:`load_graph`, those of its last version."""
+    version = versions.latest(spark, root)
+    if version is not None:
+        return _of_version(spark, version)
     return Graph(
         nodes={label: spark.read.parquet(f"{root}/nodes/{label}") for label in NODE_KEYS},
         edges={etype: spark.read.parquet(f"{root}/edges/{etype}") for etype in EDGE_TYPES},
@@ -189,6 +197,69 @@ def read_graph(spark: SparkSession, root: str) -> Graph:
     )
 
 
+def _of_version(spark: SparkSession, version: versions.Version) -> Graph:
+    return Graph(
+        nodes={label: version.read(spark, f"nodes/{label}") for label in NODE_KEYS},
+        edges={etype: version.read(spark, f"edges/{etype}") for etype in EDGE_TYPES},
+        readings=version.read(spark, "readings"),
+    )
+
+
+def load_graph(processed: DataFrame, root: str, cfg: SensorConfig = AIR_QUALITY, id_col: str | None = "record_id",
+               replace: bool = False) -> Graph:
+    """C7 + K8 + J6: add a load to a stored graph; all its tables become visible by one commit.
+
+    Only what is new is written: nodes and edges whose key the graph lacks (existing ones keep their properties), and
+    the readings of rows whose id it lacks. The new version names those folders
+    beside the earlier ones (:mod:`smoglake.sources.versions`), so a load costs its own
+    rows and a scan of the stored row ids, a repeated load adds nothing, and a load that
+    breaks off leaves the graph as it was. ``replace`` starts over: the new version has this load alone.
+
+    Rows are told apart before the unpivot (one 32-byte id per row, found under one
+    measure of the stored fact), not per reading. Every reading's hour is a node of the
+    same load or an earlier one. ``processed`` should be a stored table.
+    """
+    spark = processed.sparkSession
+    before = versions.latest(spark, root)
+    stored = _of_version(spark, before) if before is not None and not replace else None
+    folder = versions.fresh_folder("load")
+    rows = timed(processed, cfg)
+    if not id_col or id_col not in rows.columns:
+        id_col = "__row_id"
+        keep = [*cfg.sensor_columns, cfg.event_time, "year", "month", "day", "hour_of_day", "day_of_week"]
+        rows = with_row_ids(rows.select(*keep), id_col)
+    rows = rows.dropDuplicates([id_col])
+    if stored is not None:
+        known = stored.readings.filter(F.col("pollutant") == cfg.measures[0].label).select(F.col("row_id").alias(id_col))
+        rows = rows.join(known, id_col, "left_anti")
+    reads = write_table(readings(rows, cfg, id_col), f"{root}/{folder}/readings")
+    cal = write_table(calendar(processed, cfg), f"{root}/{folder}/calendar")
+    nodes = time_nodes(cal, cfg.legacy_weekday_labels)
+    nodes["PollutionType"] = pollution_types(spark, reads, cfg)
+    made = {"readings": reads}
+    for kind, parts, keys in (("nodes", nodes, NODE_KEYS), ("edges", time_edges(cal), None)):
+        for name, df in parts.items():
+            old = stored and (stored.nodes if kind == "nodes" else stored.edges)[name]
+            on = keys[name] if keys else df.columns
+            fresh = new_on_create(old, df, on) if old is not None else first_per_key(df.dropna(subset=on), on)
+            made[f"{kind}/{name}"] = write_table(fresh, f"{root}/{folder}/{kind}/{name}")
+    tables = {name: [*(before.tables[name] if stored else []), f"{folder}/{name}"] for name in made}
+    loads = 1 + (before.about.get("loads", 0) if stored else 0)
+    return _of_version(spark, versions.publish(spark, root, tables, {"loads": loads}, after=before))
+
+
+def compact_graph(spark: SparkSession, root: str) -> Graph:
+    """Write each table of the last version as one folder and publish them together (many small loads make many files)."""
+    before = versions.latest(spark, root)
+    if before is None:
+        raise FileNotFoundError(f"no graph was loaded to {root}")
+    folder = versions.fresh_folder("load")
+    for name in before.tables:
+        write_table(before.read(spark, name), f"{root}/{folder}/{name}")
+    tables = {name: [f"{folder}/{name}"] for name in before.tables}
+    return _of_version(spark, versions.publish(spark, root, tables, before.about, after=before))
+
+
 def node_table(g: Graph) -> DataFrame:
     """Every time node as (label, key, name)."""
     def key(cols):

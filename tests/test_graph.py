@@ -104,3 +104,60 @@ def test_edge_views_match_the_readings_fact(spark, tmp_dir):
     assert hr.count() == ro.count() == n
     assert hr.join(ro, ["row_id", "pollutant"]).count() == n  # every reading has one hour and one type
     assert {r.name for r in ro.select("name").distinct().collect()} == {"CO", "NMHC", "Benzene", "NOx", "NO2"}
+
+
+def _loaded(spark, root):
+    g = graph.read_graph(spark, root)
+    return _rows(graph.node_table(g)), _rows(graph.edge_table(g)), _rows(g.readings)
+
+
+def test_loads_in_any_parts_and_repeated_equal_one(spark, tmp_dir):
+    p = catalog.processed(spark, SF, "record_id")
+    p.write.parquet(f"{tmp_dir}/p")
+    p = spark.read.parquet(f"{tmp_dir}/p")
+    graph.load_graph(p, f"{tmp_dir}/one")
+    for part in (p.filter("day < 10"), p.filter("day >= 5"), p, p.filter("event_timestamp is null"), p.limit(0)):
+        graph.load_graph(part, f"{tmp_dir}/many")
+    assert _loaded(spark, f"{tmp_dir}/many") == _loaded(spark, f"{tmp_dir}/one")
+    before = _loaded(spark, f"{tmp_dir}/many")
+    graph.compact_graph(spark, f"{tmp_dir}/many")
+    assert _loaded(spark, f"{tmp_dir}/many") == before
+    graph.load_graph(p.filter("day < 10"), f"{tmp_dir}/many", replace=True)
+    assert graph.read_graph(spark, f"{tmp_dir}/many").nodes["Day"].filter("day >= 10").count() == 0
+
+
+def test_load_that_breaks_off_changes_nothing(spark, tmp_dir, monkeypatch):
+    import pytest
+
+    p = catalog.processed(spark, SF, "record_id")
+    graph.load_graph(p.filter("day < 10"), tmp_dir)
+    before = _loaded(spark, tmp_dir)
+    real = graph.write_table
+    for stop in (3, 9):
+        calls = []
+
+        def broken(df, path, *rest, stop=stop, calls=calls):
+            calls.append(path)
+            if len(calls) == stop:
+                raise OSError("lost")
+            return real(df, path, *rest)
+
+        monkeypatch.setattr(graph, "write_table", broken)
+        with pytest.raises(OSError):
+            graph.load_graph(p, tmp_dir)
+        assert _loaded(spark, tmp_dir) == before
+    monkeypatch.setattr(graph, "write_table", real)
+    graph.load_graph(p, tmp_dir)
+    graph.load_graph(p, f"{tmp_dir}/whole")
+    assert _loaded(spark, tmp_dir) == _loaded(spark, f"{tmp_dir}/whole")
+
+
+def test_load_keeps_existing_properties_and_ids_of_copies(spark, tmp_dir):
+    from smoglake.config import SensorConfig
+
+    p = catalog.processed(spark, SF).filter("day = 3")  # without row ids: copies are numbered
+    graph.load_graph(p, tmp_dir, id_col=None)
+    g = graph.load_graph(p, tmp_dir, SensorConfig(legacy_weekday_labels=True), id_col=None)
+    assert g.readings.count() == 5 * p.count()
+    names = {r.code: r.name for r in g.nodes["DayOfWeek"].collect()}
+    assert names == {r.code: r.name for r in graph.time_nodes(graph.calendar(p))["DayOfWeek"].collect()}
