@@ -101,6 +101,22 @@ def csv_normalize(spark, sf_dir):
     return read_sensor_csv(spark, path)
 
 
+def csv_mixed_headers(spark, sf_dir):
+    """Files whose headers differ in order, lack a column or bring one, some with the header repeated
+    inside: every column is found by its name in each file."""
+    root, rows = scratch_path(spark, "csv"), raw_sensor(load_driver_table(spark, sf_dir, "events"), keep_event_id=True)
+    names = dict(zip(AIR_QUALITY.raw_columns, AIR_CSV_HEADER, strict=True))
+    layouts = (AIR_QUALITY.raw_columns, AIR_QUALITY.raw_columns[::-1],
+               [c for c in AIR_QUALITY.raw_columns if c != "NO2GT"], ["event_id", *AIR_QUALITY.raw_columns])
+    for i, columns in enumerate(layouts):
+        header = [names.get(c, "event.id") for c in columns]
+        part = rows.filter(F.col("event_id") % len(layouts) == i).select(*columns)
+        write_sensor_csv(part, f"{root}/part={i}", header, keep_as_string=("Date", "Time", "event_id"), blank_headers=i % 3)
+    again = spark.createDataFrame([(";".join(AIR_CSV_HEADER),)] * 3, "value string")
+    again.coalesce(1).write.text(f"{root}/part=9")  # a file of nothing but header lines
+    return read_sensor_csv(spark, [f"{root}/part={i}" for i in (0, 1, 2, 3, 9)], columns=list(AIR_QUALITY.raw_columns))
+
+
 def json_roundtrip(spark, sf_dir):
     """Encode every row as a JSON payload and decode it again."""
     return decode_json(encode_json(raw(spark, sf_dir)), raw_schema())
@@ -135,6 +151,18 @@ def impute_mean(spark, sf_dir):
     return C.impute_mean(_nulled(spark, sf_dir), AIR_QUALITY.sensor_columns, AIR_QUALITY.scale)
 
 
+def mean_any_doubles(spark, sf_dir):
+    """A2 without a declared scale: means of readings of very different sizes (1e12 beside 1e-8), of either sign,
+    and of tiny ones alone. No rounding: the sums are exact, so the order of the rows does not matter."""
+    cents = F.round(F.col("value") * 100).cast("double")
+    large, small = cents * 2.0 ** 40, cents * 2.0 ** -27
+    odd, signed = F.col("event_id") % 2 == 1, F.when(F.col("event_id") % 4 < 2, 1.0).otherwise(-1.0)
+    rows = load_driver_table(spark, sf_dir, "events").select(
+        F.when(odd, small).otherwise(large).alias("mixed"), (F.when(odd, small).otherwise(large) * signed).alias("signed"),
+        F.when(odd, small).alias("tiny"), F.lit(None).cast("double").alias("missing"))
+    return C.column_means(rows, rows.columns, prefix="mean_")
+
+
 def parse_timestamp(spark, sf_dir):
     return C.parse_event_time(_nulled(spark, sf_dir))
 
@@ -507,12 +535,14 @@ def _registered(fn: Query) -> Query:
 
 QUERIES: dict[str, Query] = {
     "csv_normalize": csv_normalize,
+    "csv_mixed_headers": csv_mixed_headers,
     "json_roundtrip": json_roundtrip,
     "json_malformed": json_malformed,
     "dedup_full_row": dedup_full_row,
     "project_rename": project_rename,
     "sentinel_to_null": sentinel_to_null,
     "impute_mean": impute_mean,
+    "mean_any_doubles": mean_any_doubles,
     "parse_timestamp": parse_timestamp,
     "time_features": time_features,
     "processed": processed_table,

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import AIR_QUALITY, SensorConfig  # noqa: F401  (re-exported)
-from ..functions.numbers import exact_mean
+from ..functions.numbers import binned_sums, exact_mean, means
 from ..sources.tables import write_table
 from .keys import content_id
 
@@ -57,17 +57,19 @@ def nan_to_null(c: Column) -> Column:
 
 def column_means(df: DataFrame, columns: list[str], prefix: str = "__mean_",
                  scale: int | None = None) -> DataFrame:
-    """A2: one single-row aggregate of every column's mean.
+    """A2: one row with every column's mean.
 
-    NaN counts as missing (decision Q9); an all-missing column gets 0.0. With
-    ``scale`` the sums are exact decimals, so the mean does not depend on the
-    order in which the cluster adds.
+    NaN counts as missing (decision Q9); an all-missing column gets 0.0. The
+    mean does not depend on the order in which the cluster adds: with ``scale`` the sums are
+    exact decimals, without it the exact binned sums of :mod:`smoglake.functions.numbers`.
     """
-    def mean(c):
-        return F.avg(c) if scale is None else exact_mean(c, scale)
-
-    return df.agg(*[F.coalesce(mean(nan_to_null(F.col(c))), F.lit(0.0)).alias(prefix + c)
-                    for c in columns])
+    if scale is None:
+        named = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value")) for c in columns])
+        long = df.select(F.explode(named).alias("x")).select("x.*")
+        by_column = means(binned_sums(long, ["column"], "value"), ["column"], "mean")
+        return by_column.agg(*[F.coalesce(F.max(F.when(F.col("column") == c, F.col("mean"))), F.lit(0.0)).alias(prefix + c)
+                               for c in columns])
+    return df.agg(*[F.coalesce(exact_mean(nan_to_null(F.col(c)), scale), F.lit(0.0)).alias(prefix + c) for c in columns])
 
 
 def impute_mean(df: DataFrame, columns: list[str], scale: int | None = None) -> DataFrame:

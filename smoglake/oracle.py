@@ -165,6 +165,8 @@ _EXPLICIT_RAW_COLS = ('"Date", "Time", "COGT", "PT08S1CO", "NMHCGT", "C6H6GT", "
 
 SQL: dict[str, str] = {
     "csv_normalize": _with(_RAW) + " " + _RAW_OUT,
+    "csv_mixed_headers": _with(_RAW) + """ SELECT * EXCLUDE (event_id)
+        REPLACE (CASE WHEN event_id % 4 = 2 THEN NULL ELSE "NO2GT" END AS "NO2GT") FROM raw_id""",
     "json_roundtrip": _with(_RAW) + " " + _RAW_OUT,
     "json_malformed": _with(_RAW) + " SELECT " + ", ".join(
         f'CASE WHEN event_id%17=0 OR event_id%19=0 THEN NULL ELSE {c} END AS {c}'
@@ -173,6 +175,14 @@ SQL: dict[str, str] = {
     "project_rename": _with(_RAW, _RENAMED) + " SELECT * FROM r",
     "sentinel_to_null": _with(_RAW, _RENAMED) + " SELECT * FROM n",
     "impute_mean": _with(_RAW, _RENAMED, _IMPUTED) + f" SELECT date, time, {_R6} FROM i",
+    "mean_any_doubles": """WITH e AS (SELECT event_id, CAST(ROUND(value * 100) AS BIGINT) AS c,
+               CASE WHEN event_id % 4 < 2 THEN 1 ELSE -1 END AS sign FROM events),
+        s AS (SELECT CAST(SUM(c) FILTER (event_id % 2 = 0) AS DOUBLE) AS l, CAST(SUM(c) FILTER (event_id % 2 = 1) AS DOUBLE) AS t,
+                     CAST(SUM(sign * c) FILTER (event_id % 2 = 0) AS DOUBLE) AS sl,
+                     CAST(SUM(sign * c) FILTER (event_id % 2 = 1) AS DOUBLE) AS st,
+                     COUNT(*) AS n, COUNT(*) FILTER (event_id % 2 = 1) AS odd FROM e)
+        SELECT (l * POW(2, 40) + t * POW(2, -27)) / n AS mean_mixed, (sl * POW(2, 40) + st * POW(2, -27)) / n AS mean_signed,
+               t * POW(2, -27) / odd AS mean_tiny, CAST(0 AS DOUBLE) AS mean_missing FROM s""",
     "parse_timestamp": _with(_RAW, _RENAMED) + """ SELECT carbon_monoxide, non_methane_hydrocarbon,
         benzene, nitrogen_oxides, nitrogen_dioxide,
         TRY_STRPTIME(concat_ws(' ', date, time), '%d/%m/%Y %H.%M.%S') AS event_timestamp FROM n""",

