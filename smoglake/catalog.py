@@ -12,6 +12,7 @@ everything else is shown as it is.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from .operators.quality import distinct_values, key_check, listwise_filter, null
 from .operators.reshape import pivot_matrix
 from .plans import analytics, documents, graph
 from .session import drop_path, scratch_path
+from .sources import versions
 from .sources.delimited import read_sensor_csv, write_sensor_csv
 from .sources.json_codec import decode_json, encode_json, raw_schema
 from .sources.sensor_fixture import raw_sensor
@@ -379,10 +381,10 @@ def _cleaned_stream(spark, sf_dir) -> DataFrame:
 def _average_stream(spark, src, schema, cfg=AIR_QUALITY) -> DataFrame:
     """Run the running-average stream over a folder to its end, read its last result."""
     out = scratch_path(spark, "avg")
-    long = S.running_average(S.long_form(S.clean(S.file_stream(spark, src, schema), cfg), cfg))
-    S.run_until_done([S.start_overwrite_table(long, out, scratch_path(spark, "ckpt-stream"), available_now=True,
-                                              state_partitions=len(cfg.measures))])
-    return round_averages(S.read_result(spark, out, long.schema).orderBy("pollutant"))
+    sums = S.running_sums(S.long_form(S.clean(S.file_stream(spark, src, schema), cfg), cfg), cfg.scale)
+    S.run_until_done([S.start_overwrite_table(sums, out, scratch_path(spark, "ckpt-stream"), available_now=True,
+                                              state_partitions=len(cfg.measures), finish=S.averages)])
+    return S.read_result(spark, out, S.averages(spark.createDataFrame([], sums.schema)).schema).orderBy("pollutant")
 
 
 def stream_cleaned(spark, sf_dir):
@@ -401,6 +403,24 @@ def stream_snapshot_top10(spark, sf_dir):
     return S.earliest(_cleaned_stream(spark, sf_dir), 10)
 
 
+def stream_consistent_snapshot(spark, sf_dir):
+    """At every epoch of the two-result stream the published averages equal, bit by bit, those of the
+    cleaned rows of the same snapshot; then the averages after the last file."""
+    src, out = scratch_path(spark, "raw"), scratch_path(spark, "stream")
+    rows = raw(spark, sf_dir)
+    rows.repartition(3, "Date", "T").write.parquet(src)
+    S.run_until_done([S.analytics(spark, src, out, scratch_path(spark, "ckpt-stream"), available_now=True,
+                                  max_files_per_trigger=1, schema=rows.schema)])
+    parts, schemas = [], S.result_schemas(spark, rows.schema)
+    for version in versions.history(spark, out):
+        cleaned, published = S.snapshot(spark, out, schemas, version=version)
+        own = S.running_average(S.long_form(cleaned)).withColumnRenamed("avg_reading", "own")
+        parts.append(published.join(own, "pollutant", "full").select(
+            F.lit(version.about["epoch"]).cast("int").alias("epoch"), "pollutant", F.col("own").eqNullSafe(F.col("avg_reading")).alias("same"),
+            F.when(F.lit(version.about["epoch"] == 2), F.col("avg_reading")).alias("avg_reading")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # ------------------------------------------------- scale configuration --
 
 def _lineitem(spark, sf_dir):
@@ -574,6 +594,7 @@ QUERIES: dict[str, Query] = {
     "stream_cleaned": stream_cleaned,
     "stream_pollutant_avg": stream_pollutant_avg,
     "stream_snapshot_top10": stream_snapshot_top10,
+    "stream_consistent_snapshot": stream_consistent_snapshot,
     "stream_lineitem_avg": stream_lineitem_avg,
     "lineitem_json_roundtrip": lineitem_json_roundtrip,
     "merge_new_properties": merge_new_properties,

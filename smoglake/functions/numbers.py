@@ -7,18 +7,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 
+def _exact(c: Column, scale: int) -> Column:
+    """The value as a decimal; one that does not fit the scale (beyond the noise of its own last bits) raises."""
+    exact = c.cast(f"decimal(28,{scale})")
+    off = F.abs(c - exact.cast("double")) > F.lit(1e-9) * F.greatest(F.lit(1.0), F.abs(c))
+    return F.when(off, F.raise_error(F.concat(F.lit(f"more than {scale} decimal places: "), c.cast("string")))
+                  .cast(f"decimal(28,{scale})")).otherwise(exact)
+
+
+def exact_sums(c: Column, scale: int) -> list[Column]:
+    """Aggregates ``total`` (decimal) and ``n`` of a column of at most ``scale`` decimal places."""
+    return [F.sum(_exact(c, scale)).alias("total"), F.count(c).alias("n")]
+
+
 def exact_mean(c: Column, scale: int) -> Column:
     """Mean of a column of at most ``scale`` decimal places, from an exact decimal sum.
 
     Any order of the rows gives the same double. A value that does not fit
-    the scale (beyond the noise of its own last bits) raises instead of
-    being cut.
+    the scale raises instead of being cut.
     """
-    exact = c.cast(f"decimal(28,{scale})")
-    off = F.abs(c - exact.cast("double")) > F.lit(1e-9) * F.greatest(F.lit(1.0), F.abs(c))
-    fits = F.when(off, F.raise_error(F.concat(F.lit(f"more than {scale} decimal places: "), c.cast("string")))
-                  .cast(f"decimal(28,{scale})")).otherwise(exact)
-    return F.try_divide(F.sum(fits).cast("double"), F.count(exact).cast("double"))
+    return F.try_divide(F.sum(_exact(c, scale)).cast("double"), F.count(c).cast("double"))
 
 
 # Sums of any doubles. A double of exponent e goes to bin floor(e / 32) as an integer multiple of the bin's

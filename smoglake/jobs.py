@@ -18,7 +18,7 @@ from .plans.presentation import preview
 from .session import drop_path, scratch_path
 from .sources.delimited import read_sensor_csv
 from .sources.json_codec import raw_schema
-from .sources.kafka import decoded_topic, publish
+from .sources.kafka import kafka_source, publish
 from .sources.tables import write_overwrite
 from .streaming import sensor_stream as S
 
@@ -36,13 +36,10 @@ def ingest(spark: SparkSession, raw_path: str, checkpoint: str, brokers: str | N
            max_files_per_trigger: int | None = None) -> list:
     """Topic (or a folder of payload files) -> typed rows -> raw parquet."""
     if brokers and topic:
-        payloads = decoded_topic(spark, brokers, topic, raw_schema(cfg), starting_offsets)
-        qs = [S.start_files(payloads, raw_path, checkpoint, available_now=available_now)]
-        if console:
-            qs.append(S.start_console(payloads, available_now))
-        return qs
-    return S.ingest(S.payload_stream(spark, payload_dir, max_files_per_trigger), raw_schema(cfg), raw_path, checkpoint,
-                    available_now=available_now, console=console)
+        payloads = kafka_source(spark, brokers, topic, starting_offsets)
+    else:
+        payloads = S.payload_stream(spark, payload_dir, max_files_per_trigger)
+    return S.ingest(payloads, raw_schema(cfg), raw_path, checkpoint, available_now=available_now, console=console)
 
 
 def process(spark: SparkSession, raw_path: str, processed_path: str, cfg: SensorConfig = AIR_QUALITY,
@@ -51,7 +48,7 @@ def process(spark: SparkSession, raw_path: str, processed_path: str, cfg: Sensor
     are staged once under the shared checkpoint folder."""
     staging = scratch_path(spark, "dedup")
     try:
-        staged = clean_and_transform(spark.read.parquet(raw_path), cfg, id_col, staging_path=staging)
+        staged = clean_and_transform(S.read_ingested(spark, raw_path), cfg, id_col, staging_path=staging)
         write_overwrite(staged, processed_path, partition_by)
     finally:
         drop_path(spark, staging)
@@ -98,19 +95,17 @@ def graph_queries(spark: SparkSession, graph_path: str, out: str) -> dict[str, D
 def stream(spark: SparkSession, raw_path: str, out: str, checkpoint: str, cfg: SensorConfig = AIR_QUALITY,
            available_now: bool = False, max_files_per_trigger: int | None = None,
            processing_time: str | None = None, rounds: int = 0, wait_s: float = 3.0) -> list:
-    """Raw file stream -> cleaned rows and running averages, with
+    """Raw file stream -> cleaned rows and running averages under ``out``, with
     ``rounds`` live snapshots ``wait_s`` apart (T8)."""
-    cleaned, avg = f"{out}/cleaned_pollutants", f"{out}/pollutant_avg"
     schema = S.batch_schema(spark, raw_path)
-    qs = S.analytics(spark, raw_path, cleaned, avg, checkpoint, cfg, available_now,
-                     max_files_per_trigger, processing_time, schema)
+    query = S.analytics(spark, raw_path, out, checkpoint, cfg, available_now, max_files_per_trigger, processing_time, schema)
     if available_now:
-        S.run_until_done(qs)
-    for top, avgs in S.snapshots(spark, cleaned, avg, rounds, wait=lambda: time.sleep(wait_s),
-                                 schemas=S.result_schemas(spark, schema, cfg)):
+        S.run_until_done([query])
+    for top, avgs in S.snapshots(spark, out, rounds, wait=lambda: time.sleep(wait_s),
+                                 schemas=S.result_schemas(spark, schema, cfg), cfg=cfg):
         preview(top, 10)
         preview(avgs, 10)
-    return qs
+    return [query]
 
 
 def _write_results(spark: SparkSession, results: dict[str, DataFrame], out: str) -> dict[str, DataFrame]:

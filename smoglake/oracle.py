@@ -284,12 +284,15 @@ SQL: dict[str, str] = {
         SELECT "Pollutant", """ + _PIVOT_COLS + ' FROM hn GROUP BY "Pollutant"',
     "stream_ingest": _with(_RAW) + " " + _RAW_OUT,
     "stream_cleaned": _with(_RAW, _CLEANED) + " SELECT * FROM c",
-    "stream_pollutant_avg": _with(_RAW, _CLEANED) + f""" SELECT pollutant, {_r6("AVG(reading)")} AS avg_reading
+    "stream_pollutant_avg": _with(_RAW, _CLEANED) + f""" SELECT pollutant, {_mean("reading", 4)} AS avg_reading
         FROM cl GROUP BY pollutant ORDER BY pollutant""",
+    "stream_consistent_snapshot": _with(_RAW, _CLEANED) + f""" SELECT CAST(epoch AS INTEGER) AS epoch, pollutant, TRUE AS same,
+        CASE WHEN epoch = 2 THEN m END AS avg_reading
+        FROM (SELECT pollutant, {_mean("reading", 4)} AS m FROM cl GROUP BY pollutant), range(3) e(epoch)""",
     "stream_snapshot_top10": _with(_RAW, _CLEANED) + """ SELECT * FROM c ORDER BY event_timestamp NULLS FIRST,
         "Date" NULLS FIRST, "Time" NULLS FIRST, "CO" NULLS FIRST, "NMHC" NULLS FIRST, "C6H6" NULLS FIRST,
         "NOx" NULLS FIRST, "NO2" NULLS FIRST LIMIT 10""",
-    "stream_lineitem_avg": f"""SELECT pollutant, {_r6("AVG(v)")} AS avg_reading FROM (
+    "stream_lineitem_avg": f"""SELECT pollutant, {_mean("v", 2)} AS avg_reading FROM (
         SELECT 'quantity' AS pollutant, l_quantity AS v FROM lineitem UNION ALL SELECT 'extendedprice', l_extendedprice FROM lineitem
         UNION ALL SELECT 'discount', l_discount FROM lineitem UNION ALL SELECT 'tax', l_tax FROM lineitem)
         GROUP BY 1 ORDER BY 1""",

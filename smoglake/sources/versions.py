@@ -83,6 +83,12 @@ def latest(spark: SparkSession, root: str) -> Version | None:
     return None
 
 
+def history(spark: SparkSession, root: str) -> list[Version]:
+    """All published versions that are still there, the first one first."""
+    root = root.rstrip("/")
+    return [v for n in reversed(_numbers(spark, root)) if (v := _load(spark, root, n)) is not None]
+
+
 def fresh_folder(label: str = "data") -> str:
     """A folder name, relative to the root, that no other attempt uses."""
     return f"{label}-{uuid.uuid4().hex[:16]}"

@@ -4,15 +4,18 @@ The transforms (:func:`clean`, :func:`long_form`, :func:`running_average`)
 are plain DataFrame functions that work on batch and streaming frames alike,
 so a batch run over the same files is the oracle of the stream.
 
-Sinks: the reference keeps both results in driver-memory tables. Here the
-append stream goes to a parquet file sink (distributed, exactly-once via its
-metadata log). The complete-mode average is written per micro-batch into a
-folder of its own and then published by a pointer file, so a reader sees a whole
-result at any time.
+Sinks: the reference keeps both results in driver-memory tables. Here a stream
+with one result goes to a parquet file sink (append, exactly-once via its
+metadata log) or, in complete mode, to a folder per micro-batch that a commit
+publishes (:mod:`smoglake.sources.versions`). A stream with several results is one
+query (:func:`start_fan_out`): it reads its source once per epoch, stores the
+epoch's rows, derives the other results from them and publishes all by one
+commit, so readers see results of the same epoch.
 """
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable
 from contextlib import contextmanager
@@ -20,15 +23,18 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..config import AIR_QUALITY, SensorConfig
+from ..functions.numbers import binned_sums, combined, exact_sums, means
 from ..operators.cleaning import event_time, rename_columns
 from ..operators.quality import listwise_filter
 from ..operators.reshape import to_long
+from ..sources import versions
 from ..sources.json_codec import decode_json, raw_schema
 
 PROCESSING_TIME = "3 seconds"
+VACUUM_EVERY = 100  # epochs between deletions of what no reader may need any more
 
 
 # ------------------------------------------------------------- transforms --
@@ -52,10 +58,35 @@ def long_form(cleaned: DataFrame, cfg: SensorConfig = AIR_QUALITY) -> DataFrame:
                    "pollutant", "reading")
 
 
-def running_average(long: DataFrame) -> DataFrame:
-    """A8 + T6: mean reading per pollutant since the start (state: sum and
-    count per key, a handful of keys, never expires)."""
-    return long.groupBy("pollutant").agg(F.avg("reading").alias("avg_reading"))
+def running_sums(long: DataFrame, scale: int | None = AIR_QUALITY.scale) -> DataFrame:
+    """A8 + T6: what the mean reading per pollutant is made of: exact sums and counts.
+
+    A handful of keys that never expire, on batch and streaming frames alike. With ``scale`` (decimal
+    places of the readings) the sum is a decimal, else it is kept in exact parts, so the state
+    does not depend on how the rows fall into micro-batches.
+    """
+    if scale is None:
+        return binned_sums(long, ["pollutant"], "reading")
+    return long.groupBy("pollutant").agg(*exact_sums(F.col("reading"), scale))
+
+
+def averages(sums: DataFrame) -> DataFrame:
+    """(pollutant, avg_reading) from :func:`running_sums`."""
+    if "bin" in sums.columns:
+        return means(sums, ["pollutant"], "avg_reading")
+    return sums.select("pollutant", F.try_divide(F.col("total").cast("double"), F.col("n").cast("double")).alias("avg_reading"))
+
+
+def added(sums: DataFrame) -> DataFrame:
+    """Several :func:`running_sums` in one frame, added up."""
+    if "bin" in sums.columns:
+        return combined(sums, ["pollutant"])
+    return sums.groupBy("pollutant").agg(*[F.sum(c).cast(sums.schema[c].dataType).alias(c) for c in ("total", "n")])
+
+
+def running_average(long: DataFrame, scale: int | None = AIR_QUALITY.scale) -> DataFrame:
+    """Mean reading per pollutant, the same bits in any order of the rows."""
+    return averages(running_sums(long, scale))
 
 
 def earliest(table: DataFrame, n: int = 10, ts_col: str = "event_timestamp") -> DataFrame:
@@ -129,60 +160,31 @@ def _start_conf(spark: SparkSession, key: str, value: str | None):
             spark.conf.set(key, old)
 
 
-def _publish(spark: SparkSession, path: str, epoch: int, table: DataFrame) -> None:
-    """Write one epoch's result and point readers to it; epoch -1 gives way to any earlier result."""
-    if epoch < 0 and _published(spark, path) is not None:
-        return
-    table.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    target, fresh = hadoop.Path(f"{path}/_current"), hadoop.Path(f"{path}/_next.{epoch}")
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    out = files.create(fresh, True)
-    out.writeBytes(str(epoch))
-    out.close()
-    before = _published(spark, path)
-    files.delete(target, False)
-    files.rename(fresh, target)
-    for old in files.listStatus(hadoop.Path(path)):  # keep the result before, which a reader may be scanning
-        name = old.getPath().getName()
-        if name.startswith("epoch=") and int(name[6:]) < min(epoch, before if before is not None else epoch):
-            files.delete(old.getPath(), True)
-
-
-def _published(spark: SparkSession, path: str) -> int | None:
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    files = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    best = None
-    if files.exists(hadoop.Path(path)):
-        for entry in files.listStatus(hadoop.Path(path)):
-            name = entry.getPath().getName()
-            if name == "_current":
-                stream = files.open(entry.getPath())
-                text = stream.readLine()
-                stream.close()
-                return int(text)
-            # between delete and rename of the pointer the new one is there under its own name
-            if name.startswith("_next.") and (best is None or int(name[6:]) > best):
-                best = int(name[6:])
-    return best
-
-
 def read_result(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The last published result of :func:`start_overwrite_table`; without rows if there is none yet."""
-    epoch = _published(spark, path)
-    if epoch is None:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/epoch={epoch}")
+    version = versions.latest(spark, path)
+    return spark.createDataFrame([], schema) if version is None else version.read(spark, "result", schema)
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps with a checkpoint."""
+    files, target = versions._files(spark, f"{checkpoint}/metadata")
+    stream = files.open(target)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["id"]
+    finally:
+        stream.close()
 
 
 def start_overwrite_table(df: DataFrame, path: str, checkpoint: str, available_now: bool = False,
                           processing_time: str | None = None,
-                          state_partitions: int | None = None) -> StreamingQuery:
+                          state_partitions: int | None = None,
+                          finish: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """K5 at scale: complete-mode result written as a whole table each micro-batch.
 
-    Epoch n goes to ``path/epoch=n`` and the pointer ``path/_current`` then
-    names it; an epoch that runs again after a failure writes the same folder
-    again. An empty result is published before the first epoch, unless an
+    Each epoch's result (after ``finish``, a batch step) goes to a folder of its own, which a commit
+    then publishes; commits are only ever added, so a reader at any time finds a whole result. An epoch that runs again
+    after a failure is not published twice. An empty result is published before the first epoch, unless an
     earlier run left one. Read it with :func:`read_result`.
 
     ``state_partitions`` sizes the stateful aggregate's shuffle and state
@@ -191,10 +193,18 @@ def start_overwrite_table(df: DataFrame, path: str, checkpoint: str, available_n
     of tasks per micro-batch for a handful of keys).
     """
     spark = df.sparkSession
-    _publish(spark, path, -1, spark.createDataFrame([], df.schema))
+    if versions.latest(spark, path) is None:
+        versions.publish(spark, path, {"result": []}, {"stream": "", "epoch": -1})
 
     def write(batch: DataFrame, epoch: int) -> None:
-        _publish(spark, path, epoch, batch)
+        stream, before = _stream_id(spark, checkpoint), versions.latest(spark, path)
+        if before.about["stream"] == stream and before.about["epoch"] >= epoch:
+            return
+        folder = versions.fresh_folder("result")
+        (finish(batch) if finish else batch).write.parquet(f"{path}/{folder}")
+        versions.publish(spark, path, {"result": [folder]}, {"stream": stream, "epoch": epoch}, after=before)
+        if epoch % VACUUM_EVERY == VACUUM_EVERY - 1:
+            versions.vacuum(spark, path, "result")
 
     w = (df.writeStream.outputMode("complete").foreachBatch(write)
          .option("checkpointLocation", checkpoint))
@@ -203,6 +213,73 @@ def start_overwrite_table(df: DataFrame, path: str, checkpoint: str, available_n
         return _trigger(w, available_now, processing_time).start()
 
 
+Sink = Callable[[DataFrame, "versions.Version | None", int], dict[str, list[str]]]
+
+
+def start_fan_out(df: DataFrame, root: str, checkpoint: str, sinks: tuple[Sink, ...] = (), available_now: bool = False,
+                  processing_time: str | None = None) -> StreamingQuery:
+    """One stream, several results, one read of the source per epoch.
+
+    An epoch's rows are stored once under ``root``; each sink then gets (the stored rows of the
+    epoch, the version before, the epoch) and returns the tables it wrote, as folders under ``root``.
+    One commit publishes the rows and all tables. An epoch that broke off
+    anywhere, also between sinks, runs again from its start: its rows replace what it had stored, and nothing of
+    it was visible. A root belongs to one checkpoint; another one raises.
+    """
+    spark = df.sparkSession
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        stream, before = _stream_id(spark, checkpoint), versions.latest(spark, root)
+        if before is not None and before.about["stream"] != stream:
+            raise ValueError(f"{root} holds the rows of another checkpoint than {checkpoint}")
+        if before is not None and before.about["epoch"] >= epoch:
+            return
+        here = f"{root}/rows/epoch={epoch}"
+        batch.write.mode("overwrite").parquet(here)
+        stored = spark.read.schema(batch.schema).parquet(here)
+        tables = {}
+        for sink in sinks:
+            tables.update(sink(stored, before, epoch))
+        versions.publish(spark, root, tables, {"stream": stream, "epoch": epoch}, after=before)
+        if epoch % VACUUM_EVERY == VACUUM_EVERY - 1:
+            versions.vacuum(spark, root, "table")
+
+    return _trigger(df.writeStream.outputMode("append").foreachBatch(write)
+                    .option("checkpointLocation", checkpoint), available_now, processing_time).start()
+
+
+def read_rows(spark: SparkSession, root: str, schema: StructType, version: versions.Version | None = None) -> DataFrame:
+    """The rows that :func:`start_fan_out` had published with ``version`` (the last one)."""
+    version = version or versions.latest(spark, root)
+    if version is None:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(StructType([*schema.fields, StructField("epoch", LongType())])).parquet(f"{root}/rows")
+    return rows.filter(F.col("epoch") <= version.about["epoch"]).drop("epoch")  # prunes the folders
+
+
+def averages_sink(root: str, cfg: SensorConfig = AIR_QUALITY) -> Sink:
+    """K5 as a sink of :func:`start_fan_out`: the running sums so far, as table ``sums``.
+
+    The last version's sums (a row per pollutant, or per pollutant and exponent bin) plus those of the epoch's rows.
+    """
+    def sink(rows: DataFrame, before: versions.Version | None, epoch: int) -> dict[str, list[str]]:
+        spark, sums = rows.sparkSession, running_sums(long_form(rows, cfg), cfg.scale)
+        if before is not None:
+            sums = added(before.read(spark, "sums", sums.schema).unionByName(sums))
+        folder = versions.fresh_folder("table")
+        sums.coalesce(1).write.parquet(f"{root}/{folder}")
+        return {"sums": [folder]}
+
+    return sink
+
+
+def console_sink(rows: DataFrame, before: versions.Version | None, epoch: int) -> dict[str, list[str]]:
+    """K3 as a sink of :func:`start_fan_out`: shows the first rows of each epoch."""
+    print(f"--- epoch {epoch} ---")
+    rows.show(20, truncate=False)
+    return {}
+
+
 def start_console(df: DataFrame, available_now: bool = False,
                   processing_time: str | None = None) -> StreamingQuery:
     """K3: debug echo of a stream."""
@@ -218,14 +295,24 @@ def ingest(payloads: DataFrame, schema: StructType, out_path: str, checkpoint: s
     """T1 + T2 + T7: payload stream -> decoded rows -> parquet (+ console).
 
     ``payloads`` is any streaming frame with a ``value`` column: a topic
-    (:func:`smoglake.sources.kafka.kafka_source`) or :func:`payload_stream`.
+    (:func:`smoglake.sources.kafka.kafka_source`) or :func:`payload_stream`. With
+    ``console`` it is one query that reads the payloads once and shows each
+    epoch's stored rows. Read either form with :func:`read_ingested`.
     """
     rows = decode_json(payloads, schema)
-    qs = [start_files(rows, out_path, checkpoint, available_now=available_now,
-                      processing_time=processing_time)]
-    if console:
-        qs.append(start_console(rows, available_now, processing_time))
-    return qs
+    if console or versions.latest(payloads.sparkSession, out_path) is not None:
+        return [start_fan_out(rows, out_path, checkpoint, (console_sink,) if console else (), available_now, processing_time)]
+    return [start_files(rows, out_path, checkpoint, available_now=available_now,
+                        processing_time=processing_time)]
+
+
+def read_ingested(spark: SparkSession, path: str) -> DataFrame:
+    """The raw table that :func:`ingest` fills, in either form, or any parquet table."""
+    version = versions.latest(spark, path)
+    if version is None:
+        return spark.read.parquet(path)
+    schema = spark.read.parquet(f"{path}/rows/epoch={version.about['epoch']}").schema
+    return read_rows(spark, path, schema, version)
 
 
 def run_until_done(queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
@@ -248,28 +335,22 @@ def run_until_done(queries: list[StreamingQuery], timeout_s: float | None = None
         raise
 
 
-def analytics(spark: SparkSession, raw_dir: str, cleaned_out: str, avg_out: str, checkpoint_root: str,
+def analytics(spark: SparkSession, raw_dir: str, out: str, checkpoint: str,
               cfg: SensorConfig = AIR_QUALITY, available_now: bool = False,
               max_files_per_trigger: int | None = None,
-              processing_time: str | None = None, schema: StructType | None = None) -> list[StreamingQuery]:
-    """Raw file stream -> cleaned rows (append) and running averages (complete).
+              processing_time: str | None = None, schema: StructType | None = None) -> StreamingQuery:
+    """Raw file stream -> cleaned rows and running averages, one query that reads each file once.
 
-    The stream schema is pinned from a batch read of ``raw_dir`` unless given.
+    The stream schema is pinned from a batch read of ``raw_dir`` unless given. Read the results with :func:`snapshot`.
     """
     src = file_stream(spark, raw_dir, schema or batch_schema(spark, raw_dir), "parquet", max_files_per_trigger)
-    cleaned = clean(src, cfg)
-    q1 = start_files(cleaned, cleaned_out, f"{checkpoint_root}/cleaned", available_now=available_now,
-                     processing_time=processing_time)
-    q2 = start_overwrite_table(running_average(long_form(cleaned, cfg)), avg_out,
-                               f"{checkpoint_root}/avg", available_now, processing_time,
-                               state_partitions=len(cfg.measures))
-    return [q1, q2]
+    return start_fan_out(clean(src, cfg), out, checkpoint, (averages_sink(out, cfg),), available_now, processing_time)
 
 
 def result_schemas(spark: SparkSession, raw: StructType, cfg: SensorConfig = AIR_QUALITY) -> tuple[StructType, StructType]:
-    """Schemas of the cleaned rows and of the averages for raw rows of schema ``raw``."""
+    """Schemas of the cleaned rows and of the running sums for raw rows of schema ``raw``."""
     cleaned = clean(spark.createDataFrame([], raw), cfg)
-    return cleaned.schema, running_average(long_form(cleaned, cfg)).schema
+    return cleaned.schema, running_sums(long_form(cleaned, cfg), cfg.scale).schema
 
 
 def read_sink(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -280,19 +361,27 @@ def read_sink(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def snapshots(spark: SparkSession, cleaned_path: str, avg_path: str, rounds: int = 10,
+def snapshot(spark: SparkSession, out: str, schemas: tuple[StructType, StructType] | None = None,
+             cfg: SensorConfig = AIR_QUALITY, version: versions.Version | None = None) -> tuple[DataFrame, DataFrame]:
+    """(cleaned rows, averages) of one epoch of :func:`analytics`; without rows before its first one."""
+    schemas = schemas or result_schemas(spark, raw_schema(cfg), cfg)
+    version = version or versions.latest(spark, out)
+    sums = spark.createDataFrame([], schemas[1]) if version is None else version.read(spark, "sums", schemas[1])
+    return read_rows(spark, out, schemas[0], version), averages(sums)
+
+
+def snapshots(spark: SparkSession, out: str, rounds: int = 10,
               wait: Callable[[], None] | None = None, n: int = 10,
               schemas: tuple[StructType, StructType] | None = None, cfg: SensorConfig = AIR_QUALITY):
-    """Repeated snapshots of both result tables before, while and after the streams run.
+    """Repeated snapshots of both results before, while and after the stream runs.
 
-    Yields (earliest n cleaned rows, averages ordered by pollutant) per round;
+    Yields (earliest n cleaned rows, averages ordered by pollutant) of one epoch per round;
     ``wait`` is called between rounds (e.g. ``time.sleep(3)``).
     """
     schemas = schemas or result_schemas(spark, raw_schema(cfg), cfg)
     for i in range(rounds):
-        cleaned = read_sink(spark, cleaned_path, schemas[0])
-        yield (earliest(cleaned, n, cfg.event_time),
-               read_result(spark, avg_path, schemas[1]).orderBy("pollutant"))
+        cleaned, avg = snapshot(spark, out, schemas, cfg)
+        yield earliest(cleaned, n, cfg.event_time), avg.orderBy("pollutant")
         if wait and i + 1 < rounds:
             wait()
 

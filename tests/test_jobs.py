@@ -36,8 +36,8 @@ def test_stages_end_to_end(spark, tmp_dir):
     assert gq["weekday_norm"].count() == 35 and gq["hourly_norm_matrix"].count() == 5
 
     qs = jobs.stream(spark, raw, f"{tmp_dir}/stream", f"{tmp_dir}/ck-stream", available_now=True, rounds=1)
-    schema = S.result_schemas(spark, spark.read.parquet(raw).schema)[1]
-    assert len(qs) == 2 and S.read_result(spark, f"{tmp_dir}/stream/pollutant_avg", schema).count() == 5
+    cleaned, avg = S.snapshot(spark, f"{tmp_dir}/stream")
+    assert len(qs) == 1 and avg.count() == 5 and cleaned.count() == S.clean(catalog.raw(spark, SF)).count()
 
 
 def test_cli_parses_every_stage():
