@@ -1,6 +1,6 @@
 """Command line: ``python -m smoglake <stage> [options]`` (or spark-submit).
 
-Stages: publish, ingest, process, load-documents, document-queries,
+Stages: publish, ingest, process, process-increment, load-documents, document-queries,
 load-graph, graph-queries, stream. The session comes from the cluster
 (``SparkSession.builder.getOrCreate()``); paths are on shared storage.
 """
@@ -40,6 +40,11 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--processed", required=True)
     s.add_argument("--partition-by", default="")
 
+    s = sub.add_parser("process-increment", help="files of raw that are new -> store of processed rows")
+    s.add_argument("--raw", required=True)
+    s.add_argument("--store", required=True)
+    s.add_argument("--checkpoint", required=True)
+
     s = sub.add_parser("load-documents", help="processed -> documents")
     s.add_argument("--processed", required=True)
     s.add_argument("--documents", required=True)
@@ -86,6 +91,8 @@ def main(argv: list[str] | None = None) -> None:
     elif a.stage == "process":
         parts = [c for c in a.partition_by.split(",") if c]
         preview(jobs.process(spark, a.raw, a.processed, partition_by=parts or None))
+    elif a.stage == "process-increment":
+        preview(jobs.process_increment(spark, a.raw, a.store, a.checkpoint))
     elif a.stage == "load-documents":
         preview(jobs.load_documents(spark, a.processed, a.documents, replace_with_empty=a.replace_with_empty))
     elif a.stage == "document-queries":

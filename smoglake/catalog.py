@@ -22,10 +22,11 @@ from .config import AIR_CSV_HEADER, AIR_QUALITY, SensorConfig, lineitem_config
 from .functions.labels import hour_label
 from .functions.numbers import round_averages
 from .operators import cleaning as C
+from .operators import increment
 from .operators.merge import merge_on_create
 from .operators.quality import distinct_values, key_check, listwise_filter, null_audit, value_subset
 from .operators.reshape import pivot_matrix
-from .plans import analytics, documents, graph
+from .plans import analytics, charts, documents, graph
 from .session import drop_path, scratch_path
 from .sources import versions
 from .sources.delimited import read_sensor_csv, write_sensor_csv
@@ -194,6 +195,14 @@ def overwrite_idempotent(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def process_increment(spark, sf_dir):
+    """C3 A1 A2 load by load: two overlapping loads and a repeated one give the processed table of one load."""
+    rows, root = raw(spark, sf_dir), scratch_path(spark, "increment")
+    for part in (rows.filter("AH < 2 OR AH IS NULL"), rows.filter("AH >= 1.5"), rows.filter("AH < 2 OR AH IS NULL")):
+        increment.load(part, root, buckets=8)
+    return increment.read_processed(spark, root).drop("record_id")
+
+
 # ----------------------------------------------------------- documents ---
 
 def nested_documents(spark, sf_dir):
@@ -530,6 +539,16 @@ def graph_three_loads(spark, sf_dir):
     return nodes.union(edges).union(reads)
 
 
+def chart_tables_refresh(spark, sf_dir):
+    """Hourly charts of the first half of each month for every pollutant, then a refresh of two of them
+    from all rows; the other charts stay."""
+    p, path = _consumed(spark, sf_dir), scratch_path(spark, "charts")
+    charts.write_charts(round_doubles(graph.hourly_profile_fact(p.filter("day <= 15"))), path)
+    fresh = round_doubles(graph.hourly_profile_fact(p))
+    charts.write_charts(fresh.filter(F.col("Pollutant").isin("CO", "NOx")), path)
+    return charts.read_chart(spark, path)
+
+
 def graph_readings_lookup(spark, sf_dir):
     """Readings whose hour has a node (here the hours of the first half of each month)."""
     p = _stored_processed(spark, sf_dir)
@@ -566,6 +585,7 @@ QUERIES: dict[str, Query] = {
     "parse_timestamp": parse_timestamp,
     "time_features": time_features,
     "processed": processed_table,
+    "process_increment": process_increment,
     "null_audit": null_audit_query,
     "overwrite_idempotent": overwrite_idempotent,
     "nested_documents": nested_documents,
@@ -604,6 +624,7 @@ QUERIES: dict[str, Query] = {
     "pollutant_subset": pollutant_subset,
     "graph_two_loads": graph_two_loads,
     "graph_three_loads": graph_three_loads,
+    "chart_tables_refresh": chart_tables_refresh,
     "graph_readings_lookup": graph_readings_lookup,
     "lineitem_processed": lineitem_processed,
     "lineitem_weekday_norm": lineitem_weekday_norm,

@@ -83,6 +83,27 @@ def means(sums: DataFrame, keys: list[str], out: str) -> DataFrame:
     return sums.groupBy(*keys).agg(F.try_divide(total, F.sum("n").cast("double")).alias(out))
 
 
+def part_sums(df: DataFrame, keys: list[str], value: str, scale: int | None) -> DataFrame:
+    """What the mean of ``value`` per key is made of: a decimal sum with ``scale``, else :func:`binned_sums`."""
+    if scale is None:
+        return binned_sums(df, keys, value)
+    return df.groupBy(*keys).agg(*exact_sums(F.col(value), scale))
+
+
+def add_sums(sums: DataFrame, keys: list[str]) -> DataFrame:
+    """Several :func:`part_sums` in one frame, added up."""
+    if "bin" in sums.columns:
+        return combined(sums, keys)
+    return sums.groupBy(*keys).agg(*[F.sum(c).cast(sums.schema[c].dataType).alias(c) for c in ("total", "n")])
+
+
+def mean_of_sums(sums: DataFrame, keys: list[str], out: str) -> DataFrame:
+    """(keys, out) from :func:`part_sums`."""
+    if "bin" in sums.columns:
+        return means(sums, keys, out)
+    return sums.select(*keys, F.try_divide(F.col("total").cast("double"), F.col("n").cast("double")).alias(out))
+
+
 def round_half_up(c: Column, places: int = 6) -> Column:
     """Half-up rounding of the decimal value (12 places), for averages shown in results."""
     return F.round(c.cast("decimal(38,12)"), places).cast("double")

@@ -12,8 +12,9 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 
 from .config import AIR_QUALITY, SensorConfig
+from .operators import increment
 from .operators.cleaning import clean_and_transform
-from .plans import analytics, documents, graph
+from .plans import analytics, charts, documents, graph
 from .plans.presentation import preview
 from .session import drop_path, scratch_path
 from .sources.delimited import read_sensor_csv
@@ -55,6 +56,17 @@ def process(spark: SparkSession, raw_path: str, processed_path: str, cfg: Sensor
     return spark.read.parquet(processed_path)
 
 
+def process_increment(spark: SparkSession, raw_path: str, store: str, checkpoint: str,
+                      cfg: SensorConfig = AIR_QUALITY) -> DataFrame:
+    """C3 over an append-only raw table: only files that no earlier run has seen are read (the stream's checkpoint knows
+    them) and added to the store; returns the processed table of all loads."""
+    stream = S.file_stream(spark, raw_path, S.batch_schema(spark, raw_path))
+    query = (stream.writeStream.foreachBatch(lambda rows, epoch: increment.load(rows, store, cfg))
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    S.run_until_done([query])
+    return increment.read_processed(spark, store, cfg)
+
+
 def load_documents(spark: SparkSession, processed_path: str, documents_path: str,
                    cfg: SensorConfig = AIR_QUALITY, replace_with_empty: bool = False) -> DataFrame:
     """Processed -> nested documents (full refresh; an empty input leaves the collection alone)."""
@@ -81,12 +93,15 @@ def load_graph(spark: SparkSession, processed_path: str, graph_path: str,
 
 
 def graph_queries(spark: SparkSession, graph_path: str, out: str) -> dict[str, DataFrame]:
-    """C8 + C10: hourly and weekday normalised profiles and the heat-map matrix."""
+    """C8 + C10: hourly and weekday normalised profiles, their chart tables by pollutant, and the heat-map matrix."""
     from .operators.reshape import pivot_matrix
     g = graph.read_graph(spark, graph_path)
     hourly = graph.hourly_profile(g)
+    weekday = graph.weekday_profile(g)
+    for name, profile in (("hourly_charts", hourly), ("weekday_charts", weekday)):
+        charts.write_charts(profile, f"{out}/{name}")
     results = {"hourly_norm": hourly,
-               "weekday_norm": graph.weekday_profile(g),
+               "weekday_norm": weekday,
                "hourly_norm_matrix": pivot_matrix(hourly, "Pollutant", "HourOfDay", "NormalizedValue",
                                                   [f"{h:02d}:00" for h in range(24)])}
     return _write_results(spark, results, out)

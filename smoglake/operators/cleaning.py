@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import AIR_QUALITY, SensorConfig  # noqa: F401  (re-exported)
-from ..functions.numbers import binned_sums, exact_mean, means
+from ..functions.numbers import exact_mean, mean_of_sums, part_sums
 from ..sources.tables import write_table
 from .keys import content_id
 
@@ -55,6 +55,24 @@ def nan_to_null(c: Column) -> Column:
     return F.nanvl(c, F.lit(None).cast("double"))
 
 
+def _by_column(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value) rows of the named columns; NaN becomes null (decision Q9)."""
+    named = F.array(*[F.struct(F.lit(c).alias("column"), nan_to_null(F.col(f"`{c}`").cast("double")).alias("value")) for c in columns])
+    return df.select(F.explode(named).alias("x")).select("x.*")
+
+
+def column_sums(df: DataFrame, columns: list[str], scale: int | None) -> DataFrame:
+    """What every column's mean is made of, by column; sums of several loads can be added (:func:`add_sums`)."""
+    return part_sums(_by_column(df, columns), ["column"], "value", scale)
+
+
+def means_of_columns(sums: DataFrame, columns: list[str], prefix: str = "__mean_") -> DataFrame:
+    """One row with every column's mean from :func:`column_sums`; 0.0 for a column without values."""
+    by_column = mean_of_sums(sums, ["column"], "mean")
+    return by_column.agg(*[F.coalesce(F.max(F.when(F.col("column") == c, F.col("mean"))), F.lit(0.0)).alias(prefix + c)
+                           for c in columns])
+
+
 def column_means(df: DataFrame, columns: list[str], prefix: str = "__mean_",
                  scale: int | None = None) -> DataFrame:
     """A2: one row with every column's mean.
@@ -64,27 +82,25 @@ def column_means(df: DataFrame, columns: list[str], prefix: str = "__mean_",
     exact decimals, without it the exact binned sums of :mod:`smoglake.functions.numbers`.
     """
     if scale is None:
-        named = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value")) for c in columns])
-        long = df.select(F.explode(named).alias("x")).select("x.*")
-        by_column = means(binned_sums(long, ["column"], "value"), ["column"], "mean")
-        return by_column.agg(*[F.coalesce(F.max(F.when(F.col("column") == c, F.col("mean"))), F.lit(0.0)).alias(prefix + c)
-                               for c in columns])
+        return means_of_columns(column_sums(df, columns, None), columns, prefix)
     return df.agg(*[F.coalesce(exact_mean(nan_to_null(F.col(c)), scale), F.lit(0.0)).alias(prefix + c) for c in columns])
 
 
-def impute_mean(df: DataFrame, columns: list[str], scale: int | None = None) -> DataFrame:
-    """A2 + P11: fill null and NaN with the column mean, in the same plan.
+def fill_means(df: DataFrame, columns: list[str], means_row: DataFrame, prefix: str = "__mean_") -> DataFrame:
+    """Fill null and NaN with the means of a one-row frame.
 
-    The means are one global aggregate (partial per task), packed into a
-    struct and attached to every row as a single scalar subquery: evaluated
-    once per query, no driver round trip per column, no join and no
-    unpartitioned window.
+    The means are packed into a struct and attached to every row as a single scalar subquery: evaluated
+    once per query, no driver round trip per column, no join and no unpartitioned window.
     """
-    prefix, packed = "__mean_", "__means"
-    means = column_means(df, columns, prefix, scale).select(
-        F.struct(*[F.col(prefix + c).alias(c) for c in columns]))
+    packed = "__means"
+    row = means_row.select(F.struct(*[F.col(prefix + c).alias(c) for c in columns]))
     filled = {c: F.coalesce(nan_to_null(F.col(c)), F.col(packed).getField(c)) for c in columns}
-    return df.withColumn(packed, means.scalar()).withColumns(filled).drop(packed)
+    return df.withColumn(packed, row.scalar()).withColumns(filled).drop(packed)
+
+
+def impute_mean(df: DataFrame, columns: list[str], scale: int | None = None) -> DataFrame:
+    """A2 + P11: fill null and NaN with the column mean, in the same plan (one global aggregate, partial per task)."""
+    return fill_means(df, columns, column_means(df, columns, scale=scale))
 
 
 def event_time(date: Column, time: Column, fmt: str) -> Column:

@@ -326,6 +326,11 @@ def _body(name: str) -> str:
     return f"({SQL[name]})"
 
 
+SQL["process_increment"] = SQL["processed"]
+SQL["chart_tables_refresh"] = f"""
+    SELECT * FROM {_body("graph_hourly_norm")} WHERE "Pollutant" IN ('CO', 'NOx') UNION ALL
+    SELECT * FROM ({_with(*_PIPE, _LONG.replace("event_timestamp IS NOT NULL", 'event_timestamp IS NOT NULL AND "day" <= 15'))
+                    + _norm("printf('%02d:00', hour_of_day)", "HourOfDay", '"HourOfDay"')}) WHERE "Pollutant" NOT IN ('CO', 'NOx')"""
 SQL["graph_three_loads"] = f"""
     SELECT label, key, name, CAST(0 AS BIGINT) AS n FROM {_body("graph_time_nodes")} UNION ALL
     SELECT type, src, dst, 0 FROM {_body("graph_time_edges")} UNION ALL

@@ -26,7 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..config import AIR_QUALITY, SensorConfig
-from ..functions.numbers import binned_sums, combined, exact_sums, means
+from ..functions.numbers import add_sums, mean_of_sums, part_sums
 from ..operators.cleaning import event_time, rename_columns
 from ..operators.quality import listwise_filter
 from ..operators.reshape import to_long
@@ -65,23 +65,12 @@ def running_sums(long: DataFrame, scale: int | None = AIR_QUALITY.scale) -> Data
     places of the readings) the sum is a decimal, else it is kept in exact parts, so the state
     does not depend on how the rows fall into micro-batches.
     """
-    if scale is None:
-        return binned_sums(long, ["pollutant"], "reading")
-    return long.groupBy("pollutant").agg(*exact_sums(F.col("reading"), scale))
+    return part_sums(long, ["pollutant"], "reading", scale)
 
 
 def averages(sums: DataFrame) -> DataFrame:
     """(pollutant, avg_reading) from :func:`running_sums`."""
-    if "bin" in sums.columns:
-        return means(sums, ["pollutant"], "avg_reading")
-    return sums.select("pollutant", F.try_divide(F.col("total").cast("double"), F.col("n").cast("double")).alias("avg_reading"))
-
-
-def added(sums: DataFrame) -> DataFrame:
-    """Several :func:`running_sums` in one frame, added up."""
-    if "bin" in sums.columns:
-        return combined(sums, ["pollutant"])
-    return sums.groupBy("pollutant").agg(*[F.sum(c).cast(sums.schema[c].dataType).alias(c) for c in ("total", "n")])
+    return mean_of_sums(sums, ["pollutant"], "avg_reading")
 
 
 def running_average(long: DataFrame, scale: int | None = AIR_QUALITY.scale) -> DataFrame:
@@ -265,7 +254,7 @@ def averages_sink(root: str, cfg: SensorConfig = AIR_QUALITY) -> Sink:
     def sink(rows: DataFrame, before: versions.Version | None, epoch: int) -> dict[str, list[str]]:
         spark, sums = rows.sparkSession, running_sums(long_form(rows, cfg), cfg.scale)
         if before is not None:
-            sums = added(before.read(spark, "sums", sums.schema).unionByName(sums))
+            sums = add_sums(before.read(spark, "sums", sums.schema).unionByName(sums), ["pollutant"])
         folder = versions.fresh_folder("table")
         sums.coalesce(1).write.parquet(f"{root}/{folder}")
         return {"sums": [folder]}
