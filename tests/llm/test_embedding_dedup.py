@@ -27,7 +27,7 @@ def brute(rows, similarity=0.95):
 
 
 def test_against_brute_force_with_hot_groups(spark, monkeypatch):
-    monkeypatch.setattr(ed, "VECTORS_PER_CELL", 40)
+    monkeypatch.setattr(ed, "CELLS_PER_ROOT", 0.8)
     monkeypatch.setattr(ed, "BLOCK", 60)  # several blocks in a cell
     rng = np.random.default_rng(5)
     base = rng.normal(size=(60, 16))
@@ -52,6 +52,36 @@ def test_odd_vectors(spark):
     assert ed.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_repeated_ids_count_as_vectors_of_their_own(spark):
+    data = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0])]
+    out = ed.near_duplicates(spark.createDataFrame(data, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in out) == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1)]
+    data = [(5, [1.0, 0.0]), (5, [0.0, 1.0]), (2, [1.0, 0.01]), (7, [0.01, 1.0])]
+    out = ed.near_duplicates(spark.createDataFrame(data, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r.vec_id, r.component_id) for r in out) == [(2, 2), (5, 2), (5, 5), (7, 5)]
+
+
+@pytest.mark.parametrize(("dims", "rank"), [(64, 64), (256, 256), (768, 768), (768, 8), (768, 4), (256, 16)])
+def test_links_are_found_in_data_of_any_rank(dims, rank):
+    """The cells that linked vectors meet in, for planted links: recall 0.99 at least, of pairs (each counts for both ends)."""
+    rng = np.random.default_rng(dims + rank)
+    basis = np.linalg.qr(rng.normal(size=(dims, rank)))[0].T
+    base = rng.normal(size=(4_000, rank)) @ basis
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    noise = rng.normal(size=(4_000, rank)) @ basis
+    noise -= (noise * base).sum(1)[:, None] * base
+    noise /= np.linalg.norm(noise, axis=1)[:, None]
+    cosine = rng.uniform(0.9501, 0.97, (4_000, 1))
+    other = cosine * base + np.sqrt(1 - cosine ** 2) * noise
+    sample = base[:2_000]
+    middle = ed.centres(sample, 45)
+    apart = np.sqrt(np.maximum(2 - 2 * middle @ middle.T, 0))
+    reach = np.sqrt(1 - 0.95 ** 2) / 0.95 * np.minimum(1, ed.SIGMAS * ed.lean(sample, middle, 0.95)) * apart + 1e-9
+    (h1, m1), (h2, m2) = ed.visits(base, middle, reach), ed.visits(other, middle, reach)
+    i = np.arange(len(base))
+    assert (m1[i, h2] | m2[i, h1]).mean() >= 0.99
+
+
 @pytest.mark.parametrize("sf", ["sf0.001"])
 def test_query_against_sql(spark, sf):
     import duckdb
