@@ -241,11 +241,25 @@ def signature(codes: np.ndarray) -> np.ndarray:
     return np.packbits(parity.astype(np.uint8)).view(np.int64)
 
 
+def slot_counts(texts: DataFrame) -> DataFrame:
+    """(slot, count) over the shingles of all texts. A task counts its own texts first and sends a row per filled slot."""
+    def run(batches):
+        import pyarrow as pa
+
+        total = np.zeros(SLOTS, np.int64)
+        for b in batches:
+            for text in b.column(0).to_pylist():
+                slots, n = np.unique(slots_of(text_shingles(text)), return_counts=True)
+                total[slots] += n
+        filled = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(filled, pa.int64()), pa.array(total[filled], pa.int64())], names=["slot", "n"])
+
+    return texts.select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("count"))
+
+
 def prefixes(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(code, place, node, n) of the shingles in the prefixes of ``texts`` (node, text), and (node, signature); written."""
-    slots = map_columns(texts, ["text"], [field("slots", T.ArrayType(LONG))],
-                        lambda rows: [[slots_of(text_shingles(t)).tolist() for t in rows]], [])
-    counts = slots.select(F.explode("slots").alias("slot")).groupBy("slot").count().filter("count > 1").toPandas()
+    counts = slot_counts(texts).filter("count > 1").toPandas()  # at most SLOTS rows
     level = np.zeros(SLOTS, np.uint8)
     level[counts["slot"].to_numpy(np.int64)] = np.round(4 * np.log2(counts["count"].to_numpy(float))).clip(1, 255)
 
@@ -318,8 +332,8 @@ def joined_rest(apart: DataFrame, texts: DataFrame, links: DataFrame, labels: Da
     return labels if more.isEmpty() else staged(components(links.unionByName(more), "near-classes"), "near-classes")
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, component_id, kept) per row of ``docs``; the id is an integer."""
+def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(id, digest) per row of ``docs``, and (digest, id, node, component) per distinct text that has words."""
     rows = staged(with_sketches(docs, id_col, text_col), "near-sketches")
     firsts = rows.filter("digest IS NOT NULL").groupBy("digest").agg(
         F.min("id").alias("id"), F.min("n").alias("n"), F.min("keys").alias("keys"))
@@ -348,19 +362,41 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     apart = staged(left_apart(done.filter("pivot"), labels), "near-apart")
     if not apart.isEmpty():
         labels = joined_rest(apart, texts, links, labels)
-    named = firsts.join(labels, "node", "left").select(
-        "digest", id_of(F.coalesce("component", "node")).alias("component_id"))
+    return rows.select("id", "digest"), firsts.join(labels, "node", "left").select(
+        "digest", id_of(F.col("node")).alias("id"), "node", F.coalesce("component", "node").alias("component"))
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, component_id, kept) per row of ``docs``; the id is an integer."""
+    rows, texts = _classes(docs, id_col, text_col)
+    named = texts.select("digest", id_of(F.col("component")).alias("component_id"))
     out = rows.select("id", "digest").join(named, "digest", "left").withColumn(
         "component_id", F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("component_id")))
     return out.select("id", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id stands for its class (one row per id), with the columns of ``docs``."""
-    kept = classes(docs, id_col, text_col).filter("kept").select(F.col("id").alias(id_col)).distinct()
-    nulls = docs.filter(F.col(f"`{id_col}`").isNull())
-    return (docs.join(kept, id_col, "left_semi").dropDuplicates([id_col]).unionByName(nulls)
-            .select(*[f"`{c}`" for c in docs.columns]))
+    """One row of each class, with the columns of ``docs``: a row of the class's least id and that id's text.
+
+    Texts that share an id are told apart, so none is dropped for another's sake. Rows without an id are compared as
+    copies only (equal words), among themselves and with the rest: one stays where no row with an id does. Rows
+    without words stay, copies (id and text) taken once.
+    """
+    own = "words_digest"
+    while own in docs.columns:
+        own += "_"
+    _, texts = _classes(docs, id_col, text_col)
+    stands = texts.filter("node = component").select(F.col("digest").alias(own), F.col("id").alias(f"{own}id"))
+    made = map_columns(docs, [text_col], [field(own, BINARY)], lambda rows: [[digest(t) for t in rows]])
+    has, number = F.col(own).isNotNull(), F.col(f"`{id_col}`").cast("long")
+    with_id = (made.filter(has & number.isNotNull()).withColumn(f"{own}id", number)
+               .join(stands.filter(F.col(f"{own}id").isNotNull()), [own, f"{own}id"], "left_semi")
+               .dropDuplicates([own, f"{own}id"]))
+    without = (made.filter(has & number.isNull()).dropDuplicates([own])
+               .join(stands.filter(F.col(f"{own}id").isNull()).select(own), own, "left_semi"))
+    wordless = made.filter(~has).dropDuplicates([id_col, text_col])
+    columns = [f"`{c}`" for c in docs.columns]
+    return with_id.select(*columns).unionByName(without.select(*columns)).unionByName(wordless.select(*columns))
 
 
 def op6_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -154,3 +154,12 @@ def test_classes_of_repeated_passages_against_brute_force(spark):
         label = [min(label[j] for j in range(len(texts)) if i == j or nd.linked(codes[i], codes[j])) for i in range(len(texts))]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.id: r.component_id for r in nd.classes(docs).collect()} == dict(enumerate(label))
+
+
+def test_keep_one_loses_no_text(spark):
+    one, two = " ".join(words(60, 41)), " ".join(words(60, 42))
+    rows = [(1, one, "a"), (1, two, "b"), (2, one, "c"), (None, two, "d"), (None, one + " x", "e"), (None, one + " x", "f"),
+            (3, "", "g"), (3, "", "h"), (3, None, "i"), (1, one, "j")]
+    kept = [tuple(r) for r in nd.keep_one(spark.createDataFrame(rows, "doc_id long, text string, words_digest string")).collect()]
+    assert sorted((str(i), str(t)) for i, t, _ in kept) == sorted(
+        [("1", one), ("1", two), ("None", one + " x"), ("3", ""), ("3", "None")])
