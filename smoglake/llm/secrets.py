@@ -68,6 +68,11 @@ class Layer:
             return start, end
         return int(self.starts[start:end].min()), int(self.ends[start:end].max())
 
+    def key(self) -> tuple[bytes, bytes]:
+        """Tells layers apart by text and origins."""
+        where = b"" if self.starts is None else np.stack([self.starts, self.ends]).astype(np.int64).tobytes()
+        return _digest(self.text), hashlib.blake2b(where, digest_size=16).digest()
+
     def inner(self, text: str, starts: np.ndarray, ends: np.ndarray) -> Layer | None:
         """A layer below this one; none if it repeats this one or one above."""
         around = self.above | {_digest(self.text)}
@@ -195,9 +200,12 @@ def scan(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int,
     text = text or ""
     base = find(text)
     spans, n_layers, oversize = set(base), 0, 0
-    work = [Layer(text, None, None, frozenset())]
+    work, seen = [Layer(text, None, None, frozenset())], set()
     while work:
         layer = work.pop()
+        if layer.key() in seen:  # reached in another order of decoding: same text, same origins
+            continue
+        seen.add(layer.key())
         if layer.starts is not None:
             n_layers += 1
             for start, kind, end in find(layer.text):

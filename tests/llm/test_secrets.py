@@ -106,3 +106,11 @@ def test_awkward_rows(awkward, no_docs, clashing):
     out = secrets.redact(clashing)
     assert out.columns == clashing.columns and out.count() == clashing.count()
     assert [f.dataType for f in out.schema] == [f.dataType for f in clashing.schema]
+
+
+def test_layers_of_two_nested_encodings_grow_with_their_depths():
+    """Percent and character escapes can be undone in any order: each (depth, depth) is one layer, not one per order."""
+    for k in (4, 8, 12):
+        text = "%" + "25" * k + "41 &#" + "38;#" * k + "65; token=abcdefgh12"
+        base, spans, layers, _ = secrets.scan(text)
+        assert layers <= (k + 2) ** 2 and base and set(base) <= set(spans)
