@@ -10,9 +10,15 @@ layer carries, for every character, the stretch of the original text it came
 from, so a finding in any layer is reported as a span of the original.
 
 Defined results: a null text is an empty one; repeated rows are scanned row
-by row; an empty table gives an empty table. Texts are scanned whole. Only
-expansion is guarded: a compressed block that would grow past
-``MAX_LAYER_BYTES`` is not expanded and is counted in ``n_oversize``.
+by row; an empty table gives an empty table. Texts are scanned whole. Base64 is
+decoded from each of the four places of a run, so a prefix glued to it does not
+matter; lines of any one width, indented or not, are one run. Bytes that are no
+UTF-8 text are searched for stretches of plain text, as single bytes and
+as UTF-16. Compressed streams are found anywhere in the decoded bytes, several
+one after another too; a damaged one is read as far as it goes. Expanded bytes
+come in overlapping windows of ``MAX_LAYER_BYTES``; a stream within a stream is
+followed within a window. Only a stream that expands beyond
+``MAX_EXPANDED_BYTES`` is cut off there and counted in ``n_oversize``.
 """
 
 from __future__ import annotations
@@ -23,6 +29,7 @@ import hashlib
 import lzma
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -40,9 +47,17 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # maximal runs, so the same as [0-9a-f]+ wit
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPES = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};)+")
 ESCAPE = re.compile(r"\\[uUx]([0-9A-Fa-f]{8}|[0-9A-Fa-f]{4}|[0-9A-Fa-f]{2})|&#([0-9]+);|&#[xX]([0-9A-Fa-f]+);")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-LINE_WIDTHS = (64, 76)  # of base64 wrapped into lines
-MAX_LAYER_BYTES = 64 << 20
+BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+SHORTEST_RUN = 16
+BASE64_LINES = re.compile(r"[A-Za-z0-9+/_-]{8,}={0,2}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+={0,2}(?=[^ \t\w]|[ \t]*\r?\n|[ \t]*\Z))*")
+MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|\x78[\x01\x5e\x9c\xda]")
+LEAST = 12  # characters of the shortest finding
+STRETCH = re.compile(rb"[\x20-\x7e\t\n\r]{12,}")
+WIDE = re.compile(rb"(?:[\x20-\x7e\t\n\r]\x00){11,}[\x20-\x7e\t\n\r]")
+MAX_LAYER_BYTES = 64 << 20  # of a window of expanded bytes
+OVERLAP = 1 << 20
+MAX_EXPANDED_BYTES = 1 << 30  # of one stream: a guard against blocks that expand without end
+RETRIES = 16
 
 
 def find(text: str) -> list[tuple[int, int, int]]:
@@ -70,7 +85,12 @@ class Layer:
 
     def key(self) -> tuple[bytes, bytes]:
         """Tells layers apart by text and origins."""
-        where = b"" if self.starts is None else np.stack([self.starts, self.ends]).astype(np.int64).tobytes()
+        if self.starts is None:
+            where = b""
+        elif self.starts.strides == (0,) and self.ends.strides == (0,):  # one span for all of an expanded text
+            where = f"{self.starts[0]}:{self.ends[0]}".encode()
+        else:
+            where = np.stack([self.starts, self.ends]).astype(np.int64).tobytes()
         return _digest(self.text), hashlib.blake2b(where, digest_size=16).digest()
 
     def inner(self, text: str, starts: np.ndarray, ends: np.ndarray) -> Layer | None:
@@ -112,87 +132,167 @@ def _escapes(run: str) -> str:
     return units.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
 
 
-def expand(data: bytes) -> tuple[bytes | None, bool]:
-    """(expanded bytes or None if not compressed, whether it was too large to expand)."""
-    try:
-        if data[:2] == b"\x1f\x8b":
-            worker = zlib.decompressobj(31)
-        elif len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0:
-            worker = zlib.decompressobj()
-        elif data[:3] == b"BZh":
-            worker = bz2.BZ2Decompressor()
-        elif data[:6] == b"\xfd7zXZ\x00":
-            worker = lzma.LZMADecompressor()
-        elif data[:4] == b"\x28\xb5\x2f\xfd":
-            import io
-
-            import zstandard
-            made = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data)).read(MAX_LAYER_BYTES + 1)
-            return (None, True) if len(made) > MAX_LAYER_BYTES else (made, False)
-        else:
-            return None, False
-        made = worker.decompress(data, MAX_LAYER_BYTES + 1)
-        return (None, True) if len(made) > MAX_LAYER_BYTES else (made, False)
-    except Exception:  # noqa: BLE001  damaged streams raise each codec's own errors; the bytes are then no layer
-        return None, False
+def _worker(data: bytes, at: int):
+    """(decompressor for the stream that starts at ``at``, bytes to feed at a time), or None."""
+    head = data[at:at + 6]
+    if head[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31), 1 << 16
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor(), 1 << 16
+    if head == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor(), 1 << 16
+    if head[:4] == b"\x28\xb5\x2f\xfd":
+        import zstandard
+        return zstandard.ZstdDecompressor().decompressobj(), 256  # it takes no output bound: a block of 128 KB may be 4 bytes
+    if len(head) > 2 and head[0] & 15 == 8 and (head[0] << 8 | head[1]) % 31 == 0:
+        return zlib.decompressobj(), 1 << 16
+    return None
+
+
+def inflate(data: bytes, at: int) -> Iterator[tuple[bytes, int, bool]]:
+    """(piece, place reached, whether the stream ended there) of the stream at ``at``; a damaged one as far as it goes."""
+    made = _worker(data, at)
+    if made is None:
+        return
+    worker, step = made
+    while at < len(data):
+        feed = data[at:at + step]
+        at += len(feed)
+        while True:
+            try:
+                piece = worker.decompress(feed) if step == 256 else worker.decompress(feed, 1 << 20)
+            except Exception:  # noqa: BLE001  damaged streams raise each codec's own errors
+                yield b"", at, False
+                return
+            if worker.eof:
+                yield piece, at - len(worker.unused_data), True
+                return
+            yield piece, at, False
+            feed = getattr(worker, "unconsumed_tail", b"")
+            if not feed and getattr(worker, "needs_input", True) and len(piece) < 1 << 20:
+                break
 
 
-def _as_text(data: bytes) -> str | None:
+def streams(data: bytes) -> tuple[list[tuple[bytes, int, int]], int]:
+    """(window of what a compressed stream in ``data`` expands to, first and last place of the stream), streams cut off.
+
+    A stream may start anywhere; the search goes on behind one that was whole and one place further
+    where it was not. Long ones come in overlapping windows. Starts that read on and break off
+    all over the block may read it ``RETRIES`` times; then the search goes on behind them too.
+    """
+    out, oversize, at, spent = [], 0, 0, 0
+    first = _worker(data, 0) is not None
+    while True:
+        if not first:
+            m = MAGIC.search(data, at)
+            if m is None:
+                return out, oversize
+            at = m.start()
+        first = False
+        held, size, end, whole, windows, last = [], 0, at, False, [], b""
+        total = 0
+        for piece, end, whole in inflate(data, at):
+            held.append(piece)
+            size += len(piece)
+            total += len(piece)
+            if size >= MAX_LAYER_BYTES:
+                window = b"".join(held)
+                if window != last:
+                    windows.append(window)
+                last, held, size = window, [window[-OVERLAP:]], OVERLAP
+                if total >= MAX_EXPANDED_BYTES:
+                    oversize += 1
+                    break
+        windows.append(b"".join(held))
+        out += [(w, at, end) for w in windows if len(w) >= LEAST]
+        if not whole:
+            spent += end - at
+        at = end if whole or spent > RETRIES * len(data) else at + 1
+
+
+def texts(data: bytes) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """(text, first byte and byte behind of each character) of the texts in decoded bytes.
+
+    Bytes that are UTF-8 text are one text. Of others, the stretches of plain ASCII are taken, as single bytes and
+    as UTF-16: every pattern and every encoding is plain ASCII, so none lies across their ends.
+    """
+    out = []
     try:
         text = data.decode("utf-8")
     except UnicodeDecodeError:
-        return None
-    plain = sum(c.isprintable() or c in "\t\n\r" for c in text)
-    return text if text and plain >= 0.9 * len(text) else None
+        text = ""
+    if text and (text.isprintable() or sum(c.isprintable() or c in "\t\n\r" for c in text) >= 0.9 * len(text)):
+        at = np.arange(len(data) + 1) if text.isascii() else np.cumsum([0, *[len(c.encode()) for c in text]])
+        out.append((text, at[:-1], at[1:]))
+    else:
+        for m in STRETCH.finditer(data):
+            at = np.arange(m.start(), m.end())
+            out.append((m[0].decode("ascii"), at, at + 1))
+    if b"\0" in data:
+        for m in WIDE.finditer(data):
+            at = np.arange(m.start(), m.end(), 2)
+            out.append((m[0][::2].decode("ascii"), at, at + 1))
+    return out
 
 
 def _runs(text: str) -> list[tuple[str, np.ndarray]]:
-    """(characters, their places) of each base64 run; full lines of a wrapped block are joined."""
+    """(characters, their places) of each base64 run; lines of one width, indented or not, are joined with the next shorter one."""
     out: list[tuple[str, np.ndarray]] = []
-    end, width = -1, 0  # of the line that the next one may continue
-    for m in BASE64.finditer(text):
-        run, places = m[0].rstrip("="), np.arange(m.start(), m.end())
-        places = places[:len(run)]
-        if width and text[end:m.start()] in ("\n", "\r\n") and len(run) <= width:
-            run, places = out[-1][0] + run, np.concatenate([out[-1][1], places])
-            out[-1] = (run, places)
-        else:
-            out.append((run, places))
-            width = len(run) if len(run) in LINE_WIDTHS else 0
-        end = m.end()
-        if m.end() - m.start() != width:
-            width = 0
-    return out
+    for block in BASE64_LINES.finditer(text):
+        width, closed = 0, True
+        for m in BASE64_RUN.finditer(text, block.start(), block.end()):
+            run = m[0].rstrip("=")
+            places = np.arange(m.start(), m.start() + len(run))
+            if not closed and len(run) <= width:
+                out[-1][0].append(run)
+                out[-1][1].append(places)
+                closed = len(run) < width
+            else:
+                out.append(([run], [places]))
+                width, closed = len(run), False
+            closed = closed or m[0] != run
+    return [("".join(r), np.concatenate(p)) for r, p in out if sum(map(len, r)) >= SHORTEST_RUN]
+
+
+def _packed(data: bytes, low: int, high: int, layer: Layer) -> tuple[list[Layer], int]:
+    """Layers of all texts in expanded bytes, and in the streams within them; nothing finer than the block's span is known."""
+    made, work, seen, oversize = [], [data], set(), 0
+    while work:
+        data = work.pop()
+        digest = hashlib.blake2b(data, digest_size=16).digest()
+        if digest in seen:
+            continue
+        seen.add(digest)
+        for text, _, _ in texts(data):
+            made.append(layer.inner(text, np.broadcast_to(low, len(text)), np.broadcast_to(high, len(text))))
+        windows, too_large = streams(data)
+        oversize += too_large
+        work += [w for w, _, _ in windows]
+    return [x for x in made if x is not None], oversize
 
 
 def _base64(layer: Layer) -> tuple[list[Layer], int]:
+    """Layers below the base64 runs of a layer. A run may be glued to a prefix, so it is decoded from each of four places."""
     made, oversize = [], 0
-    for run, places in _runs(layer.text):
-        if len(run) % 4 == 1:
-            continue
-        data = base64.b64decode(run + "=" * (-len(run) % 4), altchars=b"-_" if "-" in run or "_" in run else None)
-        seen, packed = {data}, False
-        while True:
-            wider, too_large = expand(data)
+    for run, all_places in _runs(layer.text):
+        alphabet = b"-_" if "-" in run or "_" in run else None
+        for offset in range(4):
+            part, places = run[offset:], all_places[offset:]
+            part = part[:-1] if len(part) % 4 == 1 else part
+            data = base64.b64decode(part + "=" * (-len(part) % 4), altchars=alphabet)
+            for text, first, behind in texts(data):
+                # a byte came from the characters that hold its eight bits
+                start, end = places[first * 8 // 6], places[(behind * 8 - 1) // 6]
+                made.append(layer.inner(text, start if layer.starts is None else layer.starts[start],
+                                        end + 1 if layer.ends is None else layer.ends[end]))
+            windows, too_large = streams(data)
             oversize += too_large
-            if wider is None or wider in seen:
-                break
-            packed, data = True, wider
-            seen.add(data)
-        text = _as_text(data)
-        if text is None:
-            continue
-        if packed:  # nothing finer than the whole block is known
-            low, high = layer.origin(int(places[0]), int(places[-1]) + 1)
-            starts, ends = np.full(len(text), low), np.full(len(text), high)
-        else:  # byte i came from the characters that hold its eight bits
-            at = np.cumsum([0, *[len(c.encode()) for c in text]])
-            first, last = places[at[:-1] * 8 // 6], places[(at[1:] * 8 - 1) // 6]
-            starts = first if layer.starts is None else layer.starts[first]
-            ends = last + 1 if layer.ends is None else layer.ends[last]
-        if below := layer.inner(text, starts, ends):
-            made.append(below)
-    return made, oversize
+            for window, start, end in windows:
+                low, high = layer.origin(int(places[start * 8 // 6]), int(places[(end * 8 - 1) // 6]) + 1)
+                below, too_large = _packed(window, low, high, layer)
+                made += below
+                oversize += too_large
+    return [x for x in made if x is not None], oversize
 
 
 def scan(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int, int]:

@@ -75,12 +75,64 @@ def test_cycles_and_bombs_end():
     for _ in range(12):
         nested = base64.b64encode(nested.encode()).decode()
     assert {"access", "assign"} <= {secrets.KINDS[k] for _, k, _ in secrets.scan(nested)[1]}
-    before = secrets.MAX_LAYER_BYTES
-    secrets.MAX_LAYER_BYTES = 1000
-    try:
-        assert secrets.scan(base64.b64encode(gzip.compress(b"a" * 5000)).decode())[3] == 1
-    finally:
-        secrets.MAX_LAYER_BYTES = before
+
+
+def kinds_in(text):
+    return {secrets.KINDS[k] for _, k, _ in secrets.scan(text)[1]}
+
+
+def wrapped(blob, width, indent=""):
+    return "\n".join(indent + blob[i:i + width] for i in range(0, len(blob), width))
+
+
+def test_base64_glued_to_a_prefix():
+    for raw in (SECRET.encode(), gzip.compress(SECRET.encode()), zlib.compress(SECRET.encode())):
+        for blob in (base64.b64encode(raw).decode(), base64.urlsafe_b64encode(raw).decode().rstrip("=")):
+            for glue in ("a", "ab", "dir/", "id-", "xyz_", "/usr/local/lib/", "k="):
+                assert {"access", "assign"} <= kinds_in("see " + glue + blob + " there"), (glue, raw[:4])
+
+
+def test_bytes_that_are_not_utf8():
+    long = "clé " + SECRET + " à la fin"
+    for raw in (long.encode("latin-1"), long.encode("utf-16"), long.encode("utf-16-be"), long.encode("utf-16-le"),
+                bytes(range(256)) + SECRET.encode() + bytes(range(255, 0, -1)), long.encode()[:-2] + b"\xc3"):
+        for data in (raw, gzip.compress(raw), lzma.compress(raw)):
+            assert {"access", "assign"} <= kinds_in("v: " + base64.b64encode(data).decode())
+
+
+def test_lines_of_any_width_members_and_damaged_streams():
+    import random
+    noise = "".join(random.Random(3).choices("abcdefgh ijklmnop\n", k=900))
+    whole = gzip.compress((noise + SECRET + noise).encode())
+    blob = base64.b64encode(whole).decode()
+    for width in (20, 48, 60, 64, 70, 76, 100):
+        for indent in ("", "  ", "\t"):
+            assert {"access", "assign"} <= kinds_in("data:\n" + wrapped(blob, width, indent) + "\nend of it\n"), (width, indent)
+    two = gzip.compress(noise.encode()) + gzip.compress(SECRET.encode())
+    other = bz2.compress(noise.encode()) + lzma.compress(SECRET.encode())
+    for data in (two, other, b"head" + two + b"tail", whole[:-9]):
+        assert {"access", "assign"} <= kinds_in(base64.b64encode(data).decode())
+
+
+def test_windows_and_the_guard_against_endless_expansion(monkeypatch):
+    monkeypatch.setattr(secrets, "MAX_LAYER_BYTES", 4000)
+    monkeypatch.setattr(secrets, "OVERLAP", 200)
+    import zstandard
+    for pad in (3900, 3990, 20_000):
+        raw = ("word " * (pad // 5) + SECRET + " word" * 3000).encode()
+        for data in (gzip.compress(raw), bz2.compress(raw), zstandard.ZstdCompressor().compress(raw)):
+            _, spans, _, oversize = secrets.scan(base64.b64encode(data).decode())
+            assert {k for _, k, _ in spans} >= {0, 1} and oversize == 0
+    monkeypatch.setattr(secrets, "MAX_EXPANDED_BYTES", 50_000)
+    assert secrets.scan(base64.b64encode(gzip.compress(b"a" * 5_000_000)).decode())[3] == 1
+
+
+def test_starts_that_break_off_cost_at_most_a_few_reads():
+    import time
+    start = time.time()
+    broken = b"".join(b"\x78\x01\x00\x08\x00\xf7\xff" + b"x" * 8 for _ in range(20_000))
+    secrets.scan(base64.b64encode(broken).decode())
+    assert time.time() - start < 20
 
 
 def test_redaction_leaves_no_secret():
