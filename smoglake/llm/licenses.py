@@ -56,30 +56,124 @@ TEMPLATES = {
         contract tort or otherwise arising from out of or in connection with the software or the use or other
         dealings in the software<</optional>>""",
     ],
-    "gpl-3": [
-        "{licensed|released|distributed} under the <<optional>>terms of the<</optional>> gnu general public license "
-        "<<optional>>{gpl|as published by the free software foundation}<</optional>> {version 3|v3|either version 3}",
-    ],
-    "gpl-2": [
-        "{licensed|released|distributed} under the <<optional>>terms of the<</optional>> gnu general public license "
-        "<<optional>>{gpl|as published by the free software foundation}<</optional>> {version 2|v2|either version 2}",
-    ],
-    "cc-by-nc": [
-        "licensed under <<optional>>a<</optional>> <<optional>>the<</optional>> "
-        "{cc by nc|creative commons attribution noncommercial|creative commons attribution non commercial} "
-        "<<optional>>{1 0|2 0|2 5|3 0|4 0}<</optional>> <<optional>>international<</optional>> <<optional>>license<</optional>>",
-    ],
     "bsd": [
         """redistribution and use in source and binary forms with or without modification are permitted provided that
         the following conditions are met <<optional>>1<</optional>> redistributions of source code must retain the above copyright
         notice this list of conditions and the following disclaimer <<optional>>2<</optional>> redistributions in binary form must
         reproduce the above copyright notice this list of conditions and the following disclaimer in the
-        documentation and or other materials provided with the distribution""",
+        documentation and or other materials provided with the distribution
+        <<optional>><<optional>>3<</optional>> neither the name of <<any 12>> nor the names of its contributors may be used to
+        endorse or promote products derived from this software without specific prior written permission<</optional>>""",
         "licensed under <<optional>>the<</optional>> bsd {2 clause|3 clause|style} license",
     ],
+    "mpl-2": [
+        """this source code form is subject to the terms of the mozilla public license {v 2 0|v2 0|version 2 0}
+        <<optional>>if a copy of the mpl was not distributed with this file you can obtain one at
+        <<optional>>{http|https}<</optional>> <<optional>>www<</optional>> mozilla org mpl 2 0<</optional>>""",
+        "{licensed|released|distributed|available} under the <<optional>>terms of the<</optional>> mozilla public license "
+        "{v 2 0|v2 0|version 2 0|2 0}",
+        "mozilla public license version 2 0 <<optional>>1 definitions<</optional>>",
+    ],
+    "mpl-1.1": [
+        """the contents of this file are subject to the mozilla public license version 1 1 <<optional>>the license<</optional>>
+        you may not use this file except in compliance with the license""",
+    ],
+    "isc": [
+        """permission to use copy modify {and or|and} distribute this software for any purpose with or without fee is hereby
+        granted provided that the above copyright notice and this permission notice appear in all copies
+        <<optional>>the software is provided as is and <<any 6>> disclaims all warranties with regard to this software
+        including all implied warranties of merchantability and fitness<</optional>>""",
+        "{licensed|released|distributed|available} under the <<optional>>terms of the<</optional>> isc license",
+    ],
+    "unlicense": ["this is free and unencumbered software released into the public domain"],
+    "zlib": [
+        """this software is provided as is without any express or implied warranty in no event will the authors be held
+        liable for any damages arising from the use of this software permission is granted to anyone to use this software
+        for any purpose including commercial applications and to alter it and redistribute it freely""",
+    ],
+    "boost-1": [
+        "{licensed|released|distributed|available} under the boost software license version 1 0",
+        "boost software license version 1 0 <<optional>>august 17th 2003<</optional>>",
+    ],
+    "epl-2": [
+        """made available under the terms of the eclipse public license {v 2 0|v2 0|version 2 0|2 0}
+        <<optional>>which {is available|accompanies this distribution and is available} at<</optional>>""",
+    ],
     "all-rights-reserved": ["all rights reserved"],
 }
 
+# Names, versions and title dates of the GNU licenses.
+GNU = {
+    "gpl-2": ("gnu general public license", "2", "june 1991"),
+    "gpl-3": ("gnu general public license", "3", "29 june 2007"),
+    "lgpl-2": ("gnu library general public license", "2", "june 1991"),
+    "lgpl-2.1": ("gnu lesser general public license", "2 1", "february 1999"),
+    "lgpl-3": ("gnu lesser general public license", "3", "29 june 2007"),
+    "agpl-3": ("gnu affero general public license", "3", "19 november 2007"),
+}
+
+# Parts of the Creative Commons licenses, as written out and in short.
+CREATIVE = {
+    "cc-by": ("attribution", "by"),
+    "cc-by-sa": ("attribution {sharealike|share alike}", "by sa"),
+    "cc-by-nd": ("attribution {noderivatives|noderivs|no derivatives}", "by nd"),
+    "cc-by-nc": ("attribution {noncommercial|non commercial}", "by nc"),
+    "cc-by-nc-sa": ("attribution {noncommercial|non commercial} {sharealike|share alike}", "by nc sa"),
+    "cc-by-nc-nd": ("attribution {noncommercial|non commercial} {noderivatives|noderivs|no derivatives}", "by nc nd"),
+}
+
+# Identifiers after "SPDX-License-Identifier:", as words.
+SPDX = {
+    "apache-2": "apache 2 0", "mit": "{mit|mit 0|x11}", "bsd": "{0bsd|bsd 2 clause|bsd 3 clause}", "isc": "isc",
+    "mpl-1.1": "mpl 1 1", "mpl-2": "mpl 2 0", "epl-2": "epl 2 0", "boost-1": "bsl 1 0", "zlib": "zlib", "unlicense": "unlicense",
+    "gpl-2": "gpl 2 0", "gpl-3": "gpl 3 0", "lgpl-2": "lgpl 2 0", "lgpl-2.1": "lgpl 2 1", "lgpl-3": "lgpl 3 0", "agpl-3": "agpl 3 0",
+    "cc-by": "cc by {1 0|2 0|2 5|3 0|4 0}", "cc-by-sa": "cc by sa {1 0|2 0|2 5|3 0|4 0}", "cc-by-nc": "cc by nc {1 0|2 0|2 5|3 0|4 0}",
+    "cc0": "cc0 1 0",
+}
+
+
+def _gnu(name: str, version: str, date: str) -> list[str]:
+    number = version if " " in version else f"{version} <<optional>>0<</optional>>"
+    number = f"{{version {number}|v {number}|v{number}}}"
+    founded = "as published by the free software foundation"
+    later = "<<optional>>of the license<</optional>> <<optional>>or at your option any later version<</optional>>"
+    return [
+        f"""you can redistribute it and or modify it under the terms of the {name}
+        {{{founded} <<optional>>either<</optional>> {number}|{number} <<optional>>only<</optional>> {founded}}} {later}""",
+        f"""{{licensed|released|distributed|available}} under the <<optional>>terms of the<</optional>> {name}
+        <<optional>>{{gpl|lgpl|agpl|{founded}}}<</optional>> <<optional>>either<</optional>> {number} {later}""",
+        f"{name} version {version} {date}",
+    ]
+
+
+def _creative(name: str, short: str) -> list[str]:
+    versions = "{1 0|2 0|2 5|3 0|4 0}"
+    ends = "<<optional>>{international|unported|generic}<</optional>> <<optional>>{license|licence}<</optional>>"
+    return [
+        f"""licensed under <<optional>>{{a|the}}<</optional>> {{cc {short}|creative commons {name}}}
+        {{{versions}|<<optional>>international<</optional>> {{license|licence}}}} {ends}""",
+        f"creativecommons org licenses {short} {versions}",
+    ]
+
+
+def _spdx(identifier: str) -> str:
+    """The tag, other identifiers joined to it, then the one sought."""
+    others = "<<optional>>{" + "|".join(SPDX.values()) + "} <<optional>>{only|or later}<</optional>> {or|and}<</optional>>"
+    return f"spdx license identifier {others} {others} {identifier} <<optional>>{{only|or later}}<</optional>>"
+
+
+def templates() -> dict[str, list[str]]:
+    """All templates by label."""
+    out = {label: list(texts) for label, texts in TEMPLATES.items()}
+    for made in ({k: _gnu(*v) for k, v in GNU.items()}, {k: _creative(*v) for k, v in CREATIVE.items()},
+                 {k: [_spdx(v)] for k, v in SPDX.items()}, {"cc0": ["creativecommons org publicdomain zero 1 0"]},
+                 # short forms that the phrase for this label also stands for, without a version
+                 {"cc-by-nc": ["licensed under <<optional>>{a|the}<</optional>> {cc by nc|creative commons attribution noncommercial|"
+                               "creative commons attribution non commercial}"]}):
+        for label, texts in made.items():
+            out.setdefault(label, []).extend(texts)
+    return out
+
 WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")  # after lower-casing, over UTF-8
 MARKUP = re.compile(r"<<optional>>|<</optional>>|<<any \d+>>|[{}|]|[^\s{}|<]+")
 
@@ -164,9 +258,11 @@ def compiled() -> list[tuple[str, Automaton, bytes]]:
     """(label, automaton, rarest mandatory word) per template. A text without that word needs no run."""
     common = {"the", "of", "and", "to", "in", "a", "is", "this", "or", "for", "under", "by", "all", "be", "on", "with"}
     out = []
-    for label, templates in TEMPLATES.items():
-        for text in templates:
-            bare = re.sub(r"\{[^{}]*\}", " ", text)
+    for label, texts in templates().items():
+        for text in texts:
+            bare = text
+            while "{" in bare:
+                bare = re.sub(r"\{[^{}]*\}", " ", bare)
             while "<<optional>>" in bare:
                 bare = re.sub(r"<<optional>>((?!<<optional>>).)*?<</optional>>", " ", bare, flags=re.S)
             must = [w for w in re.sub(r"<<any \d+>>", " ", bare).split() if w not in common]
@@ -178,10 +274,16 @@ def _phrase_words() -> list[tuple[list[bytes], str]]:
     return [(p.encode().split(), label) for p, label in PHRASES.items()]
 
 
+@functools.cache
+def _sought() -> list[bytes]:
+    """A few strings, one of which every phrase and template holds."""
+    musts = sorted({m for _, _, m in compiled()} | {b"license"}, key=len)
+    return [m for i, m in enumerate(musts) if not any(short in m for short in musts[:i])]
+
+
 def may_match(low: bytes) -> bool:
     """Whether a text can hold a phrase or template: each has a mandatory word that is sought here."""
-    return (b"license" in low or b"permission" in low or b"redistribution" in low or b"reserved" in low
-            or (b"cc" in low and b"by" in low and b"nc" in low))
+    return any(m in low for m in _sought()) or (b"cc" in low and b"by" in low and b"nc" in low)
 
 
 def scan(text: str | None) -> tuple:
