@@ -1,19 +1,22 @@
 """Brown class-based n-gram scoring.
 
-The ``CLUSTERED`` most frequent training words are put into ``CLASSES``
-classes by exchange clustering: word after word moves to the class that
-raises the likelihood of the class bigrams most, until no word moves. All
-other words, unknown ones included, form one rare class; the end of a text is
-a class of its own. The probability of a text is the product over its tokens
-of the transition from the class before and the emission of the word from its
-class, both smoothed.
-
-All training text is counted. The vocabulary is a distributed table and is
+Exchange clustering assigns words to classes. The most frequent training words are clustered first:
+word after word moves to the class that raises the likelihood of the class bigrams most, until
+no word moves. Their number and the number of classes grow with the fourth root of the vocabulary
+(``clustered_words``, ``class_count``). Then every other training word gets, in one job, the class of its best exchange gain, from the
+counts of the classes beside it. So each training word has a class; the end of a text is a class of its own.
+
+The probability of a text is the product over its tokens of the transition from the class before
+(smoothed by a constant) and the emission of the word from its class (absolute discounting, the
+discount from the numbers of words seen once and twice). What the discount leaves in the classes is the
+probability of unknown words, spread evenly over the estimated number of unseen words; as a context an
+unknown word stands for the classes by what they leave.
+
+All training text is counted. The vocabulary with its classes is a distributed table and is
 never gathered: words above a count threshold, at most ``HEAD`` of them, go to
-the workers as a broadcast of that bounded size; the other words of each
-document are looked up by a join with the vocabulary. As the frequent words are
-taken out before it, that join has no hot key. The clustering sees a matrix
-of ``CLUSTERED`` + 2 squared counts, whatever the corpus.
+the workers as a broadcast of that bounded size; pairs with other words are resolved by joins with the
+vocabulary. As the frequent words are taken out before them, these joins have no hot key. ``HEAD`` changes only what is
+joined, not the result. The clustering sees a matrix of the clustered words squared.
 
 Words are compared by 64-bit codes. Defined results: a null text is an empty one
 and has only its end token; repeated rows are scored row by row; without training
@@ -34,8 +37,8 @@ from pyspark.sql import types as T
 from .common import DOUBLE, LONG, field, id_remainder, load_documents, map_columns, staged
 from .shingles import word_codes
 
-CLUSTERED = 1024
-CLASSES = 64
+CLUSTERED = 64  # times the fourth root of the vocabulary
+CLASSES = 3  # likewise
 HEAD = 200_000
 ROUNDS = 12  # of exchange at most
 CHUNK = 2_000_000  # tokens counted at a time in a worker
@@ -121,7 +124,7 @@ def _entropy(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
 
-def exchange(counts: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) -> np.ndarray:
+def exchange(counts: np.ndarray, classes: int, rounds: int = ROUNDS) -> np.ndarray:
     """Class of each row of the bigram matrix; the last two rows (rare, end) are classes of their own and stay.
 
     Words start by frequency rank modulo ``classes``. A word moves to the
@@ -179,77 +182,254 @@ def exchange(counts: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) -
     return label
 
 
+def clustered_words(vocabulary_size: int) -> int:
+    return int(np.ceil(CLUSTERED * vocabulary_size ** 0.25))
+
+
+def class_count(vocabulary_size: int) -> int:
+    return int(np.ceil(CLASSES * vocabulary_size ** 0.25))
+
+
+def contexts(train: DataFrame, words: np.ndarray, label: np.ndarray) -> DataFrame:
+    """(code, beside: list of (at, n)) of the words that are not clustered: how often each class stands behind (at)
+    and before (at + number of classes) them. A list has at most two entries a class."""
+    k, c = len(words), int(label.max()) + 1
+    shared = train.sparkSession.sparkContext.broadcast((words, label))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, class_of = shared.value
+        codes, sides, held = [], [], 0
+
+        def counted():
+            code, side = np.concatenate(codes), np.concatenate(sides)
+            order = np.lexsort((side, code))
+            code, side = code[order], side[order]
+            new = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (side[1:] != side[:-1])]))
+            n = np.diff(np.append(new, len(code)))
+            return pa.RecordBatch.from_arrays([pa.array(code[new].view(np.int64)), pa.array(side[new].astype(np.int32)),
+                                               pa.array(n.astype(np.int64))], names=["code", "at", "n"])
+
+        for batch in batches:
+            for found in _texts(batch):
+                ids = np.concatenate([[k + 1], places(found, table, k), [k + 1]])
+                other = np.flatnonzero(ids == k)
+                codes += [found[other - 1]] * 2
+                sides += [class_of[ids[other + 1]], class_of[ids[other - 1]] + c]
+                held += 2 * len(other)
+                if held >= CHUNK:
+                    yield counted()
+                    codes, sides, held = [], [], 0
+        if held:
+            yield counted()
+
+    return (train.select("text").mapInArrow(run, "code long, at int, n long").groupBy("code", "at").agg(F.sum("n").alias("n"))
+            .groupBy("code").agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("beside")))
+
+
+def best_class(joint: np.ndarray, classes: int, starts: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Class of the greatest exchange gain for words with entries (at, n) from ``starts[i]`` on; the first of equal ones."""
+    c = len(joint)
+    words = len(starts) - 1
+    if not classes or not words:
+        return np.zeros(words, np.int64)
+    n = n.astype(float)
+    word = np.repeat(np.arange(words), np.diff(starts))
+    behind = np.concatenate([joint[:classes], joint[:, :classes].T], axis=1)  # class x what stands behind, then before
+    gain = np.zeros((words, classes))
+    for low in range(0, len(at), 1 << 15):
+        part = slice(low, low + (1 << 15))
+        have = behind[:, at[part]].T
+        np.add.at(gain, word[part], _entropy(have + n[part, None]) - _entropy(have))
+    side = np.zeros((2, words, classes))  # neighbours of the class itself on both sides share a cell
+    total = np.zeros((2, words))
+    for s in range(2):
+        mine = (at >= c) == bool(s)
+        np.add.at(total[s], word[mine], n[mine])
+        own = mine & (at % c < classes)
+        side[s, word[own], at[own] % c] = n[own]
+    diagonal = np.diagonal(joint)[:classes]
+    gain += (_entropy(diagonal + side[0] + side[1]) - _entropy(diagonal + side[0]) - _entropy(diagonal + side[1]) + _entropy(diagonal))
+    for s, sums in enumerate((joint.sum(1), joint.sum(0))):
+        gain -= _entropy(sums[:classes] + total[s][:, None]) - _entropy(sums[:classes])
+    return gain.argmax(1)
+
+
+def classified(vocab: DataFrame, beside: DataFrame, words: np.ndarray, label: np.ndarray, joint: np.ndarray) -> DataFrame:
+    """(code, c, cls): the vocabulary with the class of every word."""
+    k, classes = len(words), int(label[len(words)])
+    shared = vocab.sparkSession.sparkContext.broadcast((words, label, joint))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, class_of, counts = shared.value
+        for batch in batches:
+            found = places(batch["code"].to_numpy().view(np.uint64), table, k)
+            cls = class_of[found]
+            rest = batch.filter(pa.array(found == k))
+            lists = rest["beside"]
+            flat = lists.flatten()
+            sizes = np.asarray(lists.value_lengths().fill_null(0))
+            starts = np.concatenate([[0], np.cumsum(sizes)])
+            cls[found == k] = best_class(counts, classes, starts, flat.field("at").to_numpy(), flat.field("n").to_numpy())
+            yield pa.RecordBatch.from_arrays([batch["code"], batch["c"], pa.array(cls.astype(np.int32))], names=["code", "c", "cls"])
+
+    return staged(vocab.join(beside, "code", "left").mapInArrow(run, "code long, c long, cls int"), "lm-classes")
+
+
+def neighbours(codes: np.ndarray, known: np.ndarray, class_of: np.ndarray, end: int):
+    """(class before or -1, its word, class or -1, word) of each token of a text and its end; -1 where the word is not in the head."""
+    at = places(codes, known, -1)
+    cls = np.concatenate([[end], np.where(at >= 0, class_of[at] if len(class_of) else 0, -1), [end]]).astype(np.int32)
+    word = np.concatenate([[0], codes.view(np.int64), [0]]).astype(np.int64)
+    word[cls >= 0] = 0
+    return cls[:-1], word[:-1], cls[1:], word[1:], at
+
+
+PAIRS = T.StructType([field("p", T.IntegerType()), field("p_code", LONG), field("t", T.IntegerType()), field("t_code", LONG),
+                      field("n", LONG)])
+
+
+def resolved(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``pairs`` with the classes of words that the head lacks looked up: ``p`` and ``t`` stay -1 for unknown words; ``c`` is
+    the count of the second word where it was looked up."""
+    out = pairs.withColumn("c", F.lit(None).cast("long"))
+    for side in ("p", "t"):
+        table = classes.select(F.col("code").alias(f"{side}_code"), F.col("c").alias("_c"), F.col("cls").alias("_cls"))
+        open_ = out.filter(F.col(side) < 0).join(table, f"{side}_code", "left").withColumn(side, F.coalesce("_cls", F.col(side)))
+        if side == "t":
+            open_ = open_.withColumn("c", F.col("_c"))
+        out = out.filter(F.col(side) >= 0).unionByName(open_.drop("_c", "_cls"))
+    return out
+
+
+def transitions(train: DataFrame, codes: np.ndarray, class_of: np.ndarray, classes: DataFrame, c: int) -> np.ndarray:
+    """Counts of (class before, class) over all training tokens and ends; class ``c`` is the end."""
+    shared = train.sparkSession.sparkContext.broadcast((codes, class_of))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, labels = shared.value
+        counts = np.zeros((c + 1, c + 1), np.int64)
+        kept, held = [], 0
+
+        def counted(columns):
+            table = pa.table(columns, names=["p", "p_code", "t", "t_code"])
+            made = table.group_by(["p", "p_code", "t", "t_code"]).aggregate([([], "count_all")])
+            return (made.select(["p", "p_code", "t", "t_code", "count_all"]).rename_columns(["p", "p_code", "t", "t_code", "n"])
+                    .combine_chunks().to_batches())
+
+        for batch in batches:
+            for found in _texts(batch):
+                p, pw, t, tw, _ = neighbours(found, known, labels, c)
+                both = (p >= 0) & (t >= 0)
+                np.add.at(counts, (p[both], t[both]), 1)
+                if not both.all():
+                    kept.append([x[~both] for x in (p, pw, t, tw)])
+                    held += len(kept[-1][0])
+                if held >= CHUNK:
+                    yield from counted([np.concatenate(x) for x in zip(*kept, strict=True)])
+                    kept, held = [], 0
+        if held:
+            yield from counted([np.concatenate(x) for x in zip(*kept, strict=True)])
+        p, t = np.nonzero(counts)
+        nothing = np.zeros(len(p), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(p.astype(np.int32)), pa.array(nothing), pa.array(t.astype(np.int32)), pa.array(nothing),
+                                          pa.array(counts[p, t])], names=["p", "p_code", "t", "t_code", "n"])
+
+    pairs = staged(train.select("text").mapInArrow(run, PAIRS).groupBy("p", "p_code", "t", "t_code").agg(F.sum("n").alias("n")), "lm-pairs")
+    out = np.zeros((c + 1, c + 1))
+    for r in resolved(pairs, classes).groupBy("p", "t").agg(F.sum("n").alias("n")).collect():  # at most classes squared
+        out[r["p"], r["t"]] = r["n"]
+    return out
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mod: int = MOD, held_out: int = HELD_OUT,
-          clustered: int = CLUSTERED, classes: int = CLASSES, head_words: int = HEAD, smoothing: float = 0.5) -> DataFrame:
+          clustered: int | None = None, classes: int | None = None, head_words: int = HEAD, smoothing: float = 0.5) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of ``docs``."""
     spark = docs.sparkSession
     keyed = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"),
                         (id_remainder(id_col, mod) == held_out).alias("held_out"))
     train = keyed.filter(~F.col("held_out"))
     vocab = vocabulary(train)
-    sums = vocab.agg(F.sum("c"), F.count(F.lit(1))).first()
+    sums = vocab.agg(F.sum("c"), F.count(F.lit(1)), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
     ends = train.select("id").count()
-    n_all, v_all = int(sums[0] or 0) + ends, int(sums[1]) + (ends > 0)
-    codes, counts = frequent(vocab, head_words)
+    n_words, v_words, once, twice = (int(x or 0) for x in sums)
+    n_all, v_all = n_words + ends, v_words + (ends > 0)
+    clustered = clustered_words(v_words) if clustered is None else clustered
+    codes, counts = frequent(vocab, max(head_words, 2 * clustered))
     top = np.sort(np.lexsort((codes, -counts))[:clustered])  # places in the head of the words to cluster
-    words, k = codes[top], len(top)
+    words = codes[top]
     matrix = bigrams(train, words)
-    label = exchange(matrix, classes)
-    c = int(label.max()) + 1
-    member = np.zeros((k + 2, c))
-    member[np.arange(k + 2), label] = 1
-    joint = member.T @ matrix @ member
-    moves = np.log10((joint + smoothing) / (joint.sum(1, keepdims=True) + smoothing * c))
-    in_class = np.bincount(label[:k], counts[top], c) if k else np.zeros(c)
-    # emissions of head words: from their class, or from the rare class with add-one smoothing
-    n_rare, v_rare = n_all - ends - int(counts[top].sum()), v_all - (ends > 0) - k
-    rare_floor = float(np.log10(n_rare + v_rare + 1))
-    emit = np.log10(counts + 1.0) - rare_floor
-    emit[top] = np.log10(counts[top] / in_class[label[:k]]) if k else 0
-    head_class = np.full(len(codes), label[k], np.int64)
-    head_class[top] = label[:k]
+    label = exchange(matrix, class_count(v_words) if classes is None else classes)
+    member = np.zeros((len(label), int(label.max()) + 1))
+    member[np.arange(len(label)), label] = 1
+    table = classified(vocab, contexts(train, words, label), words, label, member.T @ matrix @ member)
+    c = int(label[len(words)])  # classes of words; the end is class c, an unknown word as a context c + 1
+
+    if len(codes):
+        least = int(counts.min())
+        head = table.filter(F.col("c") >= least).toArrow()  # the rows of ``codes``, so as bounded
+        order = np.argsort(head["code"].to_numpy().view(np.uint64))
+        class_of = head["cls"].to_numpy()[order]
+    else:
+        class_of = np.zeros(0, np.int32)
+    mass, types = np.zeros(c), np.zeros(c)
+    for r in table.groupBy("cls").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect():  # a row per class
+        mass[r["cls"]], types[r["cls"]] = r["n"], r["v"]
+    discount = (once + 1) / (once + 2 * twice + 2)
+    left = np.append(np.where(mass > 0, discount * types / np.maximum(mass, 1), 1.0), 0.0)  # the end leaves nothing
+    unseen = max(1.0, once * (once - 1) / (2 * (twice + 1)))  # words not seen, as Chao estimates them
+    joint = transitions(train, codes, class_of, table, c)
+    joint = np.concatenate([joint, (left @ joint)[None]])
+    chance = (joint + smoothing) / (joint.sum(1, keepdims=True) + smoothing * (c + 1))
+    moves = np.log10(chance)  # row: class before, end or unknown; column: class or end
+    unknown = np.log10(np.maximum(chance @ left, 1e-300) / unseen)
+    class_log = np.log10(np.maximum(np.append(mass, 1.0), 1.0))
+    emit = np.log10(counts - discount) - class_log[class_of]
     base_floor = float(np.log10(n_all + v_all + 1)) if n_all else 0.0
-    model = spark.sparkContext.broadcast((codes, np.log10(counts + 1.0), emit, head_class, moves))
-    end, rare = int(label[k + 1]), int(label[k])
+    model = spark.sparkContext.broadcast((codes, np.log10(counts + 1.0), emit, class_of, moves))
 
     def run(texts):
-        known_codes, base, emission, class_of, log_moves = model.value
-        out = [[] for _ in range(6)]
+        known, base, emission, labels, log_moves = model.value
+        out = [[] for _ in range(5)]
         for text in texts:
             found = word_codes(text)
-            at = places(found, known_codes, -1)
+            p, pw, t, tw, at = neighbours(found, known, labels, c)
             head = at >= 0
-            seq = np.full(len(found) + 2, rare, np.int64)
-            seq[0] = seq[-1] = end
-            inner = seq[1:-1]
-            inner[head] = class_of[at[head]]
-            tail, times = np.unique(found[~head], return_counts=True)
+            both = (p >= 0) & (t >= 0)
+            rest = np.stack([p, pw, t, tw], axis=1)[~both]
+            pairs, times = np.unique(rest, axis=0, return_counts=True)
             row = (len(found) + 1, int(head.sum()), float(base[at[head]].sum()),
-                   float(log_moves[seq[:-1], seq[1:]].sum() + emission[at[head]].sum()),
-                   tail.view(np.int64).tolist(), times.tolist())
+                   float(log_moves[p[both], t[both]].sum() + emission[at[head]].sum()),
+                   [(*pair, n) for pair, n in zip(pairs.tolist(), times.tolist(), strict=True)])
             for column, value in zip(out, row, strict=True):
                 column.append(value)
         return out
 
-    longs = T.ArrayType(LONG)
     made = [field("n_tokens", LONG), field("n_head", LONG), field("head_base", DOUBLE), field("head_score", DOUBLE),
-            field("codes", longs), field("times", longs)]
+            field("pairs", T.ArrayType(PAIRS))]
     rows = staged(map_columns(keyed, ["text"], made, run, ["id", "held_out"])
                   .withColumn("row", F.monotonically_increasing_id()), "lm-rows")
-    # the other words, by a join with the vocabulary
-    tail = rows.select("row", F.explode(F.arrays_zip("codes", "times")).alias("t")).select(
-        "row", F.col("t.codes").alias("code"), F.col("t.times").alias("n"))
-    met = tail.join(vocab, "code")  # words without a count add log10(0 + 1) = 0
-    per_row = met.groupBy("row").agg(F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("tail_log"), F.sum("n").alias("tail_known"))
-    n_tail = F.col("n_tokens") - 1 - F.col("n_head")
-    log = F.coalesce("tail_log", F.lit(0.0))
+    # pairs with words outside the head, by joins with the vocabulary
+    pairs = resolved(rows.select("row", F.inline("pairs")), table)
+    steps = [(p if p <= c else -1, t, float(moves[p, t] - class_log[t])) for p in range(c + 2) for t in range(c + 1)]
+    steps += [(p if p <= c else -1, -1, float(unknown[p])) for p in range(c + 2)]
+    step = spark.createDataFrame(steps, "p int, t int, step double")  # classes squared rows
+    looked_up = F.col("t_code") != 0
+    of_tail = F.when(F.col("c").isNotNull(), F.log10(F.col("c") - F.lit(discount)))
+    # a head word or end behind a word that was looked up: its emission is in head_score, only the move is added
+    of_head = F.when((F.col("t") >= 0) & ~looked_up, F.col("class_log"))
+    logs = spark.createDataFrame([(t, float(class_log[t])) for t in range(c + 1)], "t int, class_log double")
+    per_row = (pairs.join(F.broadcast(step), ["p", "t"]).join(F.broadcast(logs), "t", "left")
+               .groupBy("row").agg(
+                   F.sum(F.col("n") * (F.col("step") + F.coalesce(of_tail, of_head, F.lit(0.0)))).alias("tail_score"),
+                   F.sum(F.when(F.col("c").isNotNull(), F.col("n") * F.log10(F.col("c") + 1))).alias("tail_log"),
+                   F.sum(F.when(F.col("c").isNotNull(), F.col("n"))).alias("tail_known")))
     end_log = float(np.log10(ends + 1))
-    return rows.drop("codes", "times").join(per_row, "row", "left").select(
+    return rows.drop("pairs").join(per_row, "row", "left").select(
         F.col("id").alias(id_col), "held_out", "n_tokens",
         (F.col("n_head") + F.coalesce("tail_known", F.lit(0)) + F.lit(int(ends > 0))).cast("long").alias("n_known"),
         F.lit(n_all).cast("long").alias("train_tokens"),
-        (F.col("head_base") + log + end_log - F.col("n_tokens") * base_floor).alias("base_score"),
-        (F.col("head_score") + log - n_tail * rare_floor).alias("score"))
+        (F.col("head_base") + F.coalesce("tail_log", F.lit(0.0)) + end_log - F.col("n_tokens") * base_floor).alias("base_score"),
+        (F.col("head_score") + F.coalesce("tail_score", F.lit(0.0))).alias("score"))
 
 
 def op5_class_lm(spark, sf_dir: str) -> DataFrame:

@@ -81,6 +81,82 @@ def test_small_head_and_joined_tail_agree(spark):
         assert math.isclose(r.score, small[i].score, rel_tol=1e-9)
 
 
+def model_scores(rows, clustered, classes, smoothing=0.5):
+    """Scores by dictionaries: clusters the head, then tries every class for every further word."""
+    code = lambda w: int(word_codes(w)[0])
+    train = [tokens(text) for i, text in rows if not held(i)]
+    count = Counter(t for found in train for t in found if t is not None)
+    head = sorted(count, key=lambda w: (-count[w], code(w)))[:clustered]
+    place = {w: i for i, w in enumerate(sorted(head, key=code))}
+    k = len(place)
+    matrix = np.zeros((k + 2, k + 2), np.int64)
+    for found in train:
+        for a, b in zip([None, *found], found):
+            matrix[k + 1 if a is None else place.get(a, k), k + 1 if b is None else place.get(b, k)] += 1
+    label = class_lm.exchange(matrix, classes)
+    c = int(label[k])
+    member = np.eye(c + 2)[label]
+    joint = member.T @ matrix @ member
+    beside = {w: Counter() for w in count if w not in place}
+    state = lambda w: c + 1 if w is None else int(label[place.get(w, k)])
+    for found in train:
+        for a, w, b in zip([None, *found], found, [*found[1:], None]):
+            if w in beside:
+                beside[w][state(a), True] += 1
+                beside[w][state(b), False] += 1
+    xlogx = lambda x: x * math.log(x) if x > 0 else 0.0
+    cls = {w: int(label[i]) for w, i in place.items()}
+    for w, near in beside.items():
+        gains = []
+        for g in range(c):
+            new = joint.copy()
+            for (x, before), n in near.items():
+                new[(x, g) if before else (g, x)] += n
+            gain = sum(xlogx(new[at]) - xlogx(joint[at]) for at in {(x, g) if before else (g, x) for x, before in near})
+            total = count[w]
+            gain -= xlogx(joint.sum(1)[g] + total) - xlogx(joint.sum(1)[g]) + xlogx(joint.sum(0)[g] + total) - xlogx(joint.sum(0)[g])
+            gains.append(gain)
+        cls[w] = max(range(c), key=lambda g: (gains[g] > max(gains) - 1e-9, -g))
+    n1, n2 = sum(n == 1 for n in count.values()), sum(n == 2 for n in count.values())
+    d = (n1 + 1) / (n1 + 2 * n2 + 2)
+    mass = [sum(count[w] for w in count if cls[w] == g) for g in range(c)]
+    left = [d * sum(g == cls[w] for w in count) / mass[g] if mass[g] else 1.0 for g in range(c)]
+    moves = np.zeros((c + 2, c + 1))
+    for found in train:
+        for a, b in zip([None, *found], found):
+            moves[c if a is None else cls[a], c if b is None else cls[b]] += 1
+    moves[c + 1] = sum(left[g] * moves[g] for g in range(c))
+    chance = (moves + smoothing) / (moves.sum(1, keepdims=True) + smoothing * (c + 1))
+    unseen = max(1.0, n1 * (n1 - 1) / (2 * (n2 + 1)))
+    for i, text in rows:
+        found, out = tokens(text), 0.0
+        for a, b in zip([None, *found], found):
+            row = chance[c if a is None else cls.get(a, c + 1)]
+            if b is None:
+                out += math.log10(row[c])
+            elif b in cls:
+                out += math.log10(row[cls[b]] * (count[b] - d) / mass[cls[b]])
+            else:
+                out += math.log10(row[:c] @ left / unseen)
+        yield i, out
+    assert set(cls) == set(count)  # every training word has a class
+    # each row of the model adds up to one: words of each class, what they leave, the end
+    for row in chance:
+        assert math.isclose(row[c] + sum(row[g] * ((mass[g] - d * sum(x == g for x in cls.values())) / mass[g] + left[g])
+                                         for g in range(c) if mass[g]) + sum(row[g] for g in range(c) if not mass[g]), 1.0)
+
+
+def test_score_against_brute_force(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()][:25]
+    rows += [(900_001, ""), (900_002, None), (900_003, "the unseenword zzzz the"), (900_004, "qq"), (900_004, "qq")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(model_scores(rows, 60, 6))
+    for head_words in (class_lm.HEAD, 150):
+        got = sorted((r.doc_id, r.score) for r in class_lm.score(docs, clustered=60, classes=6, head_words=head_words).collect())
+        for (i, a), (j, b) in zip(got, want, strict=True):
+            assert i == j and math.isclose(a, b, rel_tol=1e-9), (i, head_words)
+
+
 def test_awkward_rows(spark, awkward, awkward_rows, no_docs, clashing):
     assert class_lm.score(no_docs).count() == 0
     want = sorted((i is None, i or 0, n, known) for i, _, n, known, _, _ in base_scores([(r[0], r[1]) for r in awkward_rows]))
