@@ -136,6 +136,9 @@ def exchange(counts: np.ndarray, classes: int, rounds: int = ROUNDS) -> np.ndarr
     k = size - 2
     classes = max(1, min(classes, k))
     n = counts.astype(float)
+    # what stands behind and before each word: few of the columns
+    behind = [(at, row[at]) for row in n[:k] for at in (np.flatnonzero(row),)]
+    before = [(at, row[at]) for row in np.ascontiguousarray(n[:, :k].T) for at in (np.flatnonzero(row),)]
     label = np.empty(size, np.int64)
     order = np.argsort(-n[:k].sum(1), kind="stable")
     label[order] = np.arange(k) % classes
@@ -148,8 +151,8 @@ def exchange(counts: np.ndarray, classes: int, rounds: int = ROUNDS) -> np.ndarr
         moved = 0
         for w in order.tolist():
             own = n[w, w]
-            right = n[w] @ member  # counts of the class after w
-            left = n[:, w] @ member
+            right = np.bincount(label[behind[w][0]], behind[w][1], c)  # counts of the class after w
+            left = np.bincount(label[before[w][0]], before[w][1], c)
             old = label[w]
             right[old] -= own
             left[old] -= own
@@ -159,8 +162,11 @@ def exchange(counts: np.ndarray, classes: int, rounds: int = ROUNDS) -> np.ndarr
             joint[old, old] -= own
             rows, columns = joint.sum(1), joint.sum(0)
             # what putting it into each class changes
-            gain_row = (_entropy(joint[:classes] + right) - _entropy(joint[:classes])).sum(1)
-            gain_column = (_entropy(joint[:, :classes] + left[:, None]) - _entropy(joint[:, :classes])).sum(0)
+            r, l = np.flatnonzero(right), np.flatnonzero(left)
+            now = joint[:classes, r]
+            gain_row = (_entropy(now + right[r]) - _entropy(now)).sum(1)
+            now = joint[l, :classes]
+            gain_column = (_entropy(now + left[l, None]) - _entropy(now)).sum(0)
             diagonal = joint[np.arange(classes), np.arange(classes)]
             r, l = right[:classes], left[:classes]
             cross = (_entropy(diagonal + r + l + own) - _entropy(diagonal + r) - _entropy(diagonal + l) + _entropy(diagonal))
@@ -175,7 +181,7 @@ def exchange(counts: np.ndarray, classes: int, rounds: int = ROUNDS) -> np.ndarr
             joint[:, new] += left
             joint[new, new] += own
             if new != old:
-                member[w, old], member[w, new], label[w] = 0, 1, new
+                label[w] = new
                 moved += 1
         if not moved:
             break
