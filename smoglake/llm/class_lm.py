@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import DOUBLE, LONG, field, id_remainder, load_documents, map_columns, staged
+from .common import DOUBLE, LONG, field, id_remainder, load_documents, staged
 from .shingles import word_codes
 
 CLUSTERED = 64  # times the fourth root of the vocabulary
@@ -239,24 +239,33 @@ def best_class(joint: np.ndarray, classes: int, starts: np.ndarray, at: np.ndarr
     if not classes or not words:
         return np.zeros(words, np.int64)
     n = n.astype(float)
-    word = np.repeat(np.arange(words), np.diff(starts))
-    behind = np.concatenate([joint[:classes], joint[:, :classes].T], axis=1)  # class x what stands behind, then before
+    behind = np.concatenate([joint[:classes], joint[:, :classes].T], axis=1).T  # what stands behind, then before, x class
+    plain = _entropy(behind)
+    once = _entropy(behind + 1) - plain  # most entries count 1
     gain = np.zeros((words, classes))
-    for low in range(0, len(at), 1 << 15):
-        part = slice(low, low + (1 << 15))
-        have = behind[:, at[part]].T
-        np.add.at(gain, word[part], _entropy(have + n[part, None]) - _entropy(have))
+    low = 0
+    while low < words:  # some words at a time, whose entries lie together
+        high = max(low + 1, int(np.searchsorted(starts, starts[low] + (1 << 21) // classes, "right")) - 1)
+        part = slice(starts[low], starts[high])
+        added = once[at[part]]
+        many = np.flatnonzero(n[part] > 1)
+        places_ = at[part][many]
+        added[many] = _entropy(behind[places_] + n[part][many, None]) - plain[places_]
+        filled = low + np.flatnonzero(starts[low + 1:high + 1] > starts[low:high])
+        if len(filled):
+            gain[filled] = np.add.reduceat(added, starts[filled] - starts[low], axis=0)
+        low = high
+    word = np.repeat(np.arange(words), np.diff(starts))
     side = np.zeros((2, words, classes))  # neighbours of the class itself on both sides share a cell
-    total = np.zeros((2, words))
-    for s in range(2):
+    for s, sums in enumerate((joint.sum(1), joint.sum(0))):
         mine = (at >= c) == bool(s)
-        np.add.at(total[s], word[mine], n[mine])
         own = mine & (at % c < classes)
         side[s, word[own], at[own] % c] = n[own]
-    diagonal = np.diagonal(joint)[:classes]
-    gain += (_entropy(diagonal + side[0] + side[1]) - _entropy(diagonal + side[0]) - _entropy(diagonal + side[1]) + _entropy(diagonal))
-    for s, sums in enumerate((joint.sum(1), joint.sum(0))):
-        gain -= _entropy(sums[:classes] + total[s][:, None]) - _entropy(sums[:classes])
+        totals, which = np.unique(np.bincount(word[mine], n[mine], words), return_inverse=True)
+        gain -= (_entropy(sums[:classes] + totals[:, None]) - _entropy(sums[:classes]))[which]
+    w, g = np.nonzero((side[0] > 0) & (side[1] > 0))
+    diagonal, r, l = np.diagonal(joint)[g], side[0, w, g], side[1, w, g]
+    gain[w, g] += _entropy(diagonal + r + l) - _entropy(diagonal + r) - _entropy(diagonal + l) + _entropy(diagonal)
     return gain.argmax(1)
 
 
@@ -290,6 +299,17 @@ def neighbours(codes: np.ndarray, known: np.ndarray, class_of: np.ndarray, end:
     return cls[:-1], word[:-1], cls[1:], word[1:], at
 
 
+def tallied(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """The distinct rows of ``columns`` and how often each occurs."""
+    order = np.lexsort(columns)
+    columns = [x[order] for x in columns]
+    new = np.ones(len(order), bool)
+    if len(order):
+        new[1:] = np.any([x[1:] != x[:-1] for x in columns], axis=0)
+    first = np.flatnonzero(new)
+    return [x[first] for x in columns] + [np.diff(np.append(first, len(order)))]
+
+
 PAIRS = T.StructType([field("p", T.IntegerType()), field("p_code", LONG), field("t", T.IntegerType()), field("t_code", LONG),
                       field("n", LONG)])
 
@@ -313,8 +333,8 @@ def transitions(train: DataFrame, codes: np.ndarray, class_of: np.ndarray, class
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, labels = shared.value
-        counts = np.zeros((c + 1, c + 1), np.int64)
-        kept, held = [], 0
+        counts = np.zeros((c + 1) ** 2, np.int64)
+        kept, held, near, n_near = [], 0, [np.zeros(0, np.int64)], 0
 
         def counted(columns):
             table = pa.table(columns, names=["p", "p_code", "t", "t_code"])
@@ -326,15 +346,22 @@ def transitions(train: DataFrame, codes: np.ndarray, class_of: np.ndarray, class
             for found in _texts(batch):
                 p, pw, t, tw, _ = neighbours(found, known, labels, c)
                 both = (p >= 0) & (t >= 0)
-                np.add.at(counts, (p[both], t[both]), 1)
+                near.append(p[both].astype(np.int64) * (c + 1) + t[both])
+                n_near += len(near[-1])
                 if not both.all():
                     kept.append([x[~both] for x in (p, pw, t, tw)])
                     held += len(kept[-1][0])
                 if held >= CHUNK:
                     yield from counted([np.concatenate(x) for x in zip(*kept, strict=True)])
                     kept, held = [], 0
+                if n_near >= CHUNK:
+                    counts += np.bincount(np.concatenate(near), minlength=len(counts))
+                    near, n_near = [], 0
         if held:
             yield from counted([np.concatenate(x) for x in zip(*kept, strict=True)])
+        if near:
+            counts += np.bincount(np.concatenate(near), minlength=len(counts))
+        counts = counts.reshape(c + 1, c + 1)
         p, t = np.nonzero(counts)
         nothing = np.zeros(len(p), np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(p.astype(np.int32)), pa.array(nothing), pa.array(t.astype(np.int32)), pa.array(nothing),
@@ -393,27 +420,28 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mod:
     base_floor = float(np.log10(n_all + v_all + 1)) if n_all else 0.0
     model = spark.sparkContext.broadcast((codes, np.log10(counts + 1.0), emit, class_of, moves))
 
-    def run(texts):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, base, emission, labels, log_moves = model.value
-        out = [[] for _ in range(5)]
-        for text in texts:
-            found = word_codes(text)
-            p, pw, t, tw, at = neighbours(found, known, labels, c)
-            head = at >= 0
-            both = (p >= 0) & (t >= 0)
-            rest = np.stack([p, pw, t, tw], axis=1)[~both]
-            pairs, times = np.unique(rest, axis=0, return_counts=True)
-            row = (len(found) + 1, int(head.sum()), float(base[at[head]].sum()),
-                   float(log_moves[p[both], t[both]].sum() + emission[at[head]].sum()),
-                   [(*pair, n) for pair, n in zip(pairs.tolist(), times.tolist(), strict=True)])
-            for column, value in zip(out, row, strict=True):
-                column.append(value)
-        return out
-
-    made = [field("n_tokens", LONG), field("n_head", LONG), field("head_base", DOUBLE), field("head_score", DOUBLE),
-            field("pairs", T.ArrayType(PAIRS))]
-    rows = staged(map_columns(keyed, ["text"], made, run, ["id", "held_out"])
-                  .withColumn("row", F.monotonically_increasing_id()), "lm-rows")
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sums, open_ = [], []
+            for found in _texts(batch.select(["text"])):
+                p, pw, t, tw, at = neighbours(found, known, labels, c)
+                at = at[at >= 0]
+                both = (p >= 0) & (t >= 0)
+                open_.append(tallied([x[~both] for x in (p, pw, t, tw)]))
+                sums.append((len(found) + 1, len(at), float(base[at].sum()),
+                             float(log_moves[p[both], t[both]].sum() + emission[at].sum())))
+            offsets = np.cumsum([0] + [len(x[0]) for x in open_]).astype(np.int32)
+            flat = pa.StructArray.from_arrays([pa.array(np.concatenate(x)) for x in zip(*open_, strict=True)], names=PAIRS.names)
+            columns = [pa.array(x) for x in zip(*sums, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["held_out"], *columns, pa.ListArray.from_arrays(pa.array(offsets), flat)],
+                                             names=made.names)
+
+    made = T.StructType([keyed.schema["id"], keyed.schema["held_out"], field("n_tokens", LONG), field("n_head", LONG),
+                         field("head_base", DOUBLE), field("head_score", DOUBLE), field("pairs", T.ArrayType(PAIRS))])
+    rows = staged(keyed.mapInArrow(run, made).withColumn("row", F.monotonically_increasing_id()), "lm-rows")
     # pairs with words outside the head, by joins with the vocabulary
     pairs = resolved(rows.select("row", F.inline("pairs")), table)
     steps = [(p if p <= c else -1, t, float(moves[p, t] - class_log[t])) for p in range(c + 2) for t in range(c + 1)]
