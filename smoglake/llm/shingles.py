@@ -8,16 +8,17 @@ import numpy as np
 
 _B = np.uint64(0x9E3779B97F4A7C15 | 1)
 _B_INVERSE = np.uint64(pow(int(_B), -1, 1 << 64))
-_BLANK = np.zeros(256, bool)
-_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_SOLID = bytes(b not in (9, 10, 11, 12, 13, 32) for b in range(256))  # for bytes.translate
 _BYTE = np.random.default_rng(20240501).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values."""
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
+    x = x ^ (x >> np.uint64(32))
+    for _ in range(2):
+        x *= np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(32)
+    return x
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
@@ -25,7 +26,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
         return np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, base, np.uint64), dtype=np.uint64)])
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=8)
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(_B, n), _powers(_B_INVERSE, n)
 
@@ -40,14 +41,20 @@ def word_codes(text: str | None, lower: bool = True) -> np.ndarray:
     if not text:
         return np.zeros(0, np.uint64)
     raw = text.encode()
-    data = np.frombuffer(raw.lower() if lower else raw, np.uint8)
-    solid = ~_BLANK[data]
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], solid, [False]])))
+    if lower:
+        raw = raw.lower()
+    solid = np.frombuffer((b" " + raw + b" ").translate(_SOLID), np.uint8)
+    edges = np.flatnonzero(solid[1:] != solid[:-1])
     starts, ends = edges[::2], edges[1::2]
     if not len(starts):
         return np.zeros(0, np.uint64)
-    up, down = _tables(1 << max(12, int(len(data)).bit_length()))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * up[:len(data)], dtype=np.uint64)])
+    up, down = _tables(1 << max(12, len(raw).bit_length()))
+    sums = np.empty(len(raw) + 1, np.uint64)
+    sums[0] = 0
+    body = sums[1:]
+    np.take(_BYTE, np.frombuffer(raw, np.uint8), out=body, mode="clip")
+    np.multiply(body, up[:len(raw)], out=body)
+    np.cumsum(body, out=body)
     body = (sums[ends] - sums[starts]) * down[starts]
     return mixed(body + (ends - starts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 

@@ -34,6 +34,17 @@ def test_word_codes_follow_the_words():
     assert len(set(word_codes("Ab ab AB").tolist())) == 1 and len(set(word_codes("Äb äb").tolist())) == 2
 
 
+def test_indexed_places_equal_places():
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 2, 50, 5000):
+        table = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
+        close = np.unique(np.concatenate([table, np.arange(40, dtype=np.uint64), np.uint64(2 ** 64 - 1) - np.arange(40, dtype=np.uint64)]))
+        for known in (table, close[::2]):
+            sought = np.concatenate([close, rng.integers(0, 1 << 64, 300, dtype=np.uint64)])
+            got = class_lm.indexed_places(sought, known, class_lm.index(known), -1)
+            assert (got == class_lm.places(sought, known, -1)).all()
+
+
 def likelihood(counts, label):
     c = label.max() + 1
     m = np.zeros((len(counts), c))
