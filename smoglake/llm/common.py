@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 
 from ..session import scratch_path
 
+#: Rows of an Arrow batch that ``map_columns`` turns into Python objects at a time.
+ROWS_AT_ONCE = 512
+
 #: A word: a maximal run of anything but space, tab, newline, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -43,7 +46,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def map_columns(df: DataFrame, inputs: list[str], outputs: list[T.StructField],
                 fn: Callable[..., list], carry: list[str] | None = None) -> DataFrame:
-    """``carry`` columns of ``df`` plus ``outputs`` = ``fn(*input lists)`` per Arrow batch.
+    """``carry`` columns of ``df`` plus ``outputs`` = ``fn(*input lists)`` per at most ``ROWS_AT_ONCE`` rows of an Arrow batch.
 
     ``fn`` gets one Python list per input column and returns one list (or
     numpy array) per output field. Columns travel under positional names, so
@@ -63,7 +66,7 @@ def map_columns(df: DataFrame, inputs: list[str], outputs: list[T.StructField],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_type
         arrow = [to_arrow_type(k) for k in kinds]
-        for b in batches:
+        for b in (whole.slice(at, ROWS_AT_ONCE) for whole in batches for at in range(0, whole.num_rows, ROWS_AT_ONCE)):
             made = fn(*[b.column(n_keep + i).to_pylist() for i in range(n_in)])
             yield pa.RecordBatch.from_arrays(
                 [b.column(i) for i in range(n_keep)] + [pa.array(v, t) for v, t in zip(made, arrow, strict=True)],

@@ -3,7 +3,8 @@
 The tokenizer first cuts a text into pieces (words with their leading blank,
 numbers, punctuation, blanks) and encodes each piece by itself. Here the
 cutting is done by one compiled expression and every distinct piece goes
-through the tokenizer's model once per worker. That gives the tokenizer's own
+through the tokenizer's model once per worker, as long as it is among the
+pieces used lately. That gives the tokenizer's own
 ids; texts with characters outside the range that the expression is built for
 go to the tokenizer whole, and so do texts that hold one of its added tokens.
 """
@@ -19,7 +20,7 @@ import numpy as np
 
 #: Characters for which the piece classes are built (assigned ones below this code point).
 COVERED = 0x2100
-CACHE_PIECES = 800_000
+CACHE_PIECES = 300_000  # of the newer and of the older pieces
 
 # The contractions and classes of the byte-level piece pattern.
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
@@ -77,6 +78,7 @@ class Encoder:
     def __init__(self, path: str):
         self.path = path
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # known before the cache was last full
         self.letters = dict(enumerate(_byte_letters()))
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -99,10 +101,10 @@ class Encoder:
         pieces = [None if not x.isascii() and uncovered.search(x) or added and added.search(x) else pattern.findall(x) for x in texts]
         missing = set().union(*[p for p in pieces if p is not None]).difference(self.known)
         if len(self.known) + len(missing) > CACHE_PIECES:
-            self.known.clear()
+            self.older, self.known = self.known, {}
             missing = set().union(*[p for p in pieces if p is not None])
         for piece in missing:
-            self.known[piece] = self._piece(piece)
+            self.known[piece] = self.older.get(piece) or self._piece(piece)
         get = self.known.__getitem__
         return [self._whole([x])[0] if p is None else b"".join(map(get, p)) for x, p in zip(texts, pieces, strict=True)]
 

@@ -104,3 +104,31 @@ def test_added_tokens_get_their_own_ids():
         got = np.frombuffer(Encoder(path).encode([text])[0], "<u4").tolist()
         assert got == plain.encode(text, add_special_tokens=False).ids
     assert 50256 in plain.encode("a <|endoftext|> b", add_special_tokens=False).ids
+
+
+def test_the_piece_cache_is_bounded_and_keeps_what_is_used(monkeypatch):
+    from smoglake.llm import tokens
+
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 50)
+    made = Encoder(packing.tokenizer_path())
+    calls, piece = [], made._piece
+    monkeypatch.setattr(made, "_piece", lambda p: calls.append(p) or piece(p))
+    plain = tokens._tokenizer(made.path)
+    for i in range(100):
+        text = "common words stay " + " ".join(f"q{i}x{k}" for k in "abc")
+        assert np.frombuffer(made.encode([text])[0], "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert len(made.known) + len(made.older) <= 2 * 50
+    assert calls.count(" words") == 1
+
+
+def test_maps_hold_a_bounded_number_of_rows(spark):
+    from pyspark.sql import functions as F
+    from smoglake.llm import common
+
+    def run(values):
+        return [[len(values)] * len(values), [2 * v for v in values]]
+
+    docs = spark.range(0, 3000, 1, 1).select("id", F.col("id").alias("v"))
+    rows = common.map_columns(docs, ["v"], [common.field("held", common.LONG), common.field("twice", common.LONG)], run, ["id"]).collect()
+    assert [(r.id, r.twice) for r in rows] == [(i, 2 * i) for i in range(3000)]
+    assert max(r.held for r in rows) <= 512
