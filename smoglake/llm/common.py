@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
+from .tokens import encoder
 
 #: Rows of an Arrow batch that ``map_columns`` turns into Python objects at a time.
 ROWS_AT_ONCE = 512
@@ -45,14 +46,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def map_columns(df: DataFrame, inputs: list[str], outputs: list[T.StructField],
-                fn: Callable[..., list], carry: list[str] | None = None) -> DataFrame:
+                fn: Callable[..., list], carry: list[str] | None = None, tokens: bool = False) -> DataFrame:
     """``carry`` columns of ``df`` plus ``outputs`` = ``fn(*input lists)`` per at most ``ROWS_AT_ONCE`` rows of an Arrow batch.
 
     ``fn`` gets one Python list per input column and returns one list (or
     numpy array) per output field. Columns travel under positional names, so
     names that clash with the outputs do no harm inside the batch; the
     result has ``carry`` followed by the output names. Rows are never
-    regrouped, so the map needs no shuffle.
+    regrouped, so the map needs no shuffle. A worker serves one stage after the
+    other: maps that do not encode ``tokens`` first drop its cache of them.
     """
     carry = list(df.columns if carry is None else carry)
     fields = [df.schema[c] for c in carry]
@@ -65,6 +67,8 @@ def map_columns(df: DataFrame, inputs: list[str], outputs: list[T.StructField],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_type
+        if not tokens:
+            encoder.cache_clear()
         arrow = [to_arrow_type(k) for k in kinds]
         for b in (whole.slice(at, ROWS_AT_ONCE) for whole in batches for at in range(0, whole.num_rows, ROWS_AT_ONCE)):
             made = fn(*[b.column(n_keep + i).to_pylist() for i in range(n_in)])

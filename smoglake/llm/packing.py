@@ -63,7 +63,7 @@ def tokenized(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         return [counts, crcs, rests]
 
     made = map_columns(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")), ["text"],
-                       [field("doc_tokens", LONG), field("crcs", T.ArrayType(LONG)), field("ids", BINARY)], run, ["doc_id"])
+                       [field("doc_tokens", LONG), field("crcs", T.ArrayType(LONG)), field("ids", BINARY)], run, ["doc_id"], tokens=True)
     return staged(made.withColumn("row", F.monotonically_increasing_id()), "pack-tokens")
 
 

@@ -132,3 +132,21 @@ def test_maps_hold_a_bounded_number_of_rows(spark):
     rows = common.map_columns(docs, ["v"], [common.field("held", common.LONG), common.field("twice", common.LONG)], run, ["id"]).collect()
     assert [(r.id, r.twice) for r in rows] == [(i, 2 * i) for i in range(3000)]
     assert max(r.held for r in rows) <= 512
+
+
+def test_other_maps_drop_the_piece_cache(spark):
+    from smoglake.llm import common, tokens
+
+    path = packing.tokenizer_path()
+
+    def fill(values):
+        tokens.encoder(path).encode(["some words"])
+        return [[1] * len(values)]
+
+    def look(values):
+        return [[tokens.encoder.cache_info().currsize] * len(values)]
+
+    one, kind = spark.range(0, 40, 1, 1), [common.field("n", common.LONG)]
+    for _ in range(3):
+        assert common.map_columns(one, ["id"], kind, fill, [], tokens=True).distinct().count() == 1
+        assert [r.n for r in common.map_columns(one, ["id"], kind, look, []).distinct().collect()] == [0]
