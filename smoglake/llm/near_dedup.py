@@ -63,6 +63,7 @@ SMALL_BUCKET = 24  # texts that are all held against each other
 TURNS = 3  # at most, of pivots in the rest; what they leave apart is compared in pairs
 BLOCK = 500  # members of a bucket that one task joins with as many others
 SLOTS = 1 << 20  # counters that give the order of the shingles
+SLOT_RANGE = 1 << 14  # of them in a row
 SIGNATURE = 8  # longs of a text's bit signature
 
 
@@ -241,27 +242,52 @@ def signature(codes: np.ndarray) -> np.ndarray:
     return np.packbits(parity.astype(np.uint8)).view(np.int64)
 
 
-def slot_counts(texts: DataFrame) -> DataFrame:
-    """(slot, count) over the shingles of all texts. A task counts its own texts first and sends a row per filled slot."""
-    def run(batches):
-        import pyarrow as pa
+SLOT_PARTS = T.StructType([field("range", LONG), field("slots", T.ArrayType(LONG)), field("counts", T.ArrayType(LONG))])
+
+
+def _slot_rows(start: int, counts: np.ndarray):
+    """A row per range of slots with a count above 0; ``counts`` are those of the slots from ``start`` on."""
+    import pyarrow as pa
 
+    filled = np.flatnonzero(counts)
+    ranges, first = np.unique((start + filled) // SLOT_RANGE, return_index=True)
+    offsets = pa.array(np.append(first, len(filled)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (start + filled, counts[filled])]
+    return pa.RecordBatch.from_arrays([pa.array(ranges), *lists], names=SLOT_PARTS.names)
+
+
+def slot_parts(texts: DataFrame) -> DataFrame:
+    """(range, slots, counts): what each task counted in its own texts, one row per range of slots."""
+    def run(batches):
         total = np.zeros(SLOTS, np.int64)
         for b in batches:
             for text in b.column(0).to_pylist():
                 slots, n = np.unique(slots_of(text_shingles(text)), return_counts=True)
                 total[slots] += n
-        filled = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(filled, pa.int64()), pa.array(total[filled], pa.int64())], names=["slot", "n"])
+        yield _slot_rows(0, total)
+
+    return texts.select("text").mapInArrow(run, SLOT_PARTS)
+
+
+def slot_counts(texts: DataFrame) -> DataFrame:
+    """(range, slots, counts) over the shingles of all texts, slots counted more than once only; a row per range."""
+    def run(batches):
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for k, slots, counts in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
+                total = sums.setdefault(k, np.zeros(SLOT_RANGE, np.int64))
+                total[np.asarray(slots.values) - k * SLOT_RANGE] += np.asarray(counts.values)
+        for k, total in sums.items():
+            yield _slot_rows(k * SLOT_RANGE, np.where(total > 1, total, 0))
 
-    return texts.select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("count"))
+    return slot_parts(texts).repartition("range").mapInArrow(run, SLOT_PARTS)
 
 
 def prefixes(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(code, place, node, n) of the shingles in the prefixes of ``texts`` (node, text), and (node, signature); written."""
-    counts = slot_counts(texts).filter("count > 1").toPandas()  # at most SLOTS rows
     level = np.zeros(SLOTS, np.uint8)
-    level[counts["slot"].to_numpy(np.int64)] = np.round(4 * np.log2(counts["count"].to_numpy(float))).clip(1, 255)
+    for r in slot_counts(texts).collect():  # at most SLOTS counts
+        level[r["slots"]] = np.round(4 * np.log2(np.array(r["counts"], float))).clip(1, 255)
 
     def run(rows):
         out = [[], [], [], []]

@@ -163,3 +163,24 @@ def test_keep_one_loses_no_text(spark):
     kept = [tuple(r) for r in nd.keep_one(spark.createDataFrame(rows, "doc_id long, text string, words_digest string")).collect()]
     assert sorted((str(i), str(t)) for i, t, _ in kept) == sorted(
         [("1", one), ("1", two), ("None", one + " x"), ("3", ""), ("3", "None")])
+
+
+def test_slots_are_counted_in_a_row_per_task_and_range(spark):
+    """A task sends its counts by ranges of slots, however many texts a large bucket has; the sums are exact."""
+    from collections import Counter
+
+    hot, sent = " ".join(words(150, 51)), {}
+    for n in (100, 400):
+        texts = [edited(hot, 6, i) for i in range(n)] + [None, ""]
+        docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+        parts = nd.slot_parts(docs).collect()
+        sent[n] = len(parts)
+        want = Counter(s for t in texts for s in nd.slots_of(nd.text_shingles(t)).tolist())
+        got = Counter()
+        for r in parts:
+            got.update(dict(zip(r.slots, r.counts)))
+        assert got == want
+        rows = nd.slot_counts(docs).collect()
+        assert {s: c for r in rows for s, c in zip(r.slots, r.counts, strict=True)} == {s: c for s, c in want.items() if c > 1}
+        assert all(s // nd.SLOT_RANGE == r.range for r in rows for s in r.slots) and len({r.range for r in rows}) == len(rows)
+        assert len(want) > 5 * nd.SLOTS // nd.SLOT_RANGE >= sent[n]
