@@ -42,6 +42,7 @@ CLASSES = 3  # likewise
 HEAD = 200_000
 ROUNDS = 12  # of exchange at most
 CHUNK = 2_000_000  # tokens counted at a time in a worker
+SIDE = 1 << 40  # a class beside a word and how often it stands there, in one number
 MOD, HELD_OUT = 7, 2
 
 
@@ -221,39 +222,42 @@ def class_count(vocabulary_size: int) -> int:
 
 
 def contexts(train: DataFrame, words: np.ndarray, label: np.ndarray) -> DataFrame:
-    """(code, beside: list of (at, n)) of the words that are not clustered: how often each class stands behind (at)
-    and before (at + number of classes) them. A list has at most two entries a class."""
+    """(code, beside: list of at * ``SIDE`` + n) of the words that are not clustered: how often each class stands behind (at)
+    and before (at + number of classes) them. A list has at most two entries a class; a word has a row per chunk of tokens."""
     k, c = len(words), int(label.max()) + 1
     shared = train.sparkSession.sparkContext.broadcast((words, label))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, class_of = shared.value
-        codes, sides, held = [], [], 0
+        codes, sides, held = [], ([], []), 0
 
         def counted():
-            code, side = np.concatenate(codes), np.concatenate(sides)
-            order = np.argsort(code + side.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))  # equal pairs come together
-            code, side = code[order], side[order]
-            new = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (side[1:] != side[:-1])]))
-            n = np.diff(np.append(new, len(code)))
-            return pa.RecordBatch.from_arrays([pa.array(code[new].view(np.int64)), pa.array(side[new].astype(np.int32)),
-                                               pa.array(n.astype(np.int64))], names=["code", "at", "n"])
+            code = np.concatenate(codes)
+            known = np.unique(code)
+            at = indexed_places(code, known, index(known), 0) * (2 * c)
+            key = np.sort(np.concatenate([at + np.concatenate(sides[0]), at + np.concatenate(sides[1])]))
+            new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            n = np.diff(np.append(new, len(key)))
+            word, side = np.divmod(key[new], 2 * c)
+            offsets = np.searchsorted(word, np.arange(len(known) + 1)).astype(np.int32)
+            return pa.RecordBatch.from_arrays([pa.array(known.view(np.int64)), pa.ListArray.from_arrays(
+                pa.array(offsets), pa.array(side * SIDE + n))], names=["code", "beside"])
 
         for batch in batches:
             for found in _texts(batch):
                 ids = np.concatenate([[k + 1], places(found, table, k), [k + 1]])
                 other = np.flatnonzero(ids == k)
-                codes += [found[other - 1]] * 2
-                sides += [class_of[ids[other + 1]], class_of[ids[other - 1]] + c]
-                held += 2 * len(other)
+                codes.append(found[other - 1])
+                sides[0].append(class_of[ids[other + 1]])
+                sides[1].append(class_of[ids[other - 1]] + c)
+                held += len(other)
                 if held >= CHUNK:
                     yield counted()
-                    codes, sides, held = [], [], 0
+                    codes, sides, held = [], ([], []), 0
         if held:
             yield counted()
 
-    return (train.select("text").mapInArrow(run, "code long, at int, n long").groupBy("code", "at").agg(F.sum("n").alias("n"))
-            .groupBy("code").agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("beside")))
+    return train.select("text").mapInArrow(run, "code long, beside array<long>")
 
 
 def best_class(joint: np.ndarray, classes: int, starts: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -293,25 +297,49 @@ def best_class(joint: np.ndarray, classes: int, starts: np.ndarray, at: np.ndarr
     return gain.argmax(1)
 
 
-def classified(vocab: DataFrame, beside: DataFrame, words: np.ndarray, label: np.ndarray, joint: np.ndarray) -> DataFrame:
-    """(code, c, cls): the vocabulary with the class of every word."""
-    k, classes = len(words), int(label[len(words)])
-    shared = vocab.sparkSession.sparkContext.broadcast((words, label, joint))
+def classified(beside: DataFrame, words: np.ndarray, counts: np.ndarray, label: np.ndarray, joint: np.ndarray) -> DataFrame:
+    """(code, c, cls): the vocabulary with the class of every word. ``counts`` are those of ``words``, the clustered ones;
+    the others occur as often as something stands behind them."""
+    spark = beside.sparkSession
+    k, c = len(words), len(joint)
+    classes = int(label[k])
+    shared = spark.sparkContext.broadcast(joint)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, class_of, counts = shared.value
+        def made(code, packed):
+            new = np.concatenate([[True], code[1:] != code[:-1]])
+            key = (np.cumsum(new) - 1) * (2 * c) + packed // SIDE
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            n = np.add.reduceat(packed[order] % SIDE, first)
+            word, at = np.divmod(key[first], 2 * c)
+            starts = np.searchsorted(word, np.arange(np.count_nonzero(new) + 1))
+            occurs = np.add.reduceat(np.where(at < c, n, 0), starts[:-1])
+            cls = best_class(shared.value, classes, starts, at, n)
+            return pa.RecordBatch.from_arrays([pa.array(code[new]), pa.array(occurs), pa.array(cls.astype(np.int32))],
+                                              names=["code", "c", "cls"])
+
+        codes, lists, held = [], [], 0
         for batch in batches:
-            found = places(batch["code"].to_numpy().view(np.uint64), table, k)
-            cls = class_of[found]
-            rest = batch.filter(pa.array(found == k))
-            lists = rest["beside"]
-            flat = lists.flatten()
-            sizes = np.asarray(lists.value_lengths().fill_null(0))
-            starts = np.concatenate([[0], np.cumsum(sizes)])
-            cls[found == k] = best_class(counts, classes, starts, flat.field("at").to_numpy(), flat.field("n").to_numpy())
-            yield pa.RecordBatch.from_arrays([batch["code"], batch["c"], pa.array(cls.astype(np.int32))], names=["code", "c", "cls"])
+            if not batch.num_rows:
+                continue
+            sizes = np.asarray(batch["beside"].value_lengths())
+            codes.append(np.repeat(batch["code"].to_numpy(), sizes))
+            lists.append(batch["beside"].flatten().to_numpy())
+            held += len(lists[-1])
+            if held >= CHUNK // 8:
+                code, packed = np.concatenate(codes), np.concatenate(lists)
+                whole = np.searchsorted(code, code[-1])  # the last word may go on in the next batch
+                if whole:
+                    yield made(code[:whole], packed[:whole])
+                codes, lists, held = [code[whole:]], [packed[whole:]], len(code) - whole
+        if held:
+            yield made(np.concatenate(codes), np.concatenate(lists))
 
-    return staged(vocab.join(beside, "code", "left").mapInArrow(run, "code long, c long, cls int"), "lm-classes")
+    rest = beside.repartition("code").sortWithinPartitions("code").mapInArrow(run, "code long, c long, cls int")
+    own = list(zip(words.view(np.int64).tolist(), counts.tolist(), label[:k].tolist(), strict=True))
+    return staged(rest.unionByName(spark.createDataFrame(own, "code long, c long, cls int")), "lm-classes")
 
 
 def neighbours(codes: np.ndarray, known: np.ndarray, starts: tuple[np.uint64, np.ndarray], class_of: np.ndarray, end: int):
@@ -419,7 +447,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mod:
     label = exchange(matrix, class_count(v_words) if classes is None else classes)
     member = np.zeros((len(label), int(label.max()) + 1))
     member[np.arange(len(label)), label] = 1
-    table = classified(vocab, contexts(train, words, label), words, label, member.T @ matrix @ member)
+    table = classified(contexts(train, words, label), words, counts[top], label, member.T @ matrix @ member)
     c = int(label[len(words)])  # classes of words; the end is class c, an unknown word as a context c + 1
 
     if len(codes):

@@ -175,3 +175,23 @@ def test_awkward_rows(spark, awkward, awkward_rows, no_docs, clashing):
         assert sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.n_known) for r in class_lm.score(docs).collect()) == want
     only_held = spark.createDataFrame([(i, "a b") for i in range(60) if held(i)], "doc_id long, text string")
     assert {(r.train_tokens, r.n_known, r.base_score) for r in class_lm.score(only_held).collect()} == {(0, 0, 0.0)}
+
+
+def test_contexts_come_in_a_row_per_word(spark):
+    """What stands beside a word is sent in one row for a task's texts, and its sums are those of a plain count."""
+    from collections import Counter
+
+    texts = ["a x b x x", "x a y", None, "y", "b y x a a"]
+    words = np.sort(class_lm.word_codes("a b"))
+    kind = {int(w): i for i, w in enumerate(words)}
+    want = Counter()
+    for text in texts:
+        codes = class_lm.word_codes(text).tolist()
+        cls = [3, *[kind.get(w, 2) for w in codes], 3]
+        for i, w in enumerate(codes, 1):
+            if cls[i] == 2:
+                want[w, cls[i + 1]] += 1
+                want[w, cls[i - 1] + 4] += 1
+    rows = class_lm.contexts(spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1), words, np.arange(4)).collect()
+    assert len(rows) == len({w for w, _ in want})
+    assert {(r.code % (1 << 64), b // class_lm.SIDE): b % class_lm.SIDE for r in rows for b in r.beside} == want
