@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -14,6 +15,9 @@ from .tokens import encoder
 
 #: Rows of an Arrow batch that ``map_columns`` turns into Python objects at a time.
 ROWS_AT_ONCE = 512
+#: Bytes of an Arrow batch sent to a worker inside ``small_batches``, and the setting that limits them.
+BATCH_BYTES = 4 << 20
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 #: A word: a maximal run of anything but space, tab, newline, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -45,6 +49,24 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of about ``BATCH_BYTES`` for maps of long texts that are run inside.
+
+    Without that a batch holds 10,000 rows, whatever their length, once as a
+    growing buffer of the executor and once in the worker. A limit that the
+    session sets itself is kept.
+    """
+    if spark.conf.get(BATCH_LIMIT, None) is not None:
+        yield
+        return
+    spark.conf.set(BATCH_LIMIT, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_LIMIT)
+
+
 def map_columns(df: DataFrame, inputs: list[str], outputs: list[T.StructField],
                 fn: Callable[..., list], carry: list[str] | None = None, tokens: bool = False) -> DataFrame:
     """``carry`` columns of ``df`` plus ``outputs`` = ``fn(*input lists)`` per at most ``ROWS_AT_ONCE`` rows of an Arrow batch.
@@ -84,13 +106,12 @@ def ranked(df: DataFrame, order: list[str], out: str, name: str) -> DataFrame:
 
     Rows are dealt by range, sorted and numbered inside each partition and
     written; then the partitions' counts (a row per partition) are summed up
-    and added. No task sees more than its range. ``order`` should tell rows
+    and added. No task sees more than its range; Spark merges neighbouring
+    ranges of few bytes, so that few rows make few files. ``order`` should tell rows
     apart; rows that tie get places in no fixed order.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     place = F.monotonically_increasing_id()
-    rows = staged(df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    rows = staged(df.repartitionByRange(*order).sortWithinPartitions(*order)
                   .withColumns({"_part": F.spark_partition_id(), "_place": place.bitwiseAND((1 << 33) - 1)}), name)
     counts = rows.groupBy("_part").count()
     before = counts.select("_part", (F.sum("count").over(Window.orderBy("_part")) - F.col("count")).alias("_before"))

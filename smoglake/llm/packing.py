@@ -25,12 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BINARY, LONG, field, load_documents, map_columns, ranked, staged
+from .common import BINARY, LONG, field, load_documents, map_columns, ranked, small_batches, staged
 from .cutting_stock import whole_patterns
 from .tokens import encoder
 
 CAPACITY = 2048
 END_ID = 1
+BROADCAST_CROSSING = 50_000  # leftovers across borders (three longs each) that may be broadcast
 
 PIECES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -64,7 +65,8 @@ def tokenized(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     made = map_columns(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")), ["text"],
                        [field("doc_tokens", LONG), field("crcs", T.ArrayType(LONG)), field("ids", BINARY)], run, ["doc_id"], tokens=True)
-    return staged(made.withColumn("row", F.monotonically_increasing_id()), "pack-tokens")
+    with small_batches(docs.sparkSession):
+        return staged(made.withColumn("row", F.monotonically_increasing_id()), "pack-tokens")
 
 
 def plan(counts: dict[int, int], capacity: int) -> tuple[list[tuple], list[tuple], int, int]:
@@ -113,8 +115,8 @@ def pack(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_
                         F.element_at("crcs", -1).alias("crc"))
     counts = {int(r["size"]): int(r["count"]) for r in items.groupBy("size").count().collect()}  # < capacity rows
     slots, rest, tokens, n_pattern = plan(counts, capacity)
-    place = staged(ranked(items.filter("size > 0"), ["size", "row"], "rank0", "pack-ranks")
-                   .withColumn("rank", F.col("rank0") + F.lit(counts.get(0, 0))).drop("rank0"), "pack-places")
+    place = (ranked(items.filter("size > 0"), ["size", "row"], "rank0", "pack-ranks")
+             .withColumn("rank", F.col("rank0") + F.lit(counts.get(0, 0))).drop("rank0"))
 
     slot_table = spark.createDataFrame(slots, "size long, low long, high long, sequence long, each long, shift long")
     inside = (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))
@@ -158,8 +160,11 @@ def pack(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_
         return [out]
 
     shape = T.ArrayType(T.StructType([field(c, LONG) for c in ("start", "length", "ids_crc32", "sequence_id", "offset")]))
-    crossing = laid.filter(~fits).select("row", "size", "begin").join(rows.select("row", "doc_id", "doc_tokens", "ids"), "row")
-    pieces = map_columns(crossing, ["size", "begin", "doc_tokens", "ids"], [field("piece", shape)], cut, ["doc_id", "doc_tokens"])
+    # a border is crossed by one row at most, and the last stretch has fewer rows than ``capacity``
+    crossing = laid.filter(~fits).select("row", "size", "begin")
+    crossing = F.broadcast(crossing) if full + capacity <= BROADCAST_CROSSING else crossing
+    pieces = map_columns(crossing.join(rows.select("row", "doc_id", "doc_tokens", "ids"), "row"),
+                         ["size", "begin", "doc_tokens", "ids"], [field("piece", shape)], cut, ["doc_id", "doc_tokens"])
     parts = pieces.select("doc_id", "doc_tokens", F.explode("piece").alias("p")).select(
         "doc_id", "p.start", "p.length", "p.ids_crc32", "doc_tokens", "p.sequence_id", "p.offset")
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 import functools
 import re
 import unicodedata
+import weakref
 from array import array
 
 import numpy as np
@@ -72,12 +73,27 @@ def _byte_letters() -> str:
     return "".join(chr(b) if b in seen else chr(next(spare)) for b in range(256))
 
 
+class Known(dict):
+    """The ids of an encoder's newer pieces; looking up another piece encodes it or takes it from the older ones."""
+
+    def __init__(self, encoder: Encoder):
+        self.encoder = weakref.proxy(encoder)  # no cycle: a dropped encoder frees its pieces at once
+
+    def __missing__(self, piece: str) -> bytes:
+        encoder = self.encoder
+        if len(self) >= CACHE_PIECES:
+            encoder.older = dict(self)
+            self.clear()
+        made = self[piece] = encoder.older.get(piece) or encoder._piece(piece)
+        return made
+
+
 class Encoder:
     """Encodes lists of texts to little-endian uint32 id strings."""
 
     def __init__(self, path: str):
         self.path = path
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = Known(self)
         self.older: dict[str, bytes] = {}  # known before the cache was last full
         self.letters = dict(enumerate(_byte_letters()))
 
@@ -98,15 +114,9 @@ class Encoder:
     def _group(self, texts: list[str]) -> list[bytes]:
         pattern, uncovered = _patterns()
         added = _added(self.path)
-        pieces = [None if not x.isascii() and uncovered.search(x) or added and added.search(x) else pattern.findall(x) for x in texts]
-        missing = set().union(*[p for p in pieces if p is not None]).difference(self.known)
-        if len(self.known) + len(missing) > CACHE_PIECES:
-            self.older, self.known = self.known, {}
-            missing = set().union(*[p for p in pieces if p is not None])
-        for piece in missing:
-            self.known[piece] = self.older.get(piece) or self._piece(piece)
-        get = self.known.__getitem__
-        return [self._whole([x])[0] if p is None else b"".join(map(get, p)) for x, p in zip(texts, pieces, strict=True)]
+        ids = self.known.__getitem__
+        return [self._whole([x])[0] if not x.isascii() and uncovered.search(x) or added and added.search(x)
+                else b"".join(map(ids, pattern.findall(x))) for x in texts]
 
 
 @functools.lru_cache(maxsize=2)

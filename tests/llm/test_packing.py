@@ -150,3 +150,58 @@ def test_other_maps_drop_the_piece_cache(spark):
     for _ in range(3):
         assert common.map_columns(one, ["id"], kind, fill, [], tokens=True).distinct().count() == 1
         assert [r.n for r in common.map_columns(one, ["id"], kind, look, []).distinct().collect()] == [0]
+
+
+def test_few_ranked_rows_make_few_files(spark):
+    import os
+
+    from pyspark.sql import functions as F
+    from smoglake.llm import common
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        rows = spark.range(0, 3000, 1, 4).select("id", (F.col("id") * 7919 % 3001).alias("v"))
+        made = common.ranked(rows, ["v"], "rank", "test-ranks")
+        assert [r["rank"] for r in made.orderBy("v").collect()] == list(range(3000))
+        assert len([x for x in made.inputFiles() if os.path.basename(x).startswith("part-")]) < 64
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_ids_of_rows_that_are_not_cut_are_not_shuffled(spark, awkward, awkward_rows, monkeypatch):
+    docs = [(r[0], r[1]) for r in awkward_rows]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = packing.pack(awkward)
+        assert "SortMergeJoin" not in made._jdf.queryExecution().executedPlan().toString()
+        check(made.collect(), docs)
+        monkeypatch.setattr(packing, "BROADCAST_CROSSING", 0)  # too many to broadcast: the same pieces by a shuffle
+        many = packing.pack(awkward)
+        assert "SortMergeJoin" in many._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, many.collect())) == sorted(map(str, made.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_long_texts_reach_the_encoder_in_small_batches(spark, awkward, monkeypatch):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+    from smoglake.llm import common
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    seen, write = [], packing.staged
+
+    def watched(df, name):
+        texts = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+        seen.append(texts.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0])
+        return write(df, name)
+
+    monkeypatch.setattr(packing, "staged", watched)
+    packing.tokenized(awkward, packing.tokenizer_path())
+    assert len(seen) == 1 and seen[0] <= 2 * common.BATCH_BYTES
+    assert spark.conf.get(common.BATCH_LIMIT, None) is None
